@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import copies, splits
+from textmill.llm import copies, defects, lookalikes, splits
 from textmill.session import table
 
 
@@ -38,5 +38,21 @@ def p2_shares(spark: SparkSession, sf: str) -> DataFrame:
     return splits.shares_reached(_split(spark, sf), table(spark, sf, "split_plan"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares)}
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return defects.defects(table(spark, sf, "pairs"), table(spark, sf, "lang_rules"))
+
+
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalikes.texts(table(spark, sf, "train_cv"), table(spark, sf, "pairs"))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalikes.records(_texts(spark, sf))
+
+
+def p4_consistent(spark: SparkSession, sf: str) -> DataFrame:
+    return lookalikes.consistent(_texts(spark, sf))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent)}
 ORACLE: dict[str, str] = {}
