@@ -86,7 +86,8 @@ def canonical_values(rows: DataFrame, found: DataFrame) -> DataFrame:
     """value, form, certain, n, canonical: one row for each distinct odd value. found: the stored odd values of rows."""
     odd = found.groupBy("value", "form", "certain").agg(F.count(F.lit(1)).alias("n"))
     words = rows.select(F.explode(F.regexp_extract_all("t", F.lit(r"\p{L}+"), 0)).alias("word"))
-    ordinary = words.join(odd.select(F.col("form").alias("word")).distinct(), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("seen"))
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("seen"))
+    ordinary = counted.join(odd.select(F.col("form").alias("word")).distinct(), "word", "left_semi")
     odd.createOrReplaceTempView("textmill_odd")
     ordinary.createOrReplaceTempView("textmill_ordinary")
     return rows.sparkSession.sql(_GROUPED.format(least=LEAST_SEEN))

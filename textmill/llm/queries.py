@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import copies, defects, lookalikes, splits
+from textmill.llm import copies, defects, lookalikes, overlap, splits
 from textmill.session import table
 
 
@@ -54,5 +54,17 @@ def p4_consistent(spark: SparkSession, sf: str) -> DataFrame:
     return lookalikes.consistent(_texts(spark, sf))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent)}
+def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return table(spark, sf, "train_cv"), table(spark, sf, "eval_cv"), table(spark, sf, "pairs")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return overlap.found(*_sides(spark, sf))
+
+
+def p5_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return overlap.counts(*_sides(spark, sf))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent, p5_found, p5_counts)}
 ORACLE: dict[str, str] = {}
