@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import copies, defects, lookalikes, overlap, splits
+from textmill.llm import copies, defects, encodings, lookalikes, overlap, splits
 from textmill.session import table
 
 
@@ -66,5 +66,13 @@ def p5_counts(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.counts(*_sides(spark, sf))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent, p5_found, p5_counts)}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return encodings.restored(table(spark, sf, "documents")).select("doc_id")
+
+
+def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
+    return encodings.restored(table(spark, sf, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent, p5_found, p5_counts, p8_found, p8_restored)}
 ORACLE: dict[str, str] = {}
