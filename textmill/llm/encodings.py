@@ -32,7 +32,7 @@ from textmill.operators.skew import attach
 from textmill.session import materialize
 
 #: Keys that must vote for a way of misreading before it is learned.
-LEAST_VOTES = 3
+LEAST_VOTES = 2
 #: Code pages, by their usual names, that text was written in (besides UTF-8) or read as.
 WRITTEN = ("cp1252", "cp1253", "mac_roman", "cp437", "cp850", "cp737")
 READ = ("cp1252", "latin_1", "iso8859_15", "cp1250", "iso8859_2", "cp1251", "koi8_r", "cp1253", "iso8859_7", "cp1254", "cp1257", "cp437", "cp850", "cp852", "cp866", "cp737", "mac_roman", "mac_greek")

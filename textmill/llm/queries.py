@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.llm import copies, defects, encodings, lookalikes, overlap, splits
+from textmill.llm import copies, defects, encodings, lookalikes, mixing, overlap, packing, splits
 from textmill.session import table
 
 
@@ -66,6 +66,30 @@ def p5_counts(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.counts(*_sides(spark, sf))
 
 
+def _packed(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.packed(table(spark, sf, "documents"), table(spark, sf, "pack_sizes"))
+
+
+def p6_pack(spark: SparkSession, sf: str) -> DataFrame:
+    return _packed(spark, sf)
+
+
+def p6_fill(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.fill(_packed(spark, sf))
+
+
+def _mixed(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf, "documents"), table(spark, sf, "source_config"))
+
+
+def p7_mix(spark: SparkSession, sf: str) -> DataFrame:
+    return _mixed(spark, sf).select("doc_id", "source", "n_tokens", "copies")
+
+
+def p7_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.shares(_mixed(spark, sf), table(spark, sf, "source_config"))
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return encodings.restored(table(spark, sf, "documents")).select("doc_id")
 
@@ -74,5 +98,5 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
     return encodings.restored(table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent, p5_found, p5_counts, p8_found, p8_restored)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent, p5_found, p5_counts, p6_pack, p6_fill, p7_mix, p7_shares, p8_found, p8_restored)}
 ORACLE: dict[str, str] = {}
