@@ -80,9 +80,8 @@ def shares(mix: DataFrame, config: DataFrame) -> DataFrame:
     """source_name, target, reached (shares of all tokens), n_tokens, epochs, capped: one row for each listed source of a weight."""
     used = mix.groupBy(F.col("source").alias("source_name")).agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("n_tokens"), F.max("available").alias("available"))
     listed = config.filter("source_name is not null and mix > 0").select("source_name", "mix", F.coalesce("max_repeat", F.lit(1)).alias("cap"))
-    everything = used.agg(F.sum("n_tokens").alias("all"))
-    weights = listed.agg(F.sum("mix").alias("whole"))
-    out = listed.join(used, "source_name", "left").join(F.broadcast(everything)).join(F.broadcast(weights))  # one row each
+    out = listed.join(used, "source_name", "left")
+    whole = Window.partitionBy()  # over the listed sources, a row each
     tokens = F.coalesce("n_tokens", F.lit(0))
     epochs = F.coalesce(F.col("n_tokens") / F.col("available"), F.lit(0.0))
-    return out.select("source_name", (F.col("mix") / F.col("whole")).alias("target"), (tokens / F.col("all")).alias("reached"), tokens.alias("n_tokens"), epochs.alias("epochs"), (epochs >= F.col("cap") - 1e-9).alias("capped"))
+    return out.select("source_name", (F.col("mix") / F.sum("mix").over(whole)).alias("target"), (tokens / F.sum(tokens).over(whole)).alias("reached"), tokens.alias("n_tokens"), epochs.alias("epochs"), (epochs >= F.col("cap") - 1e-9).alias("capped"))

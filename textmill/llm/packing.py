@@ -75,8 +75,8 @@ def packed(docs: DataFrame, packs: DataFrame, id: str = "doc_id", text: str = "t
     spark = docs.sparkSession
     sized = materialize(counted(docs, id, text, [], path).filter("n_tokens > 0").withColumnRenamed(id, "doc_id"), "sizes")
     wanted = [(r[0], int(r[1])) for r in packs.select("pack_name", "capacity").distinct().limit(1000).collect() if r[0] is not None and r[1] and 0 < r[1] <= MOST_CAPACITY]
-    names = spark.createDataFrame(pd.DataFrame(wanted, columns=["pack_name", "capacity"]), "pack_name string, capacity int") if wanted else spark.createDataFrame([], "pack_name string, capacity int")
-    each = sized.join(F.broadcast(names), F.col("n_tokens") > 0)  # every text in every pack, which is what is asked
+    each_pack = F.array(*[F.struct(F.lit(name).alias("pack_name"), F.lit(capacity).alias("capacity")) for name, capacity in wanted]).cast("array<struct<pack_name:string,capacity:int>>")
+    each = sized.withColumn("_p", F.explode(each_pack)).select("doc_id", "n_tokens", "_p.*")  # every text goes into every pack
     pieces = each.withColumn("piece", F.explode(F.expr("sequence(0L, (n_tokens - 1) div capacity)")))
     items = pieces.select("pack_name", "capacity", "doc_id", "piece", (F.col("piece") * F.col("capacity")).alias("first_token"), F.least(F.col("capacity"), F.col("n_tokens") - F.col("piece") * F.col("capacity")).cast("int").alias("n_tokens"))
     histograms: dict[str, dict[int, int]] = {}
