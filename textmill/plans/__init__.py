@@ -1,7 +1,7 @@
 """The queries of the core, by name, and their SQL."""
 
-from textmill.plans import corpus, lexicon
+from textmill.plans import corpus, lexicon, pairs
 
-MODULES = (lexicon, corpus)
+MODULES = (lexicon, corpus, pairs)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
