@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from textmill.functions import text as T
 from textmill.functions.draw import draw
+from textmill.session import spread
 
 # The letters of each language, as regex classes.
 LETTERS = {"el": "Α-Ωα-ωΆΈΉΊΌΎΏΐά-ώϊϋΰ", "sq": "A-Za-zËëÇç", "en": "A-Za-z", "es": "A-Za-zÁÉÍÓÚÜÑáéíóúüñ"}
@@ -32,8 +33,8 @@ class Cleaning:
 
 def lines(docs: DataFrame, least: int = 1, id: str = "doc_id", text: str = "text") -> DataFrame:
     """source, doc_id, line_no (from 0), text: the lines of texts, stripped, of at least least characters."""
-    split = docs.select("source", F.col(id).alias("doc_id"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "text"))
-    return split.withColumn("text", T.strip(F.col("text"))).filter(F.length("text") >= least)
+    parts = F.transform(F.split(F.col(text), "\n"), T.strip)
+    return spread(docs).select("source", F.col(id).alias("doc_id"), F.posexplode(parts).alias("line_no", "text")).filter(F.length("text") >= least)
 
 
 def kept(rows: DataFrame, config: DataFrame, seed: int = 1) -> DataFrame:
@@ -47,12 +48,12 @@ def kept(rows: DataFrame, config: DataFrame, seed: int = 1) -> DataFrame:
 def cleaned(rows: DataFrame, how: Cleaning = Cleaning()) -> DataFrame:
     """rows with text cleaned; lines that are too short or long, or mostly of another script, are left out."""
     text = T.cleaned(F.col("text"), F.coalesce(F.col("origin") == how.subtitles, F.lit(False)))
-    out = T.composed(rows, "text").withColumn("text", text).filter(F.length("text").between(F.coalesce("min_chars", F.lit(how.least)), F.lit(how.most)))
-    share, least = T.script_share(F.col("text"), ANY_LETTER), F.lit(how.default_share)
+    out = T.computed(T.composed(rows, "text"), text=text).filter(F.length("text").between(F.coalesce("min_chars", F.lit(how.least)), F.lit(how.most)))
+    own, least = T.n_letters(F.col("text"), ANY_LETTER), F.lit(how.default_share)
     for lang, letters in how.letters.items():
-        share = F.when(F.col("lang") == lang, T.script_share(F.col("text"), letters)).otherwise(share)
+        own = F.when(F.col("lang") == lang, T.n_letters(F.col("text"), letters)).otherwise(own)
         least = F.when(F.col("lang") == lang, how.share.get(lang, how.default_share)).otherwise(least)
-    return out.filter(share >= least)
+    return out.filter(F.try_divide(own, T.n_letters(F.col("text"), ANY_LETTER)) >= least)
 
 
 def packed(rows: DataFrame, most: int = 300) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions import text as T
+from textmill.session import materialize, spread
 
 #: Whole words: letters, with apostrophes inside.
 WORD = r"^\p{L}+(?:['’]\p{L}+)*$"
@@ -46,7 +47,7 @@ class Offensive:
 def counts(docs: DataFrame, boost: Column, by: tuple[str, ...] = ("lang",), text: str = "text", word: str = WORD) -> DataFrame:
     """by, form, n: uses of each word, each counted boost times. Words are taken from texts in form C."""
     tokens = F.explode(F.regexp_extract_all(F.col(text), F.lit(T.TOKEN), 0)).alias("form")
-    each = T.composed(docs.filter(F.col(text).isNotNull()), text).select(*by, boost.cast("double").alias("_b"), tokens)
+    each = T.composed(spread(docs).filter(F.col(text).isNotNull()), text).select(*by, boost.cast("double").alias("_b"), tokens)
     return each.filter(F.col("form").rlike(word)).groupBy(*by, "form").agg(F.sum("_b").alias("n"))
 
 
@@ -123,7 +124,8 @@ def offensive(word: Column, lists: Offensive) -> Column:
 
 def built(docs: DataFrame, boost: Column, how: Lexicon, lists: Offensive, by: tuple[str, ...] = ("lang",)) -> DataFrame:
     """by, word, f, possibly_offensive: the whole way."""
-    rows = rated(with_core(cased(counts(docs, boost, by, word=how.word), how, by), how, by), how, by)
+    words = with_core(cased(counts(docs, boost, by, word=how.word), how, by), how, by)
+    rows = rated(materialize(words, "words"), how, by)  # read for the total and for the rows
     return rows.withColumn("possibly_offensive", offensive(F.col("word"), lists))
 
 

@@ -46,7 +46,8 @@ def new_by_path(clips: DataFrame, have: DataFrame) -> DataFrame:
 def verified(clips: DataFrame, most: Column, text: str = "text", heard: str = "teacher") -> DataFrame:
     """clips that a teacher heard nearly as labelled: loose character error rate at most most; with cer, to 3 digits."""
     loose = lambda c: T.loosened(F.coalesce(F.col(c), F.lit("")))
-    rated = clips.filter(F.coalesce(T.strip(F.col(heard)), F.lit("")) != "").withColumn("_cer", S.cer(loose(text), loose(heard)))
+    rated = clips.filter(F.coalesce(T.strip(F.col(heard)), F.lit("")) != "")
+    rated = T.computed(T.computed(rated, _a=loose(text), _z=loose(heard)), _cer=S.cer(F.col("_a"), F.col("_z"))).drop("_a", "_z")
     return rated.filter(F.col("_cer") <= most).withColumn("cer", F.bround("_cer", 3)).drop("_cer")
 
 

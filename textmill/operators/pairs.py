@@ -77,31 +77,32 @@ def light_with_rambler(rows: DataFrame, order: str = "pair_id") -> DataFrame:
 def rewrites_judged(rows: DataFrame, swears: Swears = Swears(), no_add: tuple[str, ...] = (), low: float = 0.2, high: float = 1.3) -> DataFrame:
     """rows with verdict: ok, empty, ratio, swears, chatter or added, for a rewrite output of a message input."""
     base = T.unaccented(T.unaccented(rows, "input", "_i"), "output", "_o")
-    reply = T.reply_cleaned(F.coalesce("output", F.lit("")))
-    ratio = F.length(reply) / F.greatest(F.lit(1), F.length(F.coalesce("input", F.lit(""))))
     i, o = F.coalesce("_i", F.lit("")), F.coalesce("_o", F.lit(""))
+    base = T.computed(base, _reply=T.reply_cleaned(F.coalesce("output", F.lit(""))))
+    reply = F.col("_reply")
+    ratio = F.length(reply) / F.greatest(F.lit(1), F.length(F.coalesce("input", F.lit(""))))
     chatter = F.lit(False)
     for c in CHATTER:
         chatter = chatter | F.lower(reply).startswith(c)
     verdict = F.when(reply == "", "empty").when(~ratio.between(low, high), "ratio").when(2 * swears.count(o) < swears.count(i), "swears").when(chatter, "chatter")
     if no_add:
         verdict = verdict.when(F.size(T.has_words_of(o, i, list(no_add))) > 0, "added")
-    return base.withColumn("verdict", verdict.otherwise("ok")).drop("_i", "_o")
+    return base.withColumn("verdict", verdict.otherwise("ok")).drop("_i", "_o", "_reply")
 
 
 def outputs_judged(rows: DataFrame, swears: Swears = Swears()) -> DataFrame:
     """rows with sane: ok, empty, ratio or sanitized, as the app judges an output by its input and mode."""
     base = T.unaccented(T.unaccented(rows, "input", "_i"), "output", "_o")
     out = T.strip(F.regexp_replace(T.strip(F.coalesce("output", F.lit(""))), '^"([\\s\\S]*)"$', "$1"))
-    ratio = F.length(out) / F.greatest(F.lit(1), F.length(F.coalesce("input", F.lit(""))))
     rambler = F.coalesce(F.col("mode") == "rambler", F.lit(False))
     i, o = F.coalesce("_i", F.lit("")), F.coalesce("_o", F.lit(""))
     corrects = F.lit(False)
     for p in SELF_CORRECTIONS:
         corrects = corrects | F.contains(i, F.lit(p))
-    had, kept = swears.count(i), swears.count(o)
+    base = T.computed(base, _had=swears.count(i), _kept=swears.count(o), _out=out)
+    had, kept, out, ratio = F.col("_had"), F.col("_kept"), F.col("_out"), F.length("_out") / F.greatest(F.lit(1), F.length(F.coalesce("input", F.lit(""))))
     sane = F.when(out == "", "empty").when(~ratio.between(F.when(rambler, 0.15).otherwise(0.4), F.when(rambler, 1.5).otherwise(1.6)), "ratio")
-    return base.withColumn("sane", sane.when((had > 0) & (2 * (kept + corrects.cast("int")) < had), "sanitized").otherwise("ok")).drop("_i", "_o")
+    return base.withColumn("sane", sane.when((had > 0) & (2 * (kept + corrects.cast("int")) < had), "sanitized").otherwise("ok")).drop("_i", "_o", "_had", "_kept", "_out")
 
 
 def boundary(pattern: Column) -> Column:

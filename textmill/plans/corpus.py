@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textmill.functions import text as T
 from textmill.functions.draw import draw_sql
 from textmill.operators import corpus as C
-from textmill.session import table
+from textmill.session import materialize, spread, table
 
 _WS = r"[\t\n\x0B\f\r\x1c-\x1f\x{85}\p{Z}]"
 _NOT_WS = r"[^\t\n\x0B\f\r\x1c-\x1f\x{85}\p{Z}]"
@@ -83,7 +83,8 @@ def _kept(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
-    return C.prepared(*_tables(spark, sf))
+    """The clean table, stored: the steps after it read it more than once."""
+    return materialize(C.prepared(*_tables(spark, sf)), "prepared")
 
 
 def paragraph_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -164,7 +165,7 @@ def columns_joined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def repetition_flags(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").filter("text is not null")
+    docs = spread(table(spark, sf, "documents")).filter("text is not null")
     return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if(T.is_runaway(F.col("text"))).alias("n_runaway"))
 
 

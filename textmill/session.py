@@ -63,6 +63,12 @@ def _clean() -> None:
             return
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many tasks as there are cores, if a small input came in fewer; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the tables, a Parquet file or folder each."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
