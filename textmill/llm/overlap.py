@@ -179,6 +179,50 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     return good
 
 
+#: Texts of more words than this are compared one pair at a time, by furthest reaching ends.
+LONG_WORDS = 256
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _prefix_hashes(a: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Sums of words times powers of an odd base, modulo 2 ** 64, of all beginnings of a."""
+    return np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((a.astype(np.uint64) + np.uint64(1)) * powers[: len(a)], dtype=np.uint64)])
+
+
+def within_long(a: np.ndarray, b: np.ndarray, most: int) -> bool:
+    """Whether the edit distance of two long texts is at most most: for 0, 1, 2 ... edits the furthest end on each
+    diagonal, all diagonals at once; equal runs are measured by bisection on hashes of beginnings."""
+    x, y = len(a), len(b)
+    if abs(x - y) > most:
+        return False
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(x, y), _BASE, dtype=np.uint64)]), dtype=np.uint64)
+    ha, hb = _prefix_hashes(a, powers), _prefix_hashes(b, powers)
+
+    def run(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        lo, hi = np.zeros(len(i), dtype=np.int64), np.minimum(x - i, y - j)
+        while (lo < hi).any():
+            mid = (lo + hi + 1) // 2
+            same = (ha[i + mid] - ha[i]) * powers[np.maximum(j - i, 0)] == (hb[j + mid] - hb[j]) * powers[np.maximum(i - j, 0)]
+            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
+        return lo
+
+    far = np.full(2 * most + 3, -2, dtype=np.int64)  # by diagonal j - i + most + 1: the furthest i
+    for e in range(most + 1):
+        k = np.arange(max(-e, -x), min(e, y) + 1)
+        at = k + most + 1
+        i = np.zeros(len(k), dtype=np.int64) if e == 0 else np.maximum(np.maximum(far[at] + 1, far[at + 1] + 1), far[at - 1])
+        i = np.minimum(i, np.minimum(x, y - k))
+        ok = (i >= 0) & (i + k >= 0)
+        k, at, i = k[ok], at[ok], i[ok]
+        i = i + run(i, i + k)
+        new = far.copy()
+        new[at] = np.maximum(new[at], i)
+        far = new
+        if far[y - x + most + 1] >= x:
+            return True
+    return False
+
+
 def _distinct(frame: pd.DataFrame) -> tuple[list[np.ndarray], list[list[int]]]:
     ids: dict[bytes, list[int]] = {}
     for w, i in zip(frame["w"], frame["id"]):
@@ -231,6 +275,9 @@ def matches(train: list[np.ndarray], held: list[np.ndarray]) -> np.ndarray:
     good = np.zeros(len(merged), dtype=bool)
     for x, y in np.unique(shape, axis=0):
         those = np.flatnonzero((shape[:, 0] == x) & (shape[:, 1] == y))
+        if min(x, y) > LONG_WORDS:
+            good[those] = [within_long(train[k], held[m], int(max(x, y)) // DIFFER) for k, m in merged[those]]
+            continue
         for part in np.array_split(those, len(those) * int(x) // _CHUNK + 1):
             if len(part):
                 good[part] = within(np.stack([train[k] for k in merged[part, 0]]), np.stack([held[k] for k in merged[part, 1]]), int(max(x, y)) // DIFFER)
