@@ -48,7 +48,7 @@ _SIGNS = "¡¿«»“”‘’„…–—•§©®™°ºª½€£♪′″ ‍
 ORDINARY = re.compile(f"[\x00-\x7f{_LETTERS}Ά-ΊΌΎ-ΡΣ-ώ{_SIGNS}]+")
 _STRANGE = re.compile(f"[^\x00-\x7f{_LETTERS}Ά-ΊΌΎ-ΡΣ-ώ{_SIGNS}]")
 #: Places that ordinary text doesn't have, though each character may be ordinary.
-_PLACES = "[a-záéíóúüñëçï][ÁÉÍÓÚÜÑËÇÏ]|[A-Za-zÀ-ɏ][Ά-ώ]|[Ά-ώ][A-Za-zÀ-ɏ]|[A-Za-zÀ-ɏ][·½¿¡£§©®](?=[A-Za-zÀ-ɏ])|[a-z]·(?![ \\w])|[BΒ]°[CF]|Β[§£©½®]"
+_PLACES = "[a-záéíóúüñëçï][ÁÉÍÓÚÜÑËÇÏ]|[A-Za-zÀ-ɏ][Ά-ώ]|[Ά-ώ][A-Za-zÀ-ɏ]|[A-Za-zÀ-ɏ][·½¿¡£§©®](?=[A-Za-zÀ-ɏ])|[a-z]·(?![ \\w])|[BΒ]°[CF]|Β[§£©½®]|[Ά-ώ][§£©®½°«»¡¿](?=[A-Za-z])"
 _MARKS = re.compile("[�\x80-\x9f]|ï¿½")
 #: A text in which this finds nothing is clean.
 SUSPECT = re.compile(f"{_STRANGE.pattern}|{_PLACES}")
@@ -185,25 +185,24 @@ class Undo:
             plain = undo(token, way)
             if plain is not None and plain != token and not _MARKS.search(plain) and self._fits(plain):
                 return "certain", plain, way
-        strange = SUSPECT.search(token)
         if not _MARKS.search(token):
             for way in self.pages:
                 plain = undo(token, way)
                 if plain is None or plain == token or SUSPECT.search(plain) or not ORDINARY.fullmatch(plain):
                     continue
-                weak = bool(_FOREIGN_CASE.search(token)) and not SUSPECT.search(re.sub(r"^\W*\w", "", token)) or token.isupper() or re.fullmatch(r"[\W\dЀ-ӿ]*[Ѐ-ӿ]+[\W\d]*", token) is not None
+                weak = not re.search(r"\w", token) and re.search(r"\w", plain) is not None or bool(_FOREIGN_CASE.search(token)) and not SUSPECT.search(re.sub(r"^\W*\w", "", token)) or token.isupper() or re.fullmatch(r"[\W\dЀ-ӿ]*[Ѐ-ӿ]+[\W\d]*", token) is not None
                 return "weak" if weak else "certain", plain, way
         if hit := self.part.search(token):
             plain = self.part.sub(lambda m: self.parts[m[0]], token)
             return "lost" if SUSPECT.search(plain) else "certain", plain, self.utf8[0] if hit else None
         if _MARKS.search(token) or _CUT.search(token):
             return "lost", token, None
-        return "clean", token, None if strange else None
+        return "clean", token, None
 
     def _fits(self, plain: str) -> bool:
         """Whether plain is what a text may hold: letters, signs and emoji, no leftovers of a misreading."""
         rest = EMOJI_PARTS.sub("", plain)
-        return not re.search("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f-]", rest) and not re.search("[ÃÂ][\x80-\xbf]", rest) and all(c < "ɐ" or "Ͱ" <= c < "԰" or " " <= c < "Ⰰ" or c >= "\U0001f000" for c in rest)
+        return not re.search("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f-]", rest) and not re.search("[ÃÂ][\x80-\xbf]", plain) and all(c < "ɐ" or "Ͱ" <= c < "԰" or " " <= c < "Ⰰ" or c >= "\U0001f000" for c in rest)
 
     def text(self, text: str) -> tuple[bool, str, bool]:
         """(whether anything is garbled, the text as far as it can be restored, whether all of it could be)."""
@@ -225,9 +224,20 @@ class Undo:
             return m[0]
 
         out = _TOKEN.sub(one, text)
-        for token, plain, way in weak:
-            if way in ways:
-                out = out.replace(token, plain)
+        if found:
+            here = {token: plain for token, plain, way in weak if way in ways}
+            sure = [w for w in ways if w and w[0] == "utf_8"]
+
+            def rest(m: re.Match) -> str:  # damage of the same kind that looks like ordinary characters
+                if m[0].isascii() or len(m[0]) < 3:
+                    return here.get(m[0], m[0])
+                for way in sure:
+                    plain = undo(m[0], way)
+                    if plain is not None and plain != m[0] and self._fits(plain):
+                        return plain
+                return here.get(m[0], m[0])
+
+            out = _TOKEN.sub(rest, out)
         return found, out if found else text, whole
 
 
