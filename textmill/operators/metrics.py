@@ -46,7 +46,7 @@ def accuracies(rows: DataFrame, gold: Column, guesses: Column, kind: str) -> Dat
 def pivoted(results: DataFrame, rows: str, columns: str, value: str, names: list[str]) -> DataFrame:
     """A row for each of rows, a column for each name, n/a where there is no value."""
     wide = results.groupBy(rows).pivot(columns, names).agg(F.first(value))
-    return wide.select(rows, *[F.coalesce(F.format_string("%.4f", F.col(n)), F.lit("n/a")).alias(n) for n in names])
+    return wide.select(rows, *[F.when(F.col(n).isNull(), "n/a").otherwise(F.format_string("%.4f", F.col(n))).alias(n) for n in names])
 
 
 def mean_of_sets(results: DataFrame, model: str, value: str) -> DataFrame:

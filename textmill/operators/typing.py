@@ -75,7 +75,7 @@ def mixed(taps: DataFrame, keys: DataFrame, sigma: float, id: tuple[str, ...], s
     return ranked.select(*taps.columns, "_t", F.posexplode("_w").alias("rank", "_e")).select(*taps.columns, "rank", F.col("_e.near").alias("near"), (F.col("_e.w") / F.col("_t")).alias("weight"))
 
 
-def base_letters(word: Column, own: str = "ëç", accents: str = "áéíóúüñàèìòùâêîôûäöåάέήίόύώϊϋΐΰ", plain: str = "aeiouunaeiouaeiouaoaαεηιουωιυιυ") -> Column:
+def base_letters(word: Column, own: str = "ëç", accents: str = "áéíóúüñàèìòùâêîôûäëïöåçάέήίόύώϊϋΐΰ", plain: str = "aeiouunaeiouaeiouaeioacαεηιουωιυιυ") -> Column:
     """What the keys under the finger were: lower case, no accents but on letters that have a key of their own."""
     kept = "".join(a for a in accents if a not in own)
     to = "".join(p for a, p in zip(accents, plain) if a not in own)

@@ -7,10 +7,12 @@ time are an extension.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from textmill.functions import text as T
 
@@ -56,11 +58,6 @@ def each_batch(stream: DataFrame, apply: Callable[[DataFrame], DataFrame], path:
 def teacher(spark: SparkSession, client: Callable[[], Callable[[list[str]], list[str]]], size: int = 60):  # noqa: ANN201
     """A function of a text column that asks a client for rewrites, in groups of size; each task makes its client once.
     An item that fails three times gives an empty text."""
-    from collections.abc import Iterator
-
-    import pandas as pd
-    from pyspark.sql.types import StringType
-
     @F.pandas_udf(StringType())
     def ask(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         call = client()
