@@ -53,6 +53,8 @@ _MARKS = re.compile("[�\x80-\x9f]|ï¿½")
 #: A text in which this finds nothing is clean.
 SUSPECT = re.compile(f"{_STRANGE.pattern}|{_PLACES}")
 _CUT = re.compile("[a-záéíóúñëç][ÃÂ](?=[^ A-ZÀ-ÞO]|$)|â€")
+_BOTH = re.compile("[A-Za-zÀ-ɏ][Ά-ώ]|[Ά-ώ][A-Za-zÀ-ɏ]")
+_LATIN_WORD = re.compile("[\x00-\x7fÀ-ɏ¡¿«»“”‘’„…–—]+")
 _TOKEN = re.compile("[^ \t\r\n]+")
 _OTHER = re.compile(r"[^\x00-\x7f]+")
 _FOREIGN_CASE = re.compile(r"^\W*[À-ÞĀ-ɏ]")
@@ -181,17 +183,27 @@ class Undo:
 
     def token(self, token: str) -> tuple[str, str, Way | None]:
         """(kind, repaired token, way); kind: certain, lost (damage that stays), weak or clean."""
+        best = None
         for way in self.utf8:
             plain = undo(token, way)
             if plain is not None and plain != token and not _MARKS.search(plain) and self._fits(plain):
-                return "certain", plain, way
+                left = len(_STRANGE.findall(EMOJI_PARTS.sub("", plain)))
+                if best is None or left < best[0]:
+                    best = (left, plain, way)
+                if not left:
+                    break
+        if best:
+            return "certain", best[1], best[2]
         if not _MARKS.search(token):
+            mixed = _BOTH.search(token)
             for way in self.pages:
                 plain = undo(token, way)
-                if plain is None or plain == token or SUSPECT.search(plain) or not ORDINARY.fullmatch(plain):
+                if plain is None or plain == token:
                     continue
-                weak = not re.search(r"\w", token) and re.search(r"\w", plain) is not None or bool(_FOREIGN_CASE.search(token)) and not SUSPECT.search(re.sub(r"^\W*\w", "", token)) or token.isupper() or re.fullmatch(r"[\W\dЀ-ӿ]*[Ѐ-ӿ]+[\W\d]*", token) is not None
-                return "weak" if weak else "certain", plain, way
+                if not ORDINARY.fullmatch(plain) or SUSPECT.search(plain):
+                    if not (mixed and _LATIN_WORD.fullmatch(plain)):
+                        continue
+                return "weak" if self._doubtful(token, plain) else "certain", plain, way
         if hit := self.part.search(token):
             plain = self.part.sub(lambda m: self.parts[m[0]], token)
             return "lost" if SUSPECT.search(plain) else "certain", plain, self.utf8[0] if hit else None
@@ -199,6 +211,16 @@ class Undo:
             return "lost", token, None
         return "clean", token, None
 
+    def _doubtful(self, token: str, plain: str) -> bool:
+        """Whether a token may be a foreign word: a strange capital at its start or in a word of capitals, or a word all in
+        Cyrillic; or a sign that may mean itself."""
+        if not re.search(r"\w", token):
+            return re.search(r"\w", plain) is not None
+        if any(not c.isalpha() for c in _STRANGE.findall(token)):
+            return False
+        start = bool(_FOREIGN_CASE.search(token)) and not SUSPECT.search(re.sub(r"^\W*\w", "", token))
+        return start or token.isupper() or re.fullmatch(r"[\W\d]*[Ѐ-ӿ]+[\W\d]*", token) is not None
+
     def _fits(self, plain: str) -> bool:
         """Whether plain is what a text may hold: letters, signs and emoji, no leftovers of a misreading."""
         rest = EMOJI_PARTS.sub("", plain)
