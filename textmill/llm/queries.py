@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,4 +100,21 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p1_found, p1_copies_counted, p1_collisions, p2_found, p2_split, p2_shares, p3_found, p4_found, p4_consistent, p5_found, p5_counts, p6_pack, p6_fill, p7_mix, p7_shares, p8_found, p8_restored)}
-ORACLE: dict[str, str] = {}
+_letters = lambda x: rf"replace(regexp_replace(lower(nfc_normalize(coalesce({x}, ''))), '[^\p{{L}}\p{{N}}]', '', 'g'), 'ς', 'σ')"
+_strip = lambda x: rf"regexp_replace({x}, '^[\s\p{{Z}}\p{{Cf}}]+|[\s\p{{Z}}\p{{Cf}}]+$', '', 'g')"
+_KEYED = f"""clips AS (SELECT 'train_cv' AS tbl, clip_id AS id, lang || chr(31) || {_letters("text")} AS k FROM train_cv WHERE {_letters("text")} <> ''),
+objects AS (SELECT line_id, raw FROM pair_lines WHERE CASE WHEN json_valid(raw) THEN json_type(raw) = 'OBJECT' ELSE false END),
+fields AS (SELECT line_id, trim(lower(coalesce(raw ->> '$.lang', ''))) AS l, trim(lower(coalesce(raw ->> '$.mode', ''))) AS m, {_letters("raw ->> '$.input'")} AS a, {_letters("raw ->> '$.output'")} AS b FROM objects),
+keyed AS (SELECT * FROM clips UNION ALL SELECT 'pair_lines', line_id, concat_ws(chr(31), l, m, a, b) FROM fields WHERE a <> '' AND b <> ''),
+grouped AS (SELECT tbl, k, min(id) AS first_id, count(*) AS n FROM keyed GROUP BY tbl, k)"""
+_NOBODY = ", ".join(sorted({"'" + re.sub(r"^[\W_]+|[\W_]+$", "", p[: splits.ID_CHARS]) + "'" for p in splits.PLACEHOLDERS}))
+_who = f"lower(left({_strip('speaker')}, {splits.ID_CHARS}))"
+_NAMED = rf"""bare AS (SELECT *, regexp_replace(who, '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g') AS b FROM (SELECT 'train_cv' AS tbl, clip_id, {_who} AS who FROM train_cv UNION ALL SELECT 'eval_cv', clip_id, {_who} FROM eval_cv)),
+named AS (SELECT * FROM bare WHERE b <> '' AND b NOT IN ({_NOBODY}))"""
+ORACLE: dict[str, str] = {
+    "p1_found": f"WITH {_KEYED} SELECT tbl, first_id, id AS copy_id FROM keyed JOIN grouped USING (tbl, k) WHERE id <> first_id",
+    "p1_copies_counted": f"WITH {_KEYED} SELECT tbl, first_id, n FROM grouped",
+    "p2_found": f"""WITH {_NAMED}, keys AS (SELECT pair_id, split, coalesce(lang, '') AS l, {_letters("input")} AS k FROM pairs)
+        SELECT 'eval_cv' AS tbl, clip_id AS rec_id FROM named WHERE tbl = 'eval_cv' AND who IN (SELECT who FROM named WHERE tbl = 'train_cv')
+        UNION ALL SELECT 'pairs', pair_id FROM keys e WHERE split IN ('val', 'test') AND k <> '' AND EXISTS (SELECT 1 FROM keys t WHERE t.split = 'train' AND t.l = e.l AND t.k = e.k)""",
+}
