@@ -12,10 +12,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    from textmill.session import session
+    from textmill.session import session, ship
 
     made = session("tests", "local[4]", spark__driver__memory="4g", spark__sql__shuffle__partitions="4", spark__default__parallelism="4", spark__ui__showConsoleProgress="false", spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")))
     made.sparkContext.setLogLevel("ERROR")
+    ship(made)
     yield made
     made.stop()
 

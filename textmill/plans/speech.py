@@ -47,7 +47,7 @@ def held_texts(spark: SparkSession, sf: str) -> DataFrame:
 
 def group_cap(spark: SparkSession, sf: str) -> DataFrame:
     clips = table(spark, sf, "train_cv")
-    return M.capped(clips, 0.02).select("clip_id")
+    return M.capped(clips, 0.005).select("clip_id")
 
 
 def label_verification(spark: SparkSession, sf: str) -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _written: list[tuple[SparkSession, str]] = []
+_shipped: set[str] = set()
 
 
 def session(app: str = "textmill", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,6 +32,20 @@ def session(app: str = "textmill", master: str | None = None, **conf: str) -> Sp
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once an application, so that they need no installation or path."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="textmill-")) / "textmill.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent).as_posix())
+    sc.addPyFile(str(archive))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. The cluster names it; a local temporary one serves only local masters."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
@@ -71,4 +88,5 @@ def spread(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the tables, a Parquet file or folder each."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
