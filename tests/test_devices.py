@@ -57,6 +57,14 @@ def test_typed(spark):
     assert all(1 <= len(r.keys_typed) < len(r.word) for r in short if len(r.word) > 2)
 
 
+def test_with_errors(spark):
+    words = spark.createDataFrame([("en", w, k) for k, w in enumerate(["a", "keyboard", "letter", "word"] * 20)], "lang string, word string, word_id int")
+    out = Y.with_errors(words, Y.keys(spark), {}).collect()
+    assert len(out) == 80
+    assert all(r.keys_typed != r.word and len(r.keys_typed) >= len(r.word) - 1 for r in out if len(r.word) > 3)
+    assert {r.keys_typed for r in out if r.word == "a"} == {"a"}
+
+
 def test_mixed_and_conditions(spark):
     taps = spark.createDataFrame([("en", c, k) for k, c in enumerate("qwertyasdfgh")], "lang string, key string, id int")
     out = Y.mixed(taps, Y.keys(spark), 0.15, ("id",)).groupBy("id").agg(F.sum("weight").alias("w"), F.count("*").alias("n"), F.min("weight").alias("lo")).collect()

@@ -67,6 +67,9 @@ def test_corrected_later(spark):
     assert len(out) == 30
     for r in out:
         assert " no wait " in r.input or r.input.endswith("no wait")
+    count = spark.range(60).selectExpr("id AS pair_id", "'en' AS lang", "'Please buy two more of these today' AS output")
+    said = [r.input for r in P.corrected_later(count, rules, 60, numbers={"en": ["two", "three"]}).collect()]
+    assert 15 < sum(" three " in f" {x} " for x in said) < 45 and all(x.rstrip().count("two") >= 1 for x in said)
     short = spark.createDataFrame([(1, "en", "Too short here"), (2, "xx", "no rules for this one here"), (3, "en", None)], "pair_id bigint, lang string, output string")
     assert P.corrected_later(short, rules, 5).isEmpty()
 

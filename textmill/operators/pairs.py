@@ -150,27 +150,35 @@ def dictated(rows: DataFrame, rules: DataFrame, how: Noise = Noise(), id: str =
     return noisy.select(id, "lang", F.col(text).alias("text"), F.when(stays, F.col(text)).otherwise(F.array_join(out, " ")).alias("input"))
 
 
-def corrected_later(rows: DataFrame, rules: DataFrame, per_lang: int, how: Noise = Noise(), id: str = "pair_id", text: str = "output") -> DataFrame:
+def corrected_later(rows: DataFrame, rules: DataFrame, per_lang: int, how: Noise = Noise(), id: str = "pair_id", text: str = "output", numbers: dict[str, list[str]] | None = None) -> DataFrame:
     """id, lang, text, input: dictations in which a wrong word is put right later on; at most per_lang of each language.
 
     The wrong word is drawn from the words of all texts of the language: they are ranked, and a draw picks a rank, so the
     vocabulary is joined, not collected. Texts of fewer than five words, or without a word of four letters after the
-    first, give none.
+    first, give none. numbers: number words by language; every other text that has one gets a wrong number instead.
     """
     base = T.composed(rows.select(id, "lang", text).filter(F.col(text).isNotNull() & F.col("lang").isNotNull()), text)
     u = lambda salt, *more: draw(how.seed, "later-" + salt, F.col(id), *more)
     ws = F.regexp_extract_all(F.lower(text), F.lit(TOKENS), 0)
     places = F.filter(F.transform("_w", lambda w, i: F.when((i > 0) & (F.length(w) >= 4), i + 1)), lambda p: p.isNotNull())
-    known = base.withColumn("_w", ws).filter(F.size("_w") >= 5).withColumn("_p", places).filter(F.size("_p") > 0)
+    count = F.array().cast("array<string>")
+    for lang, listed in (numbers or {}).items():
+        count = F.when(F.col("lang") == lang, F.array(*[F.lit(w) for w in listed])).otherwise(count)
+    known = base.withColumn("_w", ws).filter(F.size("_w") >= 5).withColumn("_p", places).withColumn("_numbers", count)
+    at = F.filter(F.transform("_w", lambda w, i: F.when(F.array_contains("_numbers", w), i + 1)), lambda p: p.isNotNull())
+    known = known.withColumn("_at", F.when(u("number") < 0.5, at).otherwise(F.array().cast("array<int>"))).withColumn("_isnumber", F.size("_at") > 0)
+    known = known.withColumn("_p", F.when(F.col("_isnumber"), F.col("_at")).otherwise(F.col("_p"))).filter(F.size("_p") > 0)
     rules = rules.select(F.col("code").alias("lang"), F.coalesce("light_fillers", F.slice("fillers", 1, 3)).alias("_f"), F.col("corrections").alias("_c"))
     known = known.join(F.broadcast(rules), "lang").withColumn("_i", _pick(F.col("_p"), u("place")))
     vocab = base.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{4,}"), 0))).alias("wrong")).distinct()
     ranked = dense_rank_in(vocab, ["lang"], F.col("wrong"), "_rank")
     sizes = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("_size"))
     known = known.join(F.broadcast(sizes), "lang").withColumn("_rank", F.floor(u("vocab") * F.col("_size")).cast("long"))
-    known = known.join(ranked, ["lang", "_rank"]).filter(F.col("wrong") != F.element_at("_w", F.col("_i").cast("int")))
+    spoken_word = F.element_at("_w", F.col("_i").cast("int"))
+    other = _pick(F.filter("_numbers", lambda n: n != spoken_word), u("other"))
+    known = known.join(ranked, ["lang", "_rank"]).withColumn("wrong", F.when(F.col("_isnumber"), other).otherwise(F.col("wrong"))).filter(F.col("wrong") != spoken_word)
     i, n = F.col("_i").cast("int"), F.size("_w")
-    right = F.when(u("article") < 0.5, F.slice("_w", i - 1, F.lit(2))).otherwise(F.slice("_w", i, F.lit(1)))
+    right = F.when(~F.col("_isnumber") & (u("article") < 0.5), F.slice("_w", i - 1, F.lit(2))).otherwise(F.slice("_w", i, F.lit(1)))
     spoken = F.concat(F.slice("_w", F.lit(1), i - 1), F.array("wrong"), F.slice("_w", i + 1, n - i))
     known = known.withColumn("_s", spoken).withColumn("_r", right).withColumn("_cut", (i + F.floor(u("cut") * (n - i + 1))).cast("int"))
     said = lambda part, salt: F.flatten(F.transform(part, lambda w, k: F.when(u(salt, k) < how.inner, F.array(_pick(F.col("_f"), u(salt + "-which", k)), w)).otherwise(F.array(w))))

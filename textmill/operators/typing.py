@@ -176,6 +176,17 @@ def typed(words: DataFrame, keys: DataFrame, stages: dict[str, list[list[Rule]]]
     return out.withColumn("keys_typed", F.array_join(known, "")).drop("_k", "_near")
 
 
+def with_errors(words: DataFrame, keys: DataFrame, stages: dict[str, list[list[Rule]]], how: Taps = Taps(), id: tuple[str, ...] = ("word_id",), word: str = "word", attempts: int = 20) -> DataFrame:
+    """typed(), but of up to attempts tries the first with an error that leaves at most one key out; the last one if none
+    has."""
+    tries = words.withColumn("_try", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
+    out = typed(tries, keys, stages, how, (*id, "_try"), word)
+    base = base_letters(F.col(word))
+    good = (F.length("keys_typed") >= F.length(base) - 1) & (F.col("keys_typed") != base)
+    first = out.groupBy(*words.columns).agg(F.min(F.struct((~good).alias("bad"), F.when(good, F.col("_try")).otherwise(-F.col("_try")).alias("n"), "keys_typed")).alias("_f"))
+    return first.select(*words.columns, F.col("_f.keys_typed").alias("keys_typed"))
+
+
 def conditions(words: DataFrame, typed_: str = "keys_typed", word: str = "word") -> DataFrame:
     """words with condition, keys, sigma: clean (base letters), typos (with errors) and partial (the first 0.6)."""
     base = base_letters(F.col(word))

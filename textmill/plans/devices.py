@@ -40,7 +40,7 @@ def typing_noise(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def typing_conditions(spark: SparkSession, sf: str) -> DataFrame:
-    return Y.conditions(typing_noise(spark, sf)).select("lang", "word", "condition", "keys", "sigma")
+    return Y.conditions(Y.with_errors(_words(spark, sf), Y.keys(spark), STAGES, id=("lang", "word"))).select("lang", "word", "condition", "keys", "sigma")
 
 
 def tap_mix(spark: SparkSession, sf: str) -> DataFrame:

@@ -15,6 +15,7 @@ from textmill.session import table
 
 SWEARS = P.Swears()
 NO_ADD = ("please", "basically", "κοιτα", "pra", "bueno")
+NUMBERS = {"el": ["δύο", "τρία", "τέσσερα"], "sq": ["dy", "tri", "katër"], "en": ["two", "three", "four"], "es": ["dos", "tres", "cuatro"]}
 _KEY = ("source", "doc_id", "line_no")
 
 
@@ -90,7 +91,7 @@ def messy_dictation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trailing_corrections(spark: SparkSession, sf: str) -> DataFrame:
-    return P.corrected_later(table(spark, sf, "pairs").filter("mode = 'light'"), table(spark, sf, "lang_rules"), 200)
+    return P.corrected_later(table(spark, sf, "pairs").filter("mode = 'light'"), table(spark, sf, "lang_rules"), 200, numbers=NUMBERS)
 
 
 def holdout_by_message(spark: SparkSession, sf: str) -> DataFrame:
