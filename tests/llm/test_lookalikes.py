@@ -4,6 +4,7 @@ from textmill.llm import lookalikes as L
 from textmill.llm.scripts import ordinary
 
 ODD = {
+    "\U0001d41b\U0001d428\U0001d425\U0001d41d": "bold",
     "ｏｋ go": "ok go",
     "Mбr": None,  # no look-alike of б: stays
     "Мbrëmë shofеr": "Mbrëmë shofer",
@@ -16,7 +17,7 @@ ODD = {
     "Kelvin": "Kelvin",
     "άλλα": "άλλα",
 }
-PLAIN = ["plain text", "wifi και tokenizer", "Привет naïve", "“quotes” — … • ½ 1.º €", "\U0001f9d1‍\U0001f373 ❤️", "tab\tand\nline"]
+PLAIN = ["plain text", "wifi και tokenizer", "Привет naïve", "“quotes” — … • ½ 1.º €", "\U0001f9d1‍\U0001f373 ❤️", "tab\tand\nline", "5 \u00b5m x\u00b2 \u2460 H\u2082O"]
 
 
 @pytest.mark.parametrize(("text", "want"), [(k, v) for k, v in ODD.items() if v])

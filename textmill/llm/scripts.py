@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import cache
 
 # Letters of one script that look like letters of another (Unicode's confusables, the common subset).
 CYRILLIC_LIKE_LATIN = {
@@ -48,13 +49,27 @@ def script(text: str) -> str:
     return best if counts[best] else ""
 
 
+#: Kinds of compatible characters that look different from the ordinary ones.
+_DIFFERENT = ("<super>", "<sub>", "<circle>", "<square>", "<fraction>")
+#: A number in micro units, whose sign is meant.
+MICRO = re.compile("[0-9.,/]*\u00b5[A-Za-zΩ]{0,3}[.,;:!?)]*")
+
+
+@cache
+def _width(c: str) -> str:
+    """c in its ordinary width and style, itself if it is a sign of its own."""
+    if c.isascii() or c in TYPOGRAPHY or unicodedata.decomposition(c).startswith(_DIFFERENT):
+        return c
+    return unicodedata.normalize("NFKC", c)
+
+
 def composed(word: str) -> str:
     """word without invisible characters, its letters and digits composed and of ordinary width."""
-    if word.isascii():
+    if word.isascii() or MICRO.fullmatch(word):
         return word
     word = EMOJI_PARTS.sub(lambda m: m[0], word) if INVISIBLE.search(word) is None else _visible(word)
     word = unicodedata.normalize("NFC", word)
-    return "".join(c if c.isascii() or c in TYPOGRAPHY or (n := unicodedata.normalize("NFKC", c)) == c else n for c in word)
+    return "".join(map(_width, word))
 
 
 def _visible(word: str) -> str:

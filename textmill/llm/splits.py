@@ -34,7 +34,7 @@ ID_CHARS = 16
 PLACEHOLDERS = (
     "unknown", "anonymous", "anon", "n/a", "na", "none", "null", "nil", "nan", "nobody", "noname", "no name", "no speaker", "undefined",
     "unspecified", "not specified", "unnamed", "missing", "empty", "blank", "default", "guest", "user", "speaker", "speaker id", "client_id", "test", "tbd", "todo", "various", "other",
-    "unk", "<unk>", "[unknown]", "(unknown)", "desconocido", "desconocida", "anonimo", "anónimo", "ninguno", "άγνωστος", "άγνωστη", "ανώνυμος", "κανένας", "i panjohur", "e panjohur", "panjohur", "anonim", "askush",
+    "unknown speaker", "not available", "not known", "no id", "no one", "unidentified", "not given", "not provided", "withheld", "redacted", "unk", "<unk>", "[unknown]", "(unknown)", "desconocido", "desconocida", "anonimo", "anónimo", "ninguno", "άγνωστος", "άγνωστη", "ανώνυμος", "κανένας", "i panjohur", "e panjohur", "panjohur", "anonim", "askush",
 )
 
 
