@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -55,6 +57,37 @@ def test_split(spark, rows):
     assert abs(got["train"] - 0.9) < 0.01 and abs(got["val"] - 0.05) < 0.01
 
 
+def test_linked_equals_union_find(spark):
+    rng = random.Random(4)
+    data = [(k, rng.choice([None, *map(str, range(60))]), rng.choice([None, None, *map(str, range(60))])) for k in range(150)]
+    data += [(1000 + k, f"a{k // 2}", f"b{(k + 1) // 2}") for k in range(64)]  # one long chain
+    data += [(2000 + k, "hot", None) for k in range(300)]
+    up = {i: i for i, *_ in data}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    seen = {}
+    for i, a, b in data:
+        for k in (("a", a), ("b", b)):
+            if k[1] is not None:
+                up[find(i)] = find(seen.setdefault(k, i))
+    df = spark.createDataFrame(data, "id bigint, a string, b string")
+    got = {r.id: r.key for r in splits.linked(df, "id", ["a", "b"]).collect()}
+    assert len(got) == len(data)
+    groups, want = {}, {}
+    for i, a, b in data:
+        if a is None and b is None:
+            assert got[i] is None
+        else:
+            groups.setdefault(got[i], set()).add(i)
+            want.setdefault(find(i), set()).add(i)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+    assert splits.linked(df.limit(0), "id", ["a"]).isEmpty()
+
+
 def test_empty(spark, rows):
     plan = spark.createDataFrame([("train", 1.0)], PLAN)
     recs = splits.records(spark.createDataFrame([], CLIP), spark.createDataFrame([], CLIP), spark.createDataFrame([], PAIR))

@@ -1,6 +1,7 @@
 """Problem 2: splits that keep related records together.
 
-Records that share a key (speaker; lang and letters of the input) are one component. The components' weights are
+Records that share a key (speaker; lang and letters of the input) are one component; linked() follows links over several
+keys. The components' weights are
 balanced by largest differencing: the sets of bins with the most extreme differences are combined again and again, the
 heaviest bin of one with the lightest of the other, until one set of many nearly equal bins is left; whole bins then go
 to the splits by the target shares. The driver sees only the histogram of weights, whose length is at most
@@ -67,6 +68,33 @@ def components(rows: DataFrame) -> DataFrame:
     return rows.withColumn("unit", unit).withColumn("comp", comp)
 
 
+def linked(rows: DataFrame, id: str, keys: list[str]) -> DataFrame:
+    """rows with key: the same for all records that are linked, directly or over others, by equal values of one of the
+    columns keys; null for records that have none of them. id is unique; a column key of rows is replaced.
+
+    Each round takes the smallest label over each value and each record, and then the label of the label, so that the rounds
+    grow with the logarithm of the longest chain. Each round is stored; hot values are attached by broadcast.
+    """
+    part = lambda k: F.sha2(F.concat(F.lit(k + "\x1f"), F.col(k).cast("string")), 256)
+    links = rows.select(F.col(id).alias("rec"), F.explode(F.array(*[part(k) for k in keys])).alias("val")).filter("val is not null")
+    links = materialize(links.distinct(), "links")
+    total = links.count()
+    labels = materialize(links.select("rec").distinct().withColumn("label", F.col("rec")), "labels")
+    while True:
+        each = materialize(links.join(labels, "rec"), "each")
+        least = each.groupBy("val").agg(F.min("label").alias("low"), F.count(F.lit(1)).alias("n"))
+        near = attach(each.select("rec", "val"), least, ["val"], "n", total).groupBy("rec").agg(F.min("low").alias("label"))
+        near = materialize(near, "near")
+        beyond = near.groupBy("label").agg(F.count(F.lit(1)).alias("n")).join(near.select(F.col("rec").alias("label"), F.col("label").alias("far")), "label")
+        new = materialize(attach(near, beyond, ["label"], "n", total).select("rec", F.least("label", "far").alias("label")), "labels")
+        moved = new.join(labels.withColumnRenamed("label", "old"), "rec").filter("label <> old")
+        done = moved.isEmpty()
+        labels = new
+        if done:
+            break
+    return rows.drop("key").join(labels.select(F.col("rec").alias(id), F.sha2(F.col("label").cast("string"), 256).alias("key")), id, "left")
+
+
 def _kk(weights: list[int], bins: int) -> tuple[list[int], np.ndarray]:
     """Largest differencing into bins: of each weight its bin, and the bins' sums."""
     if not weights:
