@@ -35,6 +35,19 @@ def test_partial_and_lost():
     assert u.text("x\x92s")[0]
 
 
+def test_page_damage_that_looks_ordinary():
+    u = E.Undo(WAYS)
+    greek = "Η μητέρα μου θέλει να φύγει αν η βροχή περάσει. Ο καιρός όλη μέρα άλλα δείχνει, ένα παιδί. Το φως"
+    bad = E.garble(greek, ("cp1253", "cp1252", 1))
+    assert not any(E.SUSPECT.search(t) for t in ("íá", "áí", "ç", "Ï", "üëç", "Üëëá"))
+    assert u.text(bad) == (True, greek, True)
+    half = "Το παιδί είναι καλά και á " + bad
+    assert u.text(half) == (True, "Το παιδί είναι καλά και á " + E.garble("Η", ("cp1253", "cp1252", 1)) + greek[1:], False)
+    mac = E.garble("çdo ditë", ("cp1252", "mac_roman", 1))
+    assert u.text("për të " + mac + " një ditë")[1] == "për të Ádo ditë një ditë"
+    assert u.text("ditÎ " + mac) == (True, "ditë çdo ditë", True)
+
+
 def test_learned_from_twins(spark, rows):
     names = ["bashkë", "për", "gjatë", "shkallën", "është", "njëra", "lëviz", "mënyrë", "çdo", "këtu"]
     docs = [(k, " ".join(names), "x", "y", 1) for k in range(20)]

@@ -9,7 +9,9 @@ gets a vote. Ways with enough votes from different keys are learned.
 Applying: tokens of all texts that hold unusual characters are undone by the learned ways; a token is garbled if
 one of them gives a clean word; if only parts of it can be undone (characters were lost), these parts are. Characters that
 mark unreadable bytes, and C1 control characters, count as they are. Misread capitals that might be foreign words count
-only beside certain damage of the same kind in the same text.
+only beside certain damage of the same kind in the same text. In a text with certain damage, tokens that look ordinary are
+undone by the ways found there: UTF-8 wherever it fits, code pages where the nearest tokens on both sides that tell are
+misread the same way. Where only one side is, the token stays and the text doesn't count as complete.
 
 Defined cases: null, empty and ASCII texts are clean; texts of any length are read as a whole; repeated rows each get
 their own row; extra columns are ignored; where too few twins exist nothing is learned, and only unreadable marks,
@@ -19,9 +21,11 @@ controls and the ways in ALWAYS are found.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -166,6 +170,13 @@ def learn(docs: DataFrame, text: str = "text", least: int = LEAST_VOTES) -> list
     return list(dict.fromkeys([*learned, *ALWAYS]))
 
 
+def _clean(token: str, plain: str | None) -> bool:
+    """Whether plain, not token itself, is an ordinary word; a letter within a word is not undone to a sign."""
+    if plain is None or plain == token or not ORDINARY.fullmatch(plain) or SUSPECT.search(plain):
+        return False
+    return len(plain) != len(token) or not any(x.isalpha() and not y.isalpha() and before.isalpha() for before, x, y in zip(token, token[1:], plain[1:]))
+
+
 class Undo:
     """Finds and undoes garbled parts of texts, by learned ways."""
 
@@ -181,8 +192,8 @@ class Undo:
         self.parts = parts
         self.part = re.compile("|".join(sorted(map(re.escape, parts), key=lambda p: (-len(p), p)))) if parts else re.compile("$^")
 
-    def token(self, token: str) -> tuple[str, str, Way | None]:
-        """(kind, repaired token, way); kind: certain, lost (damage that stays), weak or clean."""
+    def token(self, token: str, pages: list[Way] | None = None) -> tuple[str, str, Way | None]:
+        """(kind, repaired token, way); kind: certain, lost (damage that stays), weak or clean. pages: self.pages in the order to try."""
         best = None
         for way in self.utf8:
             plain = undo(token, way)
@@ -196,7 +207,7 @@ class Undo:
             return "certain", best[1], best[2]
         if not _MARKS.search(token):
             mixed = _BOTH.search(token)
-            for way in self.pages:
+            for way in self.pages if pages is None else pages:
                 plain = undo(token, way)
                 if plain is None or plain == token:
                     continue
@@ -230,37 +241,67 @@ class Undo:
         """(whether anything is garbled, the text as far as it can be restored, whether all of it could be)."""
         if text.isascii() or not SUSPECT.search(text):
             return False, text, True
-        found, weak, whole, ways = False, [], True, set()
-
-        def one(m: re.Match) -> str:
-            nonlocal found, whole
-            if m[0].isascii() or not SUSPECT.search(m[0]):
-                return m[0]
-            kind, plain, way = self.token(m[0])
-            if kind in ("certain", "lost"):
-                found, whole = True, whole and kind == "certain"
-                ways.add(way)
-                return plain
-            if kind == "weak":
-                weak.append((m[0], plain, way))
-            return m[0]
-
-        out = _TOKEN.sub(one, text)
-        if found:
-            here = {token: plain for token, plain, way in weak if way in ways}
-            sure = [w for w in ways if w and w[0] == "utf_8"]
-
-            def rest(m: re.Match) -> str:  # damage of the same kind that looks like ordinary characters
-                if m[0].isascii() or len(m[0]) < 3:
-                    return here.get(m[0], m[0])
-                for way in sure:
-                    plain = undo(m[0], way)
-                    if plain is not None and plain != m[0] and self._fits(plain):
-                        return plain
-                return here.get(m[0], m[0])
-
-            out = _TOKEN.sub(rest, out)
-        return found, out if found else text, whole
+        spans = [m for m in _TOKEN.finditer(text) if not m[0].isascii()]
+        seen = {m[0]: self.token(m[0]) for m in spans if SUSPECT.search(m[0])}
+        found = any(kind in ("certain", "lost") for kind, _, _ in seen.values())
+        if not found:
+            return False, text, True
+        by_page = {token for token, (_, _, way) in seen.items() if way and way[0] != "utf_8"}
+        pages = self._by_use([m[0] for m in spans if m[0] in by_page])
+        utf8 = sum(seen[m[0]][2] in self.utf8 for m in spans if m[0] in seen) > sum(m[0] in by_page for m in spans)
+        # among UTF-8 damage a token that holds some is a broken piece of it
+        seen.update((token, self.token(token, [] if utf8 and self.part.search(token) else pages)) for token in by_page)
+        ways = {way for kind, _, way in seen.values() if kind in ("certain", "lost")}
+        whole = all(kind != "lost" for kind, _, _ in seen.values())
+        used = Counter(seen[m[0]][2] for m in spans if m[0] in seen)
+        sure = sorted((w for w in self.utf8 if w in ways), key=lambda w: -used[w])
+        plains = []
+        for m in spans:
+            kind, plain, way = seen.get(m[0], ("ordinary", m[0], None))
+            plain = plain if kind in ("certain", "lost") or way in ways else m[0]
+            for w in sure:  # damage of the same kind that looks like ordinary characters
+                x = undo(plain, w)
+                if x is not None and x != plain and self._fits(x) and all(unicodedata.category(c) != "Cn" for c in x):
+                    plain = x
+                    break
+            plains.append(plain)
+        doubt = False
+        for way in [w for w in pages if w in ways]:
+            doubt = self._beside(way, spans, seen, plains) or doubt
+        out, at = [], 0
+        for m, plain in zip(spans, plains):
+            out += [text[at : m.start()], plain]
+            at = m.end()
+        return True, "".join([*out, text[at:]]), whole and not doubt
+
+    def _by_use(self, tokens: list[str]) -> list[Way]:
+        """The code page ways, those first that give clean words for most of tokens."""
+        counts: Counter = Counter()
+        for token, n in Counter(tokens).items():
+            counts.update({w: n for w in self.pages if _clean(token, undo(token, w))})
+        return sorted(self.pages, key=lambda w: -counts[w])
+
+    def _beside(self, way: Way, spans: list[re.Match], seen: dict[str, tuple[str, str, Way | None]], plains: list[str]) -> bool:
+        """Undoes in plains the ordinary tokens of spans that way may have given, if the nearest tokens that tell are all
+        misread that way; whether any stay in doubt."""
+        signs, may = [], []  # 1: misread that way, -1: not, 0: doesn't tell
+        for m, plain in zip(spans, plains):
+            kind, x = seen.get(m[0], ("ordinary", "", None))[0], undo(m[0], way)
+            fits = _clean(m[0], x)
+            may.append(x if fits and plain == m[0] and kind != "lost" else None)
+            if kind == "certain":
+                signs.append(1 if fits and plain == x else -1)
+            else:
+                signs.append(-1 if kind in ("ordinary", "lost") and not fits and x != m[0] else 0)
+        near = lambda s: list(accumulate(s, lambda a, b: b or a))
+        doubt = False
+        for k, (x, before, after) in enumerate(zip(may, near(signs), reversed(near(signs[::-1])))):
+            if x is not None and max(before, after) > 0:
+                if min(before, after) < 0:
+                    doubt = True
+                else:
+                    plains[k] = x
+        return doubt
 
 
 def restored(docs: DataFrame, id: str = "doc_id", text: str = "text", ways: list[Way] | None = None) -> DataFrame:
