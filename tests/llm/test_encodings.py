@@ -61,6 +61,21 @@ def test_learned_from_twins(spark, rows):
     assert got[200] == ("Bosëdamash", True) and got[100] == (" ".join(names[:3]), True)
 
 
+def test_all_clean_variants_are_twins(spark):
+    way = ("cp1253", "cp1252", 1)
+    learned = lambda texts: E.learn(spark.createDataFrame([(k, t, "x", "y", 1) for k, t in enumerate(texts)], DOC))
+    assert way not in learned(["το παιδί abc", "το παιδί xyz"])
+    bad = [E.garble("παιδί", way) + " " + x for x in ("abc", "xyz")]
+    assert way in learned(["παιδί abc", "παιδί xyz"] + 5 * bad)  # the garbled variant is the most frequent
+    assert way in learned(["παιδί abc", "παιδί xyz"] + 5 * ["μέρα abc", "μέρα xyz"] + bad)  # another clean one is
+    long = "παιδί" * 40
+    assert way in learned([f"{long} {x}" for x in ("abc", "xyz")] + [f"{E.garble(long, way)} {x}" for x in ("abc", "xyz")])
+    mac, words = ("cp1252", "mac_roman", 1), ["xçxçxçxçxçxë", "yçyçyçyçyçyë"]
+    assert mac in learned(words + [E.garble(w, mac) for w in words])  # more open runs than are listed
+    part = ["mëngrë", "përtë"]
+    assert ("cp1252", "cp437", 1) in learned(part + [w[:2] + E.garble(w[2:], ("cp1252", "cp437", 1)) for w in part])
+
+
 def test_empty(spark, rows):
     assert E.learn(spark.createDataFrame([], DOC)) == list(E.ALWAYS)
     assert rows(E.restored(spark.createDataFrame([], DOC))) == []

@@ -1,10 +1,10 @@
 """Problem 8: garbled text from wrong character encodings.
 
 Learning: each token that mixes ASCII and other characters, and each token of other characters beside an ASCII one, is
-keyed by itself without its non-ASCII characters (digits folded). Under a key, the variant that most texts have is the
-clean twin of the others. Clean and garbled variant are aligned at their ASCII characters, and each way of misreading (true
-code page, wrong code page, once or twice) that turns the clean characters of an alignment exactly into the garbled ones
-gets a vote. Ways with enough votes from different keys are learned.
+keyed by itself without its non-ASCII characters (digits folded). Under a key, each variant without suspect characters may
+be the clean twin of each variant with some. Of the latter all texts that a way of misreading (true code page, wrong code
+page, once or twice) turns into it, in all or some of its runs of such characters, are looked up among the former; where one
+is found, the way gets a vote of the key. Ways with enough votes from different keys are learned.
 
 Applying: tokens of all texts that hold unusual characters are undone by the learned ways; a token is garbled if
 one of them gives a clean word; if only parts of it can be undone (characters were lost), these parts are. Characters that
@@ -25,14 +25,13 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
+from itertools import accumulate, product
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.scripts import EMOJI_PARTS
-from textmill.operators.skew import attach
 from textmill.session import materialize
 
 #: Keys that must vote for a way of misreading before it is learned.
@@ -123,49 +122,86 @@ def _fold(token: str) -> str:
 
 def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        counts: Counter = Counter()
+        out: set[str] = set()
         for text in b["t"]:
             if text.isascii():
                 continue
-            seen, before = set(), ""
+            before = ""
             for token in _TOKEN.findall(text):
                 if token.isascii():
                     if before and token[0].isalnum():
-                        seen.add(before + " " + _fold(token))
+                        out.add(before + " " + _fold(token))
                     before = ""
                 elif re.search("[A-Za-z]", token):
-                    seen.add(token)
+                    out.add(token)
                     before = ""
                 else:
-                    before = token if len(token) < 40 else ""
-            counts.update(v for v in seen if len(v) < 80)
-        yield pd.DataFrame({"key": [_OTHER.sub("", v) for v in counts], "variant": list(counts), "n": list(counts.values())})
+                    before = token
+        yield pd.DataFrame({"key": [_OTHER.sub("", v) for v in out], "variant": list(out), "bad": [SUSPECT.search(v) is not None for v in out]})
 
 
-def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    shape = lambda v: _OTHER.sub("\0", v)
+#: Runs of a garbled variant that may or may not be garbled, up to which all possible twins are listed.
+MOST_OPEN = 4
+
+
+def _runs(variant: str, way: Way) -> list[tuple[str, ...]]:
+    """Of each run of non-ASCII characters what it may have been; empty if the way can't have garbled the variant."""
+    out, any_bad = [], False
+    for x in _OTHER.findall(variant):
+        y = undo(x, way)
+        if y == x or y is not None and garble(y, way) != x:
+            y = None
+        may = tuple(r for r in (y, x) if r is not None and not _STRANGE.search(r))
+        if not may:
+            return []
+        any_bad = any_bad or y in may
+        out.append(may)
+    return out if any_bad else []
+
+
+def _twins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of garbled variants the twins that they may have, each with its way; of those with many open runs only the shape."""
     for b in batches:
         out = []
-        for key, variant, twin in zip(b["key"], b["variant"], b["twin"]):
-            if shape(variant) != shape(twin):
-                continue
-            runs = [(x, y) for x, y in zip(_OTHER.findall(variant), _OTHER.findall(twin)) if x != y]
-            if not runs or not SUSPECT.search(variant):
-                continue
+        for key, variant in zip(b["key"], b["variant"]):
             for k, way in enumerate(FAMILY):
-                if all(garble(y, way) == x for x, y in runs):
-                    out.append((k, key))
+                runs = _runs(variant, way)
+                if sum(len(r) > 1 for r in runs) > MOST_OPEN:
+                    out.append((k, key, None, variant, _shape(variant)))
+                    continue
+                between = _OTHER.split(variant)
+                for some in product(*runs) if runs else ():
+                    twin = between[0] + "".join(r + a for r, a in zip(some, between[1:]))
+                    if twin != variant:
+                        out.append((k, key, twin, None, None))
+        yield pd.DataFrame(out, columns=["way", "key", "variant", "garbled", "shape"])
+
+
+def _shape(variant: str) -> str:
+    return _OTHER.sub("\0", variant)
+
+
+def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        out = []
+        for k, key, garbled, twin in zip(b["way"], b["key"], b["garbled"], b["twin"]):
+            runs = [(x, y) for x, y in zip(_OTHER.findall(garbled), _OTHER.findall(twin)) if x != y]
+            if runs and all(garble(y, FAMILY[k]) == x for x, y in runs):
+                out.append((k, key))
         yield pd.DataFrame(out, columns=["way", "key"])
 
 
 def learn(docs: DataFrame, text: str = "text", least: int = LEAST_VOTES) -> list[Way]:
     """The ways of misreading that the twins among all texts vote for, most votes first. At most len(FAMILY) rows come to
     the driver."""
-    raw = docs.select(F.col(text).alias("t")).filter("t is not null").mapInPandas(_variants, "key string, variant string, n bigint")
-    variants = materialize(raw.groupBy("key", "variant").agg(F.sum("n").alias("n")), "variants")
-    twins = variants.groupBy("key").agg(F.max_by("variant", F.struct("n", "variant")).alias("twin"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-    pairs = attach(variants, twins, ["key"], "k", variants.count()).filter("variant <> twin").select("key", "variant", "twin")
-    votes = pairs.mapInPandas(_votes, "way int, key string").distinct().groupBy("way").count().collect()
+    raw = docs.select(F.col(text).alias("t")).filter("t is not null").mapInPandas(_variants, "key string, variant string, bad boolean")
+    variants = materialize(raw.distinct(), "variants")
+    clean = variants.filter("not bad").select("key", "variant")
+    may = materialize(variants.filter("bad").mapInPandas(_twins, "way int, key string, variant string, garbled string, shape string"), "twins")
+    listed = may.filter("garbled is null").select("way", "key", "variant").distinct().join(clean, ["key", "variant"], "left_semi").select("way", "key")
+    shapes = clean.select("key", F.col("variant").alias("twin"), F.regexp_replace("variant", r"[^\x00-\x7f]+", "\0").alias("shape"))
+    many = may.filter("garbled is not null").select("way", "key", "garbled", "shape").join(shapes, ["key", "shape"]).select("way", "key", "garbled", "twin")
+    votes = listed.unionByName(many.mapInPandas(_votes, "way int, key string")).distinct().groupBy("way").count().collect()
     learned = [FAMILY[r[0]] for r in sorted(votes, key=lambda r: (-r[1], r[0])) if r[1] >= least]
     return list(dict.fromkeys([*learned, *ALWAYS]))
 
