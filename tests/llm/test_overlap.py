@@ -71,6 +71,21 @@ def test_spans_are_merged():
     assert O.matches([a], [a]).tolist() == [[0, 0, 20]]
 
 
+def test_all_maximal_matches_are_counted():
+    assert min(n // (O.longest_partner(n) // 10 + 1) for n in range(5, 3000)) == O.LEAST_RUN
+    a = np.arange(20, dtype=np.uint32)
+    b = a.copy()
+    b[[6, 13]] = 99, 98
+    assert O.matches([a], [b]).tolist() == [[0, 0, 18]]
+    rng = random.Random(1)
+    for _ in range(300):
+        x = [rng.randrange(6) for _ in range(rng.randint(5, 40))]
+        y = changed(rng, x, 6)
+        k = O.LEAST_RUN
+        inside = {j + i for j in range(len(y) - k + 1) if any(x[p : p + k] == y[j : j + k] for p in range(len(x) - k + 1)) for i in range(k)}
+        assert O._covered(np.array(x, dtype=np.uint32), np.array(y, dtype=np.uint32), k) == (len(y) if x == y else len(inside))
+
+
 def test_search_finds_all_windows():
     texts = [np.array([1, 2, 3, 1, 2], dtype=np.uint32), np.array([2, 3, 1, 2, 9], dtype=np.uint32)]
     index = O.Index(texts, 3)

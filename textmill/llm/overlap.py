@@ -6,8 +6,9 @@ step is one binary search. Training texts are streamed through the shards in blo
 backwards at once, and of each text those d + 1 disjoint windows are located that have the fewest places, where d is the
 number of words in which a partner may differ; as one difference touches one window at most, each partner holds one of
 them unchanged, at a place shifted by d at most. So no partner is lost, and windows that stand nowhere cost nothing. The
-located spans are merged to pairs of texts, and those are compared exactly by word edit distance in a band of width
-2 d + 1, all pairs of the same lengths at once. The spans of pairs that match are made maximal, merged and counted.
+located places are merged to pairs of texts, and those are compared exactly by word edit distance in a band of width
+2 d + 1, all pairs of the same lengths at once. In pairs that match all maximal matches of LEAST_RUN words at least are
+searched, wherever they stand, merged and counted.
 
 Texts go to shards by kind, language and length, as partners differ in length by a tenth at most; a kind with many words
 has more shards and blocks, so that no task holds more than SHARD_WORDS and BLOCK_WORDS. Copies within a block or shard
@@ -34,6 +35,8 @@ from textmill.session import materialize
 LEAST_WORDS = 5
 #: Two texts match if they differ in at most 1 / DIFFER of the longer one's words.
 DIFFER = 10
+#: Fewest words of a maximal match that is counted: as many as the shortest window that is searched.
+LEAST_RUN = 4
 #: Words of evaluation texts in one index, and of training texts streamed through it in one task.
 SHARD_WORDS, BLOCK_WORDS = 1_000_000, 2_000_000
 _CHUNK = 2_000_000
@@ -230,37 +233,31 @@ def _distinct(frame: pd.DataFrame) -> tuple[list[np.ndarray], list[list[int]]]:
     return [np.frombuffer(w, dtype=np.uint32) for w in ids], list(ids.values())
 
 
-def _stretched(train: list[np.ndarray], held: list[np.ndarray], seeds: np.ndarray) -> np.ndarray:
-    """seeds (k, l, at, place, words) of equal words train[k][at:] and held[l][place:], each made as long as it gets."""
-    seeds = seeds.copy()
-    for step, edge in ((-1, 0), (1, 1)):
-        live = np.arange(len(seeds))
-        while len(live):
-            k, m, at, place, n = seeds[live].T
-            i, j = (at - 1, place - 1) if edge == 0 else (at + n, place + n)
-            inside = np.array([0 <= p < len(train[a]) and 0 <= q < len(held[b]) and train[a][p] == held[b][q] for a, b, p, q in zip(k, m, i, j)], dtype=bool)
-            live = live[inside]
-            seeds[live, 4] += 1
-            if edge == 0:
-                seeds[live, 2:4] += step
-    return seeds
-
-
-def _covered(seeds: np.ndarray) -> np.ndarray:
-    """(k, l, words): of each pair the words of the held text that its maximal matches cover, overlaps once."""
-    spans = np.unique(seeds[:, [0, 1, 3, 4]], axis=0)
-    spans = spans[np.lexsort((spans[:, 2], spans[:, 1], spans[:, 0]))]
-    out: dict[tuple[int, int], list[int]] = {}
-    for k, m, start, n in spans.tolist():
-        done = out.setdefault((k, m), [0, 0])  # words, end
-        done[0] += max(0, start + n - max(start, done[1]))
-        done[1] = max(done[1], start + n)
-    return np.array([(k, m, w) for (k, m), (w, _) in out.items()], dtype=np.int64).reshape(-1, 3)
+def _covered(a: np.ndarray, b: np.ndarray, k: int) -> int:
+    """Words of b that lie in maximal matches with a of k words at least: the words of b's windows of k words that stand in
+    a, each word once."""
+    if len(a) == len(b) and (a == b).all():
+        return len(b)
+    if k > min(len(a), len(b)):
+        return 0
+    codes = np.unique(np.concatenate([a, b]), return_inverse=True)[1].astype(np.int64)
+    x, y, done = codes[: len(a)], codes[len(a) :], 1
+    while done < k:  # codes of windows of twice the words, or of k
+        step = min(done, k - done)
+        wide = int(max(x.max(), y.max())) + 1
+        x, y = x[: len(x) - step] * wide + x[step:], y[: len(y) - step] * wide + y[step:]
+        codes = np.unique(np.concatenate([x, y]), return_inverse=True)[1].astype(np.int64)
+        x, y, done = codes[: len(x)], codes[len(x) :], done + step
+    starts = np.flatnonzero(np.isin(y, x))
+    edges = np.zeros(len(b) + 1, dtype=np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + k, -1)
+    return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
 def matches(train: list[np.ndarray], held: list[np.ndarray]) -> np.ndarray:
     """(k, l, words): pairs of distinct texts train[k] and held[l] that match, with the words of held[l] that lie in
-    maximal matches of the located spans."""
+    maximal matches of LEAST_RUN words at least."""
     sizes = np.array([len(t) for t in train])
     most = np.array([longest_partner(int(n)) // DIFFER for n in np.unique(sizes)])
     most = dict(zip(np.unique(sizes).tolist(), most.tolist()))
@@ -296,11 +293,10 @@ def matches(train: list[np.ndarray], held: list[np.ndarray]) -> np.ndarray:
                 size = held_sizes[text]
                 allowed = np.maximum(size, n) // DIFFER
                 ok = (np.abs(size - n) <= allowed) & (np.abs(place - index.start[text] - at) <= allowed)
-                pairs.append(np.stack([part[own[ok]], text[ok], at[ok], (place - index.start[text])[ok], np.full(int(ok.sum()), k)], axis=1))
+                pairs.append(np.stack([part[own[ok]], text[ok]], axis=1))
     if not pairs:
         return np.zeros((0, 3), dtype=np.int64)
-    seeds = np.concatenate(pairs)
-    merged = np.unique(seeds[:, :2], axis=0)
+    merged = np.unique(np.concatenate(pairs), axis=0)
     shape = np.stack([sizes[merged[:, 0]], held_sizes[merged[:, 1]]], axis=1)
     good = np.zeros(len(merged), dtype=bool)
     for x, y in np.unique(shape, axis=0):
@@ -312,9 +308,8 @@ def matches(train: list[np.ndarray], held: list[np.ndarray]) -> np.ndarray:
             if len(part):
                 good[part] = within(np.stack([train[k] for k in merged[part, 0]]), np.stack([held[k] for k in merged[part, 1]]), int(max(x, y)) // DIFFER)
     merged = merged[good]
-    wide = max(len(held), 1)
-    seeds = seeds[np.isin(seeds[:, 0] * wide + seeds[:, 1], merged[:, 0] * wide + merged[:, 1])]
-    return _covered(_stretched(train, held, seeds))
+    covered = [_covered(train[k], held[m], LEAST_RUN) for k, m in merged]
+    return np.column_stack([merged, np.array(covered, dtype=np.int64)])
 
 
 def _searched(key: tuple, train: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -326,7 +321,7 @@ def _searched(key: tuple, train: pd.DataFrame, held: pd.DataFrame) -> pd.DataFra
 
 
 def overlaps(rows: DataFrame) -> DataFrame:
-    """kind, train_id, held_id, n_words (in maximal matches): the matches of coded() rows, each pair once a kind."""
+    """kind, train_id, held_id, n_words (in maximal matches of LEAST_RUN words at least): the matches of coded() rows, each pair once a kind."""
     spread = rows.withColumn("band", F.explode("bands"))
     keys = ["kind", "lang", "band"]
     load = spread.groupBy(*keys).agg(F.sum(F.when(F.col("held"), F.col("n"))).alias("held_words"), F.sum(F.when(~F.col("held"), F.col("n"))).alias("train_words"))
@@ -361,7 +356,7 @@ def found(clips_train: DataFrame, clips_eval: DataFrame, pairs: DataFrame) -> Da
 
 def counts(clips_train: DataFrame, clips_eval: DataFrame, pairs: DataFrame) -> DataFrame:
     """tbl, split, source, n_records (evaluation records that overlap with training), n_pairs, n_words (the most words of
-    each record that lie in maximal matches with one training record, added up)."""
+    each record that lie in maximal matches, of LEAST_RUN words at least, with one training record, added up)."""
     both = overlaps(coded(records(clips_train, clips_eval, pairs)))
     once = both.select(F.split("kind", r"\.")[0].alias("tbl"), "train_id", "held_id", "n_words").groupBy("tbl", F.col("held_id").alias("id")).agg(F.count_distinct("train_id").alias("k"), F.max("n_words").alias("w"))
     info = clips_eval.select(F.lit("clips").alias("tbl"), F.col("clip_id").alias("id"), "split", F.col("src").alias("source"))
