@@ -32,6 +32,17 @@ def test_plain_stays(text):
     assert not [v for v in L.odd_values(text) if v[2]]
 
 
+@pytest.mark.parametrize(("text", "want"), [("pɑper is", "paper is"), ("a wօrd!", "a word!"), ("το κɑλό κɩ", "το καλό κι"), ("ᴄow ꜱad", "cow sad")])
+def test_stand_ins_of_no_script(text, want):
+    test_ordinary(text, want)
+
+
+def test_own_letters_stay():
+    for text in ("the /ɪŋɡlɪʃ/ word", "հաց is", "Yıldız went"):
+        test_plain_stays(text)
+    assert ("mıx", "mix", False) in list(L.odd_values("a mıx"))
+
+
 CLIP, PAIR = "clip_id bigint, text string, value string, form string", "pair_id bigint, input string, n int"
 NORMAL = "το παιδί και ο γερο"
 

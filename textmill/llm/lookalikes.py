@@ -1,7 +1,7 @@
 """Problem 4: visually identical text with different characters.
 
 Each odd value of a text (a token with stand-in, invisible or decomposed characters, an unusual space, or a word all of
-whose letters look like letters of the text's own script) is mapped to the form it looks like. In SQL, odd values and the
+whose letters look like letters of the text's own script, a Latin word with ı) is mapped to the form it looks like. In SQL, odd values and the
 ordinary words of all texts are grouped by the mapped form under the accent-sensitive collation UNICODE; the most frequent
 ordinary member of a class, ties by code points, is its canonical one (the mapped form where there is no ordinary
 member), and joined back to the records.
@@ -48,6 +48,10 @@ def odd_values(text: str) -> Iterator[tuple[str, str, bool]]:
                 yield token, fixed, True
     if not text.isascii():
         main = main or script(text)
+        if "ı" in text:  # a letter of Turkish words, unless the word with i is an ordinary one
+            for run in _RUN.findall(text):
+                if "ı" in run and scripts_of(run) == "L":
+                    yield run, run.replace("ı", "i"), False
         if _FOREIGN.get(main, _FOREIGN["C"]).search(text) or main != "C" and "Ѐ" <= max(text) and re.search("[Ѐ-ԯ]", text):
             for run in _RUN.findall(text):
                 there = scripts_of(run)

@@ -34,10 +34,13 @@ EMOJI_PARTS = re.compile(f"(?:[#*0-9]️?⃣|[{_EMOJI}](?:[︎️⃣\U0001f3fb-\
 INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠎​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ￹-￻\x00-\x08\x0b\x0c\x0e-\x1f\x7f\U000e0000-\U000e0fff]")
 SPACES = re.compile("[   -     　\u0085]")
 #: A text with none of these and no word of mixed scripts is in its ordinary form.
-ODD = re.compile("[ ­µıǄ-ǌǱ-ǳɐ-ʯ̀-ͯ;·ϐ-ϖϰ-ϵϹЀ-֏؜ᅟᅠ ᠋-᠎᪰-᫿ᴀ-᷿άέήίόύώΆΈΉΊΎΌΏ -‏ -  -⁯⃐-⃿℀-⅏Ⅰ-ⅿ①-⓿　ㅤﬀ-ﬆ︀-️︠-︯﻿！-￯\U0001d400-\U0001d7ff\U000e0000-\U000e0fff\x00-\x08\x0b\x0c\x0e-\x1f\x7f\x85]")
+ODD = re.compile("[ ­µıǄ-ǌǱ-ǳɐ-ʯ̀-ͯ;·ϐ-ϖϰ-ϵϹЀ-֏؜ᅟᅠ ᠋-᠎᪰-᫿ᴀ-᷿άέήίόύώΆΈΉΊΎΌΏ -‏ -  -⁯⃐-⃿℀-⅏Ⅰ-ⅿ①-⓿　ㅤﬀ-ﬆ︀-️︠-︯﻿！-￯ꜱ\U0001d400-\U0001d7ff\U000e0000-\U000e0fff\x00-\x08\x0b\x0c\x0e-\x1f\x7f\x85]")
 MIXED = re.compile("[A-Za-zÀ-ɏ][Ͱ-Ͽἀ-῿]|[Ͱ-Ͽἀ-῿][A-Za-zÀ-ɏ]")
 _LATIN, _GREEK, _CYRILLIC = re.compile("[A-Za-zªºÀ-ɏḀ-ỿ]"), re.compile("[Ͱ-Ͽἀ-῿]"), re.compile("[Ѐ-ԯ]")
 _INTO = {"L": {**CYRILLIC_LIKE_LATIN, **GREEK_LIKE_LATIN, **OTHER_LIKE_LATIN}, "G": {**LATIN_LIKE_GREEK, **CYRILLIC_LIKE_GREEK}}
+_INTO["G"].update({c: LATIN_LIKE_GREEK[x] for c, x in OTHER_LIKE_LATIN.items() if c not in LATIN_LIKE_GREEK and x in LATIN_LIKE_GREEK})
+#: Characters of no script above, by the script of a word in which they stand in for a letter; ı is a letter of its own.
+_STAND_INS = {k: re.compile("[" + "".join(c for c in OTHER_LIKE_LATIN if c in v and c != "ı") + "]") for k, v in _INTO.items()}
 _TABLES = {k: str.maketrans(v) for k, v in _INTO.items()}
 _TOKEN = re.compile(r"\S+")
 
@@ -92,10 +95,14 @@ def scripts_of(word: str) -> str:
 
 
 def unmixed(word: str, main: str) -> str:
-    """A composed word of mixed scripts in the one script that all its letters can be of (main, if both are possible)."""
+    """A composed word of mixed scripts in the one script that all its letters can be of (main, if both are possible), or of
+    one script with stand-ins of none, if all its letters can be of that one."""
     there = scripts_of(word)
     if len(there) < 2:
-        return word
+        if there not in _STAND_INS or not _STAND_INS[there].search(word):
+            return word
+        mapped, own = of_script(word, there), _LATIN if there == "L" else _GREEK
+        return mapped if mapped and all(own.match(c) for c in mapped if c.isalpha()) else word
     first = main if main in ("L", "G") else "L"
     for into in (first, "G" if first == "L" else "L"):
         if (mapped := of_script(word, into)) is not None:
