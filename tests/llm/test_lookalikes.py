@@ -56,5 +56,16 @@ def test_records(spark, rows):
     assert out["train_cv", 10] == NORMAL and out["train_cv", 13] == "a b c" and out["pairs", 1] == "ok " * 30_000
 
 
+def test_letter_case_and_signs(spark, rows):
+    texts = lambda *xs: L.texts(spark.createDataFrame([(k, x, "x", "y") for k, x in enumerate(xs)], CLIP), spark.createDataFrame([], PAIR))
+    upper = "το παιδί και ΚΑΤΟ".replace("ΚΑΤΟ", "KATO")  # a whole word of Latin letters
+    found = texts("κατο παιδί", "Κατο παιδί", upper)
+    assert rows(L.records(found)) == [("train_cv", 2)]
+    assert [r["text"] for r in L.consistent(found).collect()] == ["το παιδί και ΚΑΤΟ"]
+    signs = texts("(саfe!) and so on", "cafe")
+    values = L.canonical_values(signs, signs.mapInPandas(L._odd, "tbl string, rec_id bigint, value string, form string, certain boolean"))
+    assert rows(values, "value", "canonical") == [("(саfe!)", "(cafe!)")]
+
+
 def test_empty(spark, rows):
     assert rows(L.records(L.texts(spark.createDataFrame([], CLIP), spark.createDataFrame([], PAIR)))) == []

@@ -1,10 +1,11 @@
 """Problem 4: visually identical text with different characters.
 
 Each odd value of a text (a token with stand-in, invisible or decomposed characters, an unusual space, or a word all of
-whose letters look like letters of the text's own script, a Latin word with ı) is mapped to the form it looks like. In SQL, odd values and the
-ordinary words of all texts are grouped by the mapped form under the accent-sensitive collation UNICODE; the most frequent
-ordinary member of a class, ties by code points, is its canonical one (the mapped form where there is no ordinary
-member), and joined back to the records.
+whose letters look like letters of the text's own script, a Latin word with ı) is mapped to the form it looks like. In SQL, the
+ordinary words of all texts are grouped under the accent-sensitive collation UNICODE and joined to the mapped forms without
+the signs around them; the most frequent ordinary member of a class, ties by code points, is its canonical one (the mapped form
+where there is no ordinary member), and joined back to the records. A word all of whose letters are of another script
+counts only if the word it looks like stands LEAST_SEEN times in all texts, in any letter case.
 
 Defined cases: null and empty texts have no odd values; emoji keep their joiners; words of another script stand if no
 ordinary word looks like them; typographic signs stand; texts of any length are mapped as a whole; rows with repeated
@@ -72,28 +73,33 @@ def texts(clips: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 _GROUPED = """
-    WITH members AS (
-        SELECT form COLLATE UNICODE AS class, form AS member, false AS ordinary, sum(n) AS seen FROM textmill_odd GROUP BY form
-        UNION ALL
-        SELECT word COLLATE UNICODE AS class, word AS member, true AS ordinary, seen FROM textmill_ordinary
+    WITH ordinary AS (
+        SELECT word, seen FROM textmill_words
+        WHERE lower(word) COLLATE UNICODE IN (SELECT lower(core) COLLATE UNICODE FROM textmill_odd WHERE core IS NOT NULL)
     ), classes AS (
-        SELECT class, max_by(member, struct(ordinary, seen, member)) AS canonical, max(IF(ordinary, seen, 0L)) AS seen_ordinary
-        FROM members GROUP BY class
+        SELECT word COLLATE UNICODE AS class, max_by(word, struct(seen, word)) AS canonical FROM ordinary GROUP BY word COLLATE UNICODE
+    ), folded AS (
+        SELECT lower(word) COLLATE UNICODE AS class, sum(seen) AS seen FROM ordinary GROUP BY lower(word) COLLATE UNICODE
     )
-    SELECT odd.value, odd.form, odd.certain, odd.n, coalesce(classes.canonical, odd.form) AS canonical
-    FROM textmill_odd odd JOIN classes ON odd.form COLLATE UNICODE = classes.class
-    WHERE odd.certain OR classes.seen_ordinary >= {least}
+    SELECT odd.value, odd.form, odd.certain, odd.n,
+        coalesce(concat(odd.before, coalesce(classes.canonical, odd.core), odd.after), odd.form) AS canonical
+    FROM textmill_odd odd LEFT JOIN classes ON odd.core COLLATE UNICODE = classes.class
+        LEFT JOIN folded ON lower(odd.core) COLLATE UNICODE = folded.class
+    WHERE odd.certain OR folded.seen >= {least}
 """
+#: What stands before the only word of a form, the word, and what stands after it.
+_CORE = r"^([^\p{L}\p{M}]*)(\p{L}+)([^\p{L}\p{M}]*)$"
 
 
 def canonical_values(rows: DataFrame, found: DataFrame) -> DataFrame:
     """value, form, certain, n, canonical: one row for each distinct odd value. found: the stored odd values of rows."""
     odd = found.groupBy("value", "form", "certain").agg(F.count(F.lit(1)).alias("n"))
+    part = lambda k: F.when(F.col("form").rlike(_CORE), F.regexp_extract("form", _CORE, k))
+    odd = odd.select("*", part(1).alias("before"), part(2).alias("core"), part(3).alias("after"))
     words = rows.select(F.explode(F.regexp_extract_all("t", F.lit(r"\p{L}+"), 0)).alias("word"))
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("seen"))
-    ordinary = counted.join(odd.select(F.col("form").alias("word")).distinct(), "word", "left_semi")
     odd.createOrReplaceTempView("textmill_odd")
-    ordinary.createOrReplaceTempView("textmill_ordinary")
+    counted = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("seen")), "words")  # else the collated join moves below the count
+    counted.createOrReplaceTempView("textmill_words")
     return rows.sparkSession.sql(_GROUPED.format(least=LEAST_SEEN))
 
 
