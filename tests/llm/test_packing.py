@@ -63,3 +63,11 @@ def test_empty(spark, rows):
     packs = spark.createDataFrame([("a", 10)], PACK)
     assert rows(P.packed(spark.createDataFrame([], DOC), packs)) == []
     assert rows(P.packed(spark.createDataFrame([(1, "a", 1, "x", 1)], DOC), packs.limit(0))) == []
+
+
+def test_too_large_packs_are_errors(spark):
+    docs = spark.createDataFrame([(1, "a", 1, "x", 1)], DOC)
+    with pytest.raises(ValueError, match="capacity over"):
+        P.packed(docs, spark.createDataFrame([("a", 10), ("vast", P.MOST_CAPACITY + 1)], PACK))
+    with pytest.raises(ValueError, match="packs"):
+        P.packed(docs, spark.createDataFrame([(f"p{k}", 10) for k in range(P.MOST_PACKS + 1)], PACK))

@@ -7,7 +7,8 @@ multiset is used as often as its counts allow. Items are then ranked within thei
 each takes its place by its rank.
 
 Defined cases: null and empty texts have no tokens and no piece; only items longer than the capacity are split, into
-whole containers and a rest that is packed like any item; null or non-positive capacities give no containers; ties in
+whole containers and a rest that is packed like any item; null or non-positive capacities and null names give no containers; a
+capacity over MOST_CAPACITY and more than MOST_PACKS packs are errors; ties in
 length are broken by a hash of the id; repeated ids are repeated items; extra columns are ignored.
 """
 
@@ -23,6 +24,8 @@ from textmill.session import materialize
 
 #: Largest capacity: it bounds the histogram that the driver packs, and the table of patterns.
 MOST_CAPACITY = 1 << 20
+#: Most packs: every text goes into each of them.
+MOST_PACKS = 1000
 
 
 def _closest(left: dict[int, int], sizes: list[int], room: int) -> dict[int, int]:
@@ -74,7 +77,12 @@ def packed(docs: DataFrame, packs: DataFrame, id: str = "doc_id", text: str = "t
     """pack_name, capacity, block_id, doc_id, piece, first_token, n_tokens: where each text, or piece of one, lies."""
     spark = docs.sparkSession
     sized = materialize(counted(docs, id, text, [], path).filter("n_tokens > 0").withColumnRenamed(id, "doc_id"), "sizes")
-    wanted = [(r[0], int(r[1])) for r in packs.select("pack_name", "capacity").distinct().limit(1000).collect() if r[0] is not None and r[1] and 0 < r[1] <= MOST_CAPACITY]
+    listed = packs.select("pack_name", "capacity").filter("pack_name is not null and capacity > 0").distinct().limit(MOST_PACKS + 1).collect()
+    if len(listed) > MOST_PACKS:
+        raise ValueError(f"more than {MOST_PACKS} packs")
+    wanted = [(r[0], int(r[1])) for r in listed]
+    if over := [name for name, capacity in wanted if capacity > MOST_CAPACITY]:
+        raise ValueError(f"packs of a capacity over {MOST_CAPACITY}: {over[:10]}")
     each_pack = F.array(*[F.struct(F.lit(name).alias("pack_name"), F.lit(capacity).alias("capacity")) for name, capacity in wanted]).cast("array<struct<pack_name:string,capacity:int>>")
     each = sized.withColumn("_p", F.explode(each_pack)).select("doc_id", "n_tokens", "_p.*")  # every text goes into every pack
     pieces = each.withColumn("piece", F.explode(F.expr("sequence(0L, (n_tokens - 1) div capacity)")))
