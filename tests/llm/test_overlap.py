@@ -135,3 +135,14 @@ def test_random_texts_equal_brute_force(spark):
 
 def test_empty(spark, rows):
     assert rows(O.found(*frames(spark, [], []))) == []
+
+
+def test_words_of_one_32_bit_hash_differ(spark, rows):
+    import xxhash
+
+    seen = {}
+    for k in range(400_000):
+        if (other := seen.setdefault(xxhash.xxh32_intdigest(f"w{k}"), k)) != k:
+            break
+    assert other != k
+    assert rows(O.found(*frames(spark, [(1, f"a b c d w{k}", "en")], [(9, f"a b c d w{other}", "en")]))) == []

@@ -12,7 +12,7 @@ searched, wherever they stand, merged and counted.
 
 Texts go to shards by kind, language and length, as partners differ in length by a tenth at most; a kind with many words
 has more shards and blocks, so that no task holds more than SHARD_WORDS and BLOCK_WORDS. Copies within a block or shard
-are searched once. Words are compared by 32-bit hashes.
+are searched once. Words are compared by 64-bit hashes.
 
 Defined cases: null texts and texts of fewer than five words, and rows of null lang, are not compared; repeated rows are
 all reported; texts of any length are compared as a whole; extra columns are ignored; empty tables give no rows.
@@ -78,9 +78,9 @@ def _coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for w in ws:
                 k = known.get(w)
                 if k is None:
-                    k = known[w] = xxhash.xxh32_intdigest(w)
+                    k = known[w] = xxhash.xxh64_intdigest(w)
                 ids.append(k)
-            codes.append(np.array(ids, dtype=np.uint32).tobytes())
+            codes.append(np.array(ids, dtype=np.uint64).tobytes())
             bands.append([band(n)] if held else list(range(band(n - n // DIFFER), band(longest_partner(n)) + 1)))
         out = pd.DataFrame({"kind": b["kind"], "lang": b["lang"], "held": b["held"], "id": b["id"], "n": ns, "w": codes, "bands": bands})
         yield out[out["n"] >= LEAST_WORDS]
@@ -230,7 +230,7 @@ def _distinct(frame: pd.DataFrame) -> tuple[list[np.ndarray], list[list[int]]]:
     ids: dict[bytes, list[int]] = {}
     for w, i in zip(frame["w"], frame["id"]):
         ids.setdefault(bytes(w), []).append(i)
-    return [np.frombuffer(w, dtype=np.uint32) for w in ids], list(ids.values())
+    return [np.frombuffer(w, dtype=np.uint64) for w in ids], list(ids.values())
 
 
 def _covered(a: np.ndarray, b: np.ndarray, k: int) -> int:
