@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from textmill.functions import text as T
 from textmill.functions.draw import draw
 from textmill.operators.messages import reservoir
-from textmill.operators.skew import attach, dense_rank_in
+from textmill.operators.skew import attach, running
 from textmill.session import materialize
 
 TOKENS = r"[\p{L}\p{N}\p{M}_'’-]+"
@@ -171,7 +171,7 @@ def corrected_later(rows: DataFrame, rules: DataFrame, per_lang: int, how: Noise
     rules = rules.select(F.col("code").alias("lang"), F.coalesce("light_fillers", F.slice("fillers", 1, 3)).alias("_f"), F.col("corrections").alias("_c"))
     known = known.join(F.broadcast(rules), "lang").withColumn("_i", _pick(F.col("_p"), u("place")))
     vocab = base.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{4,}"), 0))).alias("wrong")).distinct()
-    ranked = dense_rank_in(vocab, ["lang"], F.col("wrong"), "_rank")
+    ranked = running(vocab, ["lang"], ["wrong"], "_rank")
     sizes = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("_size"))
     known = known.join(F.broadcast(sizes), "lang").withColumn("_rank", F.floor(u("vocab") * F.col("_size")).cast("long"))
     spoken_word = F.element_at("_w", F.col("_i").cast("int"))

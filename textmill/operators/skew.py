@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from textmill.session import materialize
+
 #: A key with more than this share of the rows is hot; there are at most HOT_SHARE**-1 such keys, so that they can be broadcast.
 HOT_SHARE = 1 / 1000
-#: Buckets that the ranks within one key are counted in.
-RANK_BUCKETS = 256
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
@@ -27,16 +27,24 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total
     return near.unionByName(far)
 
 
-def dense_rank_in(df: DataFrame, keys: list[str], order: Column, name: str, buckets: int = RANK_BUCKETS) -> DataFrame:
-    """df with the column name: 0, 1, 2 ... within each key, in the order of a hash of order (a unique column).
+def running(df: DataFrame, keys: list[str], order: list[str], name: str, weight: Column | None = None) -> DataFrame:
+    """df with the column name: of each row how many rows of its key come before it in the order of the columns order
+    (their weights added up, if given). Rows of equal order are taken in any order; keys may be null.
 
-    A key's rows are ranked in buckets, each by its own task, and the buckets' counts give the offsets; no task gets
-    a whole key.
+    The rows are cut into ranges of key and order, so that a hot key lies in many of them, and stored with their range's
+    number; sums run within a key's range, in a task of its own, and of the keys that lie in several ranges, fewer than there are
+    ranges, the ranges' sums before are broadcast.
     """
-    marked = df.withColumn("_b", F.pmod(F.xxhash64(order, F.lit(77)), F.lit(buckets)).cast("int"))
-    counts = marked.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_o", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    inner = Window.partitionBy(*keys, "_b").orderBy(F.xxhash64(order, F.lit(78)), order)
-    ranked = marked.withColumn("_r", F.row_number().over(inner) - 1)
-    return ranked.join(offsets, [*keys, "_b"]).withColumn(name, (F.col("_o") + F.col("_r")).cast("long")).drop("_b", "_o", "_r")
+    step = F.lit(1) if weight is None else weight
+    cut = df.withColumn("_w", step).repartitionByRange(*keys, *order).withColumn("_p", F.spark_partition_id())
+    cut = materialize(cut, "ranges")
+    sums = cut.groupBy(*keys, "_p").agg(F.sum("_w").alias("_s"))
+    within = Window.partitionBy(*keys, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    # a range that isn't a key's first one: no more such pairs than ranges
+    later = sums.withColumn("_o", F.sum("_s").over(before)).filter("_o is not null").select(*[F.col(k).alias("_k" + k) for k in keys], F.col("_p").alias("_q"), "_o")
+    same = F.col("_p") == F.col("_q")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col("_k" + k))
+    out = cut.withColumn("_r", F.coalesce(F.sum("_w").over(within), F.lit(0))).join(F.broadcast(later), same, "left")
+    return out.withColumn(name, F.col("_r") + F.coalesce("_o", F.lit(0))).drop("_w", "_p", "_q", "_r", "_o", *["_k" + k for k in keys])
