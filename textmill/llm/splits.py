@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.letters import letters
-from textmill.operators.skew import attach, dense_rank_in
+from textmill.operators.skew import attach, running
 from textmill.session import materialize
 
 #: Bins that the components are balanced into before the splits take whole bins.
@@ -95,52 +96,87 @@ def linked(rows: DataFrame, id: str, keys: list[str]) -> DataFrame:
     return rows.drop("key").join(labels.select(F.col("rec").alias(id), F.sha2(F.col("label").cast("string"), 256).alias("key")), id, "left")
 
 
-def _kk(weights: list[int], bins: int) -> tuple[list[int], np.ndarray]:
-    """Largest differencing into bins: of each weight its bin, and the bins' sums."""
+def _kk(weights: list[tuple[int, int]], bins: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Largest differencing of (weight, count) into bins: of each weight the bins of its components, and the bins' sums.
+
+    A count is less than bins. The two sets with the most extreme differences are combined: equal weights that come first
+    begin in bins of their own, all at once; a single weight goes to the lightest bin of the other set, which only that bin's
+    new rank is kept of; two sets of sums, of which there are fewer than weights, are added in opposite order.
+    """
     if not weights:
         return [], np.zeros(bins, dtype=np.int64)
+    # nodes: a weight's first components together; a set with one more component; two sets
+    left, right, rank = array("q"), array("q"), array("q")
+    orders: dict[int, np.ndarray] = {}
     sums: dict[int, np.ndarray] = {}
-    parts: dict[int, list] = {}
-    heap = []
-    for k, w in enumerate(weights):
-        s = np.zeros(bins, dtype=np.int64)
-        s[0] = w
-        sums[k], parts[k] = s, k
-        heap.append((-w, k))
+    counts = [c for _, c in weights]
+    heap = [(-w, -1 - k) for k, (w, _) in enumerate(weights)]  # weights below 0, nodes from 0
     heapq.heapify(heap)
-    nxt, merged = len(weights), {}
-    while len(heap) > 1:
-        (_, a), (_, b) = heapq.heappop(heap), heapq.heappop(heap)
-        s = sums.pop(a) + sums.pop(b)[::-1]
+
+    def node(a: int, b: int, q: int, s: np.ndarray) -> None:
+        left.append(a), right.append(b), rank.append(q)
+        sums[len(left) - 1] = s
+        heapq.heappush(heap, (-int(s[0]), len(left) - 1))
+
+    while len(heap) > 1 or heap[0][1] < 0:
+        spread, a = heapq.heappop(heap)
+        if a < 0:
+            s = np.zeros(bins, dtype=np.int64)
+            s[: counts[-1 - a]] = -spread
+            node(a, counts[-1 - a], -1, s)
+            continue
+        _, b = heapq.heappop(heap)
+        s = sums.pop(a)
+        if b < 0:
+            v = int(s[-1]) + weights[-1 - b][0]
+            q = bins - 1 - int(np.searchsorted(s[-2::-1], v, side="right")) if s[-1] < v else bins - 1
+            q = max(0, q)
+            s[q + 1 :] = s[q:-1].copy()
+            s[q] = v
+            s -= s[-1]
+            node(a, b, q, s)
+            counts[-1 - b] -= 1
+            if counts[-1 - b]:
+                heapq.heappush(heap, (-weights[-1 - b][0], b))
+            continue
+        s = s + sums.pop(b)[::-1]
         order = np.argsort(-s, kind="stable")
+        orders[len(left)] = order.astype(np.int16 if bins < 1 << 15 else np.int64)
         s = s[order]
-        merged[nxt] = (a, b, order)
-        s -= s[-1]
-        sums[nxt] = s
-        heapq.heappush(heap, (-int(s[0]), nxt))
-        nxt += 1
-    bin_of, place = [0] * len(weights), [(heap[0][1], np.arange(bins))]
+        node(a, b, -2, s - s[-1])
+    bin_of: list[list[int]] = [[] for _ in weights]
+    total, place = np.zeros(bins, dtype=np.int64), [(heap[0][1], np.arange(bins))]
     while place:
-        node, where = place.pop()  # where[i]: the final bin of the node's i-th sum
-        if node not in merged:
-            bin_of[node] = int(where[0])
-            continue
-        a, b, order = merged[node]
-        back = np.empty(bins, dtype=np.int64)
-        back[order] = where
-        place += [(a, back), (b, back[::-1])]
-    return bin_of, np.bincount(bin_of, weights=weights, minlength=bins).astype(np.int64)
+        at, where = place.pop()  # where[i]: the final bin of the node's i-th sum
+        while True:
+            a, b, q = left[at], right[at], rank[at]
+            if q >= 0:  # the last component's bin is where its sum went
+                bin_of[-1 - b].append(int(where[q]))
+                where[q:] = np.append(where[q + 1 :], where[q])
+                at = a
+                continue
+            if q == -1:
+                bin_of[-1 - a].extend(where[:b].tolist())
+            else:
+                back = np.empty(bins, dtype=np.int64)
+                back[orders.pop(at)] = where
+                place += [(a, back), (b, back[::-1].copy())]
+            break
+    found = [np.array(x, dtype=np.int64) for x in bin_of]
+    for (w, _), x in zip(weights, found):
+        np.add.at(total, x, w)
+    return found, total
 
 
-def balance(histogram: dict[int, int], shares: dict[str, float], bins: int = BINS) -> tuple[dict[int, str], dict[tuple[int, int], int], dict[int, int]]:
-    """(split of each bin, bin of each left-over component (weight, k), whole rounds of each weight).
+def balance(histogram: dict[int, int], shares: dict[str, float], bins: int = BINS) -> tuple[dict[int, str], dict[int, np.ndarray], dict[int, int]]:
+    """(split of each bin, bins of the left-over components of each weight, whole rounds of each weight).
 
-    Of c components of a weight, c // bins rounds give one to each bin (component r to bin r % bins); the left-over
-    ones are balanced by largest differencing.
+    Of c components of a weight, c // bins rounds give one to each bin (component r to bin r % bins), as differencing does
+    with as many equal weights as bins; the left-over ones are balanced by largest differencing.
     """
     rounds = {w: c // bins for w, c in histogram.items()}
-    left = [(w, k) for w in sorted(histogram, reverse=True) for k in range(histogram[w] % bins)]
-    where, sums = _kk([w for w, _ in left], bins)
+    left = [(w, histogram[w] % bins) for w in sorted(histogram, reverse=True) if histogram[w] % bins]
+    where, sums = _kk(left, bins)
     sums = sums + sum(w * r for w, r in rounds.items())
     names = sorted(shares, key=lambda n: (-shares[n], n))
     whole = sum(max(shares[n] or 0, 0) for n in names) or 1
@@ -172,7 +208,7 @@ def balance(histogram: dict[int, int], shares: dict[str, float], bins: int = BIN
             split[b] = i
         got[i] -= d
         got[j] += d
-    return {b: names[s] for b, s in enumerate(split)}, dict(zip(left, where)), rounds
+    return {b: names[s] for b, s in enumerate(split)}, {w: bins_of for (w, _), bins_of in zip(left, where)}, rounds
 
 
 def split_records(rows: DataFrame, plan: DataFrame, bins: int = BINS) -> DataFrame:
@@ -193,10 +229,10 @@ def split_records(rows: DataFrame, plan: DataFrame, bins: int = BINS) -> DataFra
     for unit, h in sorted(histogram.items()):
         split, left, rounds = balance(h, shares, bins)
         bin_rows += [(unit, b, s) for b, s in split.items()]
-        left_rows += [(unit, w, k + rounds[w] * bins, b) for (w, k), b in left.items()]
+        left_rows += [pd.DataFrame({"unit": unit, "weight": w, "rank": rounds[w] * bins + np.arange(len(bs)), "left_bin": bs}) for w, bs in left.items()]
     splits = spark.createDataFrame(pd.DataFrame(bin_rows, columns=["unit", "bin", "new_split"]), "unit string, bin int, new_split string") if bin_rows else spark.createDataFrame([], "unit string, bin int, new_split string")
-    left = spark.createDataFrame(pd.DataFrame(left_rows, columns=["unit", "weight", "rank", "left_bin"]), "unit string, weight bigint, rank bigint, left_bin int") if left_rows else spark.createDataFrame([], "unit string, weight bigint, rank bigint, left_bin int")
-    ranked = dense_rank_in(comps, ["unit", "weight"], F.col("comp"), "rank")
+    left = spark.createDataFrame(pd.concat(left_rows) if left_rows else [], "unit string, weight bigint, rank bigint, left_bin int")
+    ranked = running(comps, ["unit", "weight"], ["comp"], "rank")
     placed = ranked.join(left, ["unit", "weight", "rank"], "left").withColumn("bin", F.coalesce("left_bin", F.pmod("rank", F.lit(bins)).cast("int"))).drop("left_bin", "rank")
     placed = placed.join(F.broadcast(splits), ["unit", "bin"])  # bins x 2 rows
     return attach(rows, placed, ["unit", "comp"], "weight", total)
