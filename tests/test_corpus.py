@@ -60,7 +60,7 @@ def test_budget_cap_offsets(spark, rows):
     assert [r[0] for r in rows(C.within_bytes(df, F.col("_budget"), batch=2), "doc_id")] == [0, 1, 2, 3]
     assert C.within_bytes(df.withColumn("_budget", F.lit(None).cast("int")), F.col("_budget")).count() == 10
     assert C.capped(df, 3).count() == 3
-    placed = C.offsets(df, F.lit(3), blocks=4)
+    placed = C.offsets(df, F.lit(3))
     assert [r[1] for r in sorted(rows(placed, "doc_id", "start"))] == [3 * k for k in range(10)]
     assert sum(r.n_tokens for r in C.sequences(placed, 8).collect()) == 30
 
@@ -86,10 +86,34 @@ def test_attach_splits_hot_keys(spark, rows):
     assert skew.attach(df, groups.filter("n > 1"), ["k"], "n", 5000, "left").count() == 5001
 
 
-def test_dense_rank(spark):
-    df = spark.range(1000).selectExpr("id % 3 AS k", "id")
-    out = skew.dense_rank_in(df, ["k"], F.col("id"), "r", buckets=7)
-    for k in range(3):
-        got = sorted(r.r for r in out.filter(F.col("k") == k).collect())
-        assert got == list(range(len(got)))
-    assert out.exceptAll(skew.dense_rank_in(df.repartition(9), ["k"], F.col("id"), "r", buckets=7)).isEmpty()
+def test_running_sums_hold_over_ranges(spark):
+    df = spark.range(3000).selectExpr("IF(id % 3 > 0, 'hot', IF(id % 2 = 0, NULL, concat('k', id % 5))) AS k", "(id * 7919) % 3000 AS o", "id % 4 AS w", "'x' AS _s")
+    out = skew.running(df, ["k"], ["o"], "before", F.col("w")).collect()
+    seen = {}
+    for r in sorted(out, key=lambda r: r.o):
+        assert r.before == seen.get(r.k, 0)
+        seen[r.k] = seen.get(r.k, 0) + r.w
+    assert len(out) == 3000 and set(out[0].asDict()) == {"k", "o", "w", "_s", "before"}
+    assert skew.running(df.limit(0), ["k"], ["o"], "before").isEmpty()
+
+
+def test_first_of_each_for_any_number(spark, monkeypatch):
+    df = spark.range(500).selectExpr("id % 2 AS k", "id")
+    few = skew.first_of_each(df, 7, ["k"], ["id"])
+    monkeypatch.setattr(skew, "GROUP_LIMIT", 5)
+    many = skew.first_of_each(df, 7, ["k"], ["id"])
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == sorted((i % 2, i) for i in range(14))
+
+
+def test_split_holds_its_quota_whatever_the_draws(spark, monkeypatch):
+    rows = [("s", True, k, 0, 0) for k in range(400)]
+    df = spark.createDataFrame(rows, "source string, val boolean, doc_id int, line_no int, chunk_no int")
+    monkeypatch.setattr(C, "draw", lambda *_: F.lit(0.999))
+    assert C.split(df, per=4).filter("part = 'val'").count() == 100
+
+
+def test_sentences_end_by_language(spark, rows):
+    texts = [("en", "One; Two. three! Four"), ("el", "Ένα; Δύο! τρία. Τέσσερα. πέντε"), ("sq", "Një; Dy. tre! Ëndërr"), ("es", "Uno; ¿Dos? Tres. ñu"), (None, "A; B. c")]
+    df = spark.createDataFrame([(x, t, k) for k, (x, t) in enumerate(texts)], "lang string, text string, id int")
+    got = [r.text for r in C.packed(df, C.Cleaning(group=1)).orderBy("id", "chunk_no").collect()]
+    assert got == ["One; Two.", "three!", "Four", "Ένα;", "Δύο! τρία.", "Τέσσερα. πέντε", "Një; Dy. tre!", "Ëndërr", "Uno; ¿Dos?", "Tres.", "ñu", "A; B.", "c"]

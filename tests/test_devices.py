@@ -70,7 +70,12 @@ def test_mixed_and_conditions(spark):
     out = Y.mixed(taps, Y.keys(spark), 0.15, ("id",)).groupBy("id").agg(F.sum("weight").alias("w"), F.count("*").alias("n"), F.min("weight").alias("lo")).collect()
     assert len(out) == 12 and all(abs(r.w - 1) < 1e-9 and r.n <= 4 and r.lo >= 0.05 for r in out)
     word = spark.createDataFrame([("en", "café!", "cafe")], "lang string, word string, keys_typed string").withColumn("word", F.lit("café"))
-    assert [r["keys"] for r in Y.conditions(word).orderBy("condition").collect()] == ["cafe", "ca", "cafe"]
+    assert [r["keys"] for r in Y.conditions(word, Y.keys(spark)).orderBy("condition").collect()] == ["cafe", "ca", "cafe"]
+    odd = spark.createDataFrame([("en", "Ω5", "qΩ"), ("xx", "Ω5", "Ω5")], "lang string, word string, keys_typed string")
+    got = {(r.lang, r.condition): r["keys"] for r in Y.conditions(odd, Y.keys(spark)).collect()}
+    assert got == {("en", "typos"): "q", ("xx", "clean"): "ω5", ("xx", "typos"): "Ω5", ("xx", "partial"): "ω"}
+    none = Y.mixed(spark.createDataFrame([("xx", "ж", 1), ("en", "ж", 2)], "lang string, key string, id int"), Y.keys(spark), 0.3, ("id",)).collect()
+    assert [(r.key, r.near, r.weight) for r in none] == [("ж", "ж", 1.0)]
 
 
 def entry(**over):

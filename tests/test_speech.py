@@ -98,3 +98,22 @@ def test_tables(spark, rows):
     assert rows(E.merged_results(df, df.limit(1).withColumn("wer", F.lit(9.0)), ("model", "set")), "wer") == [(0.1,), (0.25,), (9.0,)]
     runs = spark.createDataFrame([("q", True, 5, "slow"), ("q", False, 1, "bad"), ("q", True, 3, "b"), ("q", True, 3, "a")], "q string, ok boolean, ms int, text string")
     assert rows(E.first_success(runs, ("q",), F.col("ok"), "ms", "text")) == [("q", "a")]
+
+
+def test_words_are_compared_exactly_whatever_their_number(spark, monkeypatch):
+    from textmill.functions import score as S
+
+    a, b = " ".join(f"w{k}" for k in range(200)), " ".join(f"w{k}" if k % 9 else f"x{k}" for k in range(200))
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    for first in (S._FIRST, 0xD7F0, 0xFFF0):  # over the surrogates, beyond the first plane
+        monkeypatch.setattr(S, "_FIRST", first)
+        assert df.select(S.words_edited(F.col("a"), F.col("b"))).first()[0] == 23
+    monkeypatch.setattr(S, "_FIRST", 0x110000 - 2048 - 100)
+    with pytest.raises(Exception, match="too many words"):
+        df.select(S.words_edited(F.col("a"), F.col("b"))).collect()
+
+
+def test_cap_takes_all_clips_of_no_length_at_once(spark):
+    rows = [(k, "g", 10.0 if k < 5 else None) for k in range(3000)]
+    out = M.capped(spark.createDataFrame(rows, "clip_id int, clip_group string, dur double"), 25 / 3600)
+    assert out.count() == 2995 + 2

@@ -40,7 +40,7 @@ def test_cleaned(spark, line, subtitles, want):
     ],
 )
 def test_packed(spark, text, most, want):
-    assert one(spark, T.packed(T.sentences(F.col("t")), most), t=text) == want
+    assert one(spark, T.packed(T.sentences(F.col("t"), starts=r"\p{Lu}"), most), t=text) == want
 
 
 @pytest.mark.parametrize(("text", "want"), [("«hello there", "«Hello there."), ("ok!", "Ok!"), ("123", "123."), ("éa)", "Éa)"), ("", ".")])
@@ -59,6 +59,11 @@ def test_is_message(spark, text, want):
 def test_small_ones(spark):
     assert one(spark, T.normed(F.col("t")), t="Hé, LLO!  x_1") == "hé llo x_1"
     assert one(spark, T.loosened(F.col("t")), t="Çdo Ëndërr") == "cdo enderr"
+    assert one(spark, T.normed(F.col("t")), t="Cafe\u0301, O\u0323\u0302 x\u0301!") == "café ộ x"
+    how = T.Scoring(form="NFKC", replace=(("ﬁ", "-"), ("ß", "ss")), strip_marks=True, loose_replace=(("x", "y"),), loose_strip_marks=False)
+    assert one(spark, T.normed(F.col("t"), how), t="Ａßé ﬁx") == "asse fix" and one(spark, T.loosened(F.col("t"), how), t="Ａßé ﬁx") == "asse fiy"
+    assert one(spark, T.normed(F.col("t"), T.Scoring(lower=False)), t="A b") == "A b"
+    assert one(spark, T.unmarked(F.col("t")), t="Ὧν ᾷ \u05d1\u05b0 x") == "Ων α ב x" and one(spark, T.unmarked(F.col("t")), t=None) is None
     assert one(spark, T.prediction_key(F.col("t")), t="Don't!") == "dont"
     assert one(spark, T.reply_cleaned(F.col("t")), t='<think>\nx\n</think> "Hi" ') == "Hi"
     assert one(spark, T.is_runaway(F.col("t")), t="a b " * 5) is True
@@ -100,7 +105,7 @@ def test_locale(spark):
     assert [one(spark, L.canonical(t), t=x) for x in ("pt_BR", "zh-Hant-TW", "es-419", "EL", "iw")] == ["pt-BR", "zh-TW", "es-419", "el", "he"]
     assert one(spark, L.region(t), t="sq") is None
     size = lambda n: one(spark, L.size_text(t.cast("long")), t=str(n))
-    assert [size(x) for x in (1_500_000_000, 20_000_000, 5_000_000)] == ["1.4 GB", "19 MB", "4.8 MB"] and size(2**30) == "1.0 GB"
+    assert [size(x) for x in (1_500_000_000, 20_000_000, 5_000_000)] == ["1.4 GB", "19 MB", "4.8 MB"] and [size(x) for x in (11_220_000, 52_000_000, 10_485_759)] == ["10 MB", "49 MB", "10.0 MB"] and size(2**30) == "1.0 GB"
     assert [one(spark, L.chat_endpoint(t), t=x) for x in ("http://a", "http://a/v1/", "http://a/v1/chat/completions")] == ["http://a/v1/chat/completions"] * 3
 
 

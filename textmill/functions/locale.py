@@ -29,12 +29,14 @@ def canonical(tag: Column) -> Column:
 
 
 def size_text(n: Column) -> Column:
-    """A number of bytes for people, in binary units."""
-    mib = n / F.lit(1048576.0)
-    return F.when(mib >= 1000, F.format_string("%.1f GB", mib / 1024)).when(mib >= 10, F.format_string("%d MB", F.round(mib).cast("long"))).otherwise(F.format_string("%.1f MB", mib))
+    """A number of bytes for people, in binary units; megabytes from 10 up are whole ones, rounded down."""
+    n, mib = n.cast("long"), F.lit(1 << 20)
+    # The formats and where they change.
+    return F.when(n >= 1000 * mib, F.format_string("%.1f GB", n / (mib * 1024))).when(n >= 10 * mib, F.format_string("%d MB", F.shiftright(n, 20))).otherwise(F.format_string("%.1f MB", n / mib))
 
 
 def chat_endpoint(url: Column) -> Column:
     """A server address with the path of its chat completions."""
+    # The paths of the interface.
     bare = F.rtrim(F.regexp_replace(F.trim(url), "/+$", ""))
     return F.when(bare.endswith("/chat/completions"), bare).when(bare.endswith("/v1"), F.concat(bare, F.lit("/chat/completions"))).otherwise(F.concat(bare, F.lit("/v1/chat/completions")))

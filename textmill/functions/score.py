@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Private-use and CJK code points that words are coded as, one each, to compare word by word.
-_FIRST, _ROOM = 0x4E00, 20_000
+#: Code points that words are coded as, one each, to compare word by word: from the first, without the surrogates.
+_FIRST, _SURROGATES, _END = 0x100, 0xD800, 0x110000
 
 
 def chars_edited(ref: Column, hyp: Column) -> Column:
@@ -24,11 +24,14 @@ def words(text: Column) -> Column:
 
 
 def words_edited(ref: Column, hyp: Column) -> Column:
-    """Words to insert, remove or replace: each distinct word of the pair becomes one character."""
+    """Words to insert, remove or replace: each distinct word of the pair becomes one character. A pair of more distinct words
+    than there are characters, over a million, is an error."""
     a, b = words(ref), words(hyp)
     known = F.array_distinct(F.concat(a, b))
-    codes = F.lit("".join(chr(_FIRST + k) for k in range(_ROOM)))
-    code = lambda ws: F.array_join(F.transform(ws, lambda w: F.substring(codes, F.array_position(known, w).cast("int"), F.lit(1))), "")
+    point = lambda w: F.array_position(known, w) + F.lit(_FIRST - 1)
+    free = lambda p: F.when(p < _SURROGATES, p).when(p < _END - 2048, p + 2048).otherwise(F.raise_error(F.lit("too many words")).cast("long"))
+    char = lambda w: F.decode(F.unhex(F.lpad(F.hex(free(point(w))), 8, "0")), "UTF-32")
+    code = lambda ws: F.array_join(F.transform(ws, char), "")
     return F.levenshtein(code(a), code(b))
 
 

@@ -10,12 +10,18 @@ from pyspark.sql.window import Window
 
 from textmill.functions import text as T
 from textmill.functions.draw import draw
+from textmill.operators.skew import first_of_each, running
 from textmill.session import spread
 
 # The letters of each language, as regex classes.
-LETTERS = {"el": "Α-Ωα-ωΆΈΉΊΌΎΏΐά-ώϊϋΰ", "sq": "A-Za-zËëÇç", "en": "A-Za-z", "es": "A-Za-zÁÉÍÓÚÜÑáéíóúüñ"}
+LETTERS = {"el": r"\x{370}-\x{3ff}\x{1f00}-\x{1fff}", "sq": "A-Za-zËëÇç", "en": "A-Za-z", "es": "A-Za-zÁÉÍÓÚÜÑáéíóúüñ"}
 #: A text of another language is checked against any letter.
 ANY_LETTER = r"\p{L}"
+# The signs that end a sentence and the letters that begin one, where they differ from the defaults (any letter of
+# the language begins one).
+ENDS = {"el": ".!;…"}
+DEFAULT_ENDS = ".!?…"
+STARTS = {"el": "Ά-ΫA-Z", "sq": "A-ZËÇ"}
 
 
 @dataclass(frozen=True)
@@ -29,6 +35,9 @@ class Cleaning:
     most: int = 2000
     group: int = 300
     subtitles: str = "opensubtitles"
+    ends: dict[str, str] = field(default_factory=lambda: dict(ENDS))
+    default_ends: str = DEFAULT_ENDS
+    starts: dict[str, str] = field(default_factory=lambda: dict(STARTS))
 
 
 def lines(docs: DataFrame, least: int = 1, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -56,10 +65,13 @@ def cleaned(rows: DataFrame, how: Cleaning = Cleaning()) -> DataFrame:
     return out.filter(F.try_divide(own, T.n_letters(F.col("text"), ANY_LETTER)) >= least)
 
 
-def packed(rows: DataFrame, most: int = 300) -> DataFrame:
-    """rows with one row for each group of sentences, and chunk_no within the line."""
-    groups = T.packed(T.sentences(F.col("text")), most)
-    return rows.select(*[c for c in rows.columns if c != "text"], F.posexplode(groups).alias("chunk_no", "text"))
+def packed(rows: DataFrame, how: Cleaning = Cleaning()) -> DataFrame:
+    """rows with one row for each group of sentences, cut as their language does, and chunk_no within the line."""
+    parts = T.sentences(F.col("text"), how.default_ends, ANY_LETTER)
+    for lang in {**how.letters, **how.ends, **how.starts}:
+        own = T.sentences(F.col("text"), how.ends.get(lang, how.default_ends), how.starts.get(lang, how.letters.get(lang, ANY_LETTER)))
+        parts = F.when(F.col("lang") == lang, own).otherwise(parts)
+    return rows.select(*[c for c in rows.columns if c != "text"], F.posexplode(T.packed(parts, how.group)).alias("chunk_no", "text"))
 
 
 def deduplicated(rows: DataFrame, by: tuple[str, ...] = ("source",), order: tuple[str, ...] = ("doc_id", "line_no", "chunk_no")) -> DataFrame:
@@ -76,21 +88,19 @@ def prepared(docs: DataFrame, config: DataFrame, how: Cleaning = Cleaning(), see
     """The clean table: source, lang, val, sp, doc_id, line_no, chunk_no, text."""
     wanted = config.select("source_name", "origin", "lang", "sp", "keep", "min_chars", "val")
     raw = kept(lines(docs), wanted, seed)
-    out = deduplicated(packed(cleaned(raw, how), how.group))
+    out = deduplicated(packed(cleaned(raw, how), how))
     return out.select("source", "lang", "val", "sp", "doc_id", "line_no", "chunk_no", "text")
 
 
 def capped(rows: DataFrame, most: int, by: str = "source", order: tuple[str, ...] = ("doc_id", "line_no")) -> DataFrame:
     """The first most rows of each source. The row cap for quick runs."""
-    w = Window.partitionBy(by).orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= most).drop("_n")
+    return first_of_each(rows, most, [by], list(order))
 
 
 def within_bytes(rows: DataFrame, budget: Column, batch: int = 2000, by: str = "source", order: tuple[str, ...] = ("doc_id", "line_no")) -> DataFrame:
     """The rows of each source until its budget (bytes as UTF-8, a line break a row) is exceeded: batches of rows are
     taken as long as the bytes before them are within it. Budgets of null take all."""
-    w = Window.partitionBy(by).orderBy(*order)
-    numbered = rows.withColumn("_batch", F.floor((F.row_number().over(w) - 1) / batch)).withColumn("_bytes", F.octet_length("text") + 1)
+    numbered = running(rows.withColumn("_bytes", F.octet_length("text") + 1), [by], list(order), "_before").withColumn("_batch", F.floor(F.col("_before") / batch)).drop("_before")
     batches = numbered.groupBy(by, "_batch").agg(F.sum("_bytes").alias("_size"))
     before = Window.partitionBy(by).orderBy("_batch").rowsBetween(Window.unboundedPreceding, -1)
     batches = batches.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
@@ -103,11 +113,13 @@ def split(rows: DataFrame, seed: int = 1, most: int = 5000, per: int = 500) -> D
     w = Window.partitionBy("source").orderBy("_d", "doc_id", "line_no", "chunk_no")
     drawn = rows.withColumn("_d", draw(seed, "val", F.col("source"), F.col("doc_id"), F.col("line_no"), F.col("chunk_no"))).join(F.broadcast(sizes), "source")
     want = F.when(F.coalesce("val", F.lit(True)), F.least(F.lit(most), F.floor(F.col("_lines") / per))).otherwise(0)
-    # only draws that can be among the first are ranked: twice the share wanted, and what chance may add
-    near = drawn.filter(F.col("_d") <= (2 * want + 50) / F.col("_lines"))
-    picked = near.withColumn("_r", F.row_number().over(w)).withColumn("part", F.when(F.col("_r") <= want, "val").otherwise("train")).drop("_r")
-    far = drawn.filter(F.col("_d") > (2 * want + 50) / F.col("_lines")).withColumn("part", F.lit("train"))
-    return picked.unionByName(far).drop("_d", "_lines")
+    # only draws that can be among the first are ranked: twice the share wanted, and what chance may add; all, should they be too few
+    low = F.col("_d") <= (2 * want + 50) / F.col("_lines")
+    enough = drawn.groupBy("source").agg(F.count_if(low).alias("_low"))
+    drawn = drawn.join(F.broadcast(enough), "source")
+    near = low | (F.col("_low") < want)
+    picked = drawn.filter(near).withColumn("_r", F.row_number().over(w)).withColumn("part", F.when(F.col("_r") <= want, "val").otherwise("train")).drop("_r")
+    return picked.unionByName(drawn.filter(~near).withColumn("part", F.lit("train"))).drop("_d", "_lines", "_low")
 
 
 def stats(rows: DataFrame, tokens: Column | None = None) -> DataFrame:
@@ -128,17 +140,9 @@ def tokenizer_sample(rows: DataFrame, total: int, seed: int = 1, most: int = 20)
     return taken.withColumn("rep", F.explode(F.sequence(F.lit(1), reps))).drop("_want", "_c", "_sources")
 
 
-def offsets(rows: DataFrame, tokens: Column, blocks: int = 64) -> DataFrame:
-    """rows with n_tokens and start: the tokens of all earlier rows of the source, in the order of id and line.
-
-    Running sums over blocks of documents first, then within a block.
-    """
-    sized = rows.withColumn("n_tokens", tokens.cast("long")).withColumn("_block", F.floor(F.col("doc_id") / F.lit(blocks)))
-    parts = sized.groupBy("source", "_block").agg(F.sum("n_tokens").alias("_s"))
-    before = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_o", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
-    run = Window.partitionBy("source", "_block").orderBy("doc_id", "line_no", "chunk_no").rowsBetween(Window.unboundedPreceding, -1)
-    return sized.withColumn("_r", F.coalesce(F.sum("n_tokens").over(run), F.lit(0))).join(parts, ["source", "_block"]).withColumn("start", F.col("_o") + F.col("_r")).drop("_block", "_o", "_r")
+def offsets(rows: DataFrame, tokens: Column) -> DataFrame:
+    """rows with n_tokens and start: the tokens of all earlier rows of the source, in the order of id and line."""
+    return running(rows.withColumn("n_tokens", tokens.cast("long")), ["source"], ["doc_id", "line_no", "chunk_no"], "start", F.col("n_tokens"))
 
 
 def expected_mix(config: DataFrame, total: int) -> DataFrame:
@@ -155,7 +159,7 @@ def availability(config: DataFrame, docs: DataFrame) -> DataFrame:
 
 def missing_letters(rows: DataFrame, alphabets: dict[str, str]) -> DataFrame:
     """lang, letter: letters of the alphabets that no row of the language has."""
-    seen = rows.select("lang", F.explode(F.split(F.lower("text"), "")).alias("letter")).distinct()
+    seen = rows.select("lang", F.explode(F.array_distinct(F.split(F.lower("text"), ""))).alias("letter")).distinct()  # a few rows a text
     pairs = [(lang, c) for lang, letters in alphabets.items() for c in letters]
     return rows.sparkSession.createDataFrame(pairs, "lang string, letter string").join(seen, ["lang", "letter"], "left_anti")
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from textmill.functions import score as S
 from textmill.functions import text as T
 from textmill.functions.draw import draw
+from textmill.operators.skew import running
 from textmill.session import materialize
 
 #: Longest clips, in seconds.
@@ -51,25 +51,24 @@ def verified(clips: DataFrame, most: Column, text: str = "text", heard: str = "t
     return rated.filter(F.col("_cer") <= most).withColumn("cer", F.bround("_cer", 3)).drop("_cer")
 
 
-def capped(clips: DataFrame, hours: float, by: str = "clip_group", id: str = "clip_id", seconds: str = "dur", seed: int = 1, buckets: int = 256) -> DataFrame:
+def capped(clips: DataFrame, hours: float, by: str = "clip_group", id: str = "clip_id", seconds: str = "dur", seed: int = 1) -> DataFrame:
     """clips in a seeded order, each taken if its group then has at most hours; a shorter one later on may still fit.
     Clips without a group are all taken.
 
     The order's longest prefix that fits is taken by running sums over buckets. What is left of the cap is then filled
     clip by clip: each round takes of every group the first later clip that fits, found by an aggregate, so that no
-    task holds a group. The rounds are as many as clips still fit into less than one clip's length.
+    task holds a group. The rounds are as many as clips of some length still fit into less than one clip's length; those of
+    no length fit always.
     """
     length = F.coalesce(F.col(seconds), F.lit(0.0))
     free = clips.filter(F.col(by).isNull())
-    drawn = clips.filter(F.col(by).isNotNull()).withColumn("_d", draw(seed, "cap", F.col(id))).withColumn("_l", length).withColumn("_b", F.floor(F.col("_d") * buckets).cast("int"))
+    drawn = clips.filter(F.col(by).isNotNull()).withColumn("_d", draw(seed, "cap", F.col(id))).withColumn("_l", F.greatest(length, F.lit(0.0)))
     cap = hours * 3600
-    before = Window.partitionBy(by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = drawn.groupBy(by, "_b").agg(F.sum("_l").alias("_s")).withColumn("_o", F.coalesce(F.sum("_s").over(before), F.lit(0.0))).drop("_s")
-    run = Window.partitionBy(by, "_b").orderBy("_d", id)
-    placed = drawn.withColumn("_r", F.sum("_l").over(run)).join(offsets, [by, "_b"]).withColumn("_to", F.round(F.col("_o") + F.col("_r"), 6))
+    placed = running(drawn, [by], ["_d", id], "_from", F.col("_l")).withColumn("_to", F.round(F.col("_from") + F.col("_l"), 6)).drop("_from")
     placed = materialize(placed, "cap")
     taken = placed.filter(F.col("_to") <= cap)
-    rest = placed.filter(F.col("_to") > cap)
+    rest = placed.filter((F.col("_to") > cap) & (F.col("_l") > 0))
+    none = placed.filter((F.col("_to") > cap) & (F.col("_l") <= 0))
     first = rest.groupBy(by).agg(F.min(F.struct("_d", id)).alias("_from"))
     state = taken.groupBy(by).agg(F.sum("_l").alias("_sum")).join(first, by, "right").withColumn("_room", F.lit(cap) - F.coalesce("_sum", F.lit(0.0))).select(by, "_from", "_room")
     state = materialize(state, "room")
@@ -83,7 +82,7 @@ def capped(clips: DataFrame, hours: float, by: str = "clip_group", id: str = "cl
         more = hit.select(by, F.col("_h")[id].alias(id)) if more is None else more.unionByName(hit.select(by, F.col("_h")[id].alias(id)))
         after = F.struct(F.col("_h._d").alias("_d"), (F.col("_h")[id] + 1).alias(id))
         state = hit.select(by, after.alias("_from"), (F.col("_room") - F.col("_h._l")).alias("_room"))
-    out = taken.select(*clips.columns)
+    out = taken.unionByName(none).select(*clips.columns)
     if more is not None:
         out = out.unionByName(rest.join(more, [by, id], "left_semi").select(*clips.columns))
     return free.unionByName(out)

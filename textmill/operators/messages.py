@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from textmill.functions import text as T
 from textmill.functions.draw import draw
+from textmill.operators.skew import first_of_each, running
+from textmill.session import materialize
 
 
 def joined(lines: DataFrame, seed: int = 1, by: tuple[str, ...] = ("source", "doc_id"), most: int = 3) -> DataFrame:
@@ -35,26 +36,29 @@ def usable(rows: DataFrame) -> DataFrame:
 
 
 def reservoir(rows: DataFrame, n: int, key: tuple[str, ...], seed: int = 1, by: tuple[str, ...] = ("source",)) -> DataFrame:
-    """n rows of each group at random, all if there are fewer. Only the first n of a group leave each task."""
+    """n rows of each group at random, all if there are fewer."""
     drawn = rows.withColumn("_d", draw(seed, "reservoir", *[F.col(k) for k in key]))
-    w = Window.partitionBy(*by).orderBy("_d", *key)
-    return drawn.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_d", "_r")
+    return first_of_each(drawn, n, list(by), ["_d", *key]).drop("_d")
 
 
 def stratified(rows: DataFrame, n: int, share: float, stratum: Column, key: tuple[str, ...], seed: int = 1, by: tuple[str, ...] = ("source",)) -> DataFrame:
     """n rows of each group: int(n * share) of the stratum if there are as many, the rest of the others."""
     want = int(n * share)
-    ranked = reservoir(rows.withColumn("_s", stratum.cast("boolean")), n, key, seed, (*by, "_s"))
-    w = Window.partitionBy(*by, "_s").orderBy(draw(seed, "reservoir", *[F.col(k) for k in key]), *key)
-    ranked = ranked.withColumn("_r", F.row_number().over(w)).filter(~F.col("_s") | (F.col("_r") <= want))  # at most n rows a group and stratum from here on
-    taken = F.count_if("_s").over(Window.partitionBy(*by))
-    return ranked.withColumn("_k", taken).filter(F.col("_s") | (F.col("_r") <= n - F.col("_k"))).drop("_s", "_r", "_k")
+    # at most n rows a group and stratum from here on
+    ranked = materialize(reservoir(rows.withColumn("_s", F.coalesce(stratum.cast("boolean"), F.lit(False))), n, key, seed, (*by, "_s")), "strata")
+    ranked = ranked.withColumn("_d", draw(seed, "reservoir", *[F.col(k) for k in key]))
+    ranked = running(ranked, [*by, "_s"], ["_d", *key], "_r").filter(~F.col("_s") | (F.col("_r") < want))
+    taken = ranked.groupBy(*by).agg(F.count_if("_s").alias("_k"))
+    same = F.lit(True)
+    for b in by:
+        same = same & F.col(b).eqNullSafe(F.col("_k" + b))
+    joined = ranked.join(taken.select(*[F.col(b).alias("_k" + b) for b in by], "_k"), same)
+    return joined.filter(F.col("_s") | (F.col("_r") < n - F.col("_k"))).select(*rows.columns)
 
 
 def shared(rows: DataFrame, shares: DataFrame, n: int, key: tuple[str, ...], seed: int = 1) -> DataFrame:
     """int(n * share) rows of each source at random, and all of those with always. shares: source, share, always."""
     known = rows.join(F.broadcast(shares), "source").withColumn("_d", draw(seed, "share", *[F.col(k) for k in key]))
-    w = Window.partitionBy("source").orderBy("_d", *key)
     always = F.coalesce("always", F.lit(False))
-    some = known.filter(~always).withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.floor(F.lit(n) * F.coalesce("share", F.lit(0.0)))).drop("_r")
+    some = running(known.filter(~always), ["source"], ["_d", *key], "_r").filter(F.col("_r") < F.floor(F.lit(n) * F.coalesce("share", F.lit(0.0)))).drop("_r")
     return some.unionByName(known.filter(always)).select(*rows.columns)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textmill.functions import locale as L
+from textmill.operators.skew import running
 
 
 def language_names(spark: SparkSession) -> DataFrame:
@@ -53,8 +54,8 @@ def words_among(text: Column, listed: list[str]) -> Column:
 
 def by_length(rows: DataFrame, length: str, batch: int, by: str, order: str) -> DataFrame:
     """rows with batch: rows of a group in the order of length, cut into batches, so that a batch has rows of like length."""
-    w = Window.partitionBy(by).orderBy(F.coalesce(length, F.lit(0.0)), order)
-    return rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / batch))
+    ranked = running(rows.withColumn("_l", F.coalesce(length, F.lit(0.0))), [by], ["_l", order], "batch")
+    return ranked.withColumn("batch", F.floor(F.col("batch") / batch)).drop("_l")
 
 
 def each_model(rows: DataFrame, models: list[str]) -> DataFrame:

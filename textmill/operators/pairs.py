@@ -30,6 +30,10 @@ class Swears:
     def count(self, unaccented: Column) -> Column:
         return T.count_words_of(unaccented, list(self.stems), list(self.exact))
 
+    def count_in_app(self, unaccented: Column) -> Column:
+        """As the app counts: words are letters and apostrophes, those before a word don't count."""
+        return T.count_words_of(F.regexp_replace(unaccented, r"(?<![\p{L}'])'+", ""), list(self.stems), list(self.exact), r"[\p{L}']")
+
 
 @dataclass(frozen=True)
 class Noise:
@@ -99,7 +103,7 @@ def outputs_judged(rows: DataFrame, swears: Swears = Swears()) -> DataFrame:
     corrects = F.lit(False)
     for p in SELF_CORRECTIONS:
         corrects = corrects | F.contains(i, F.lit(p))
-    base = T.computed(base, _had=swears.count(i), _kept=swears.count(o), _out=out)
+    base = T.computed(base, _had=swears.count_in_app(i), _kept=swears.count_in_app(o), _out=out)
     had, kept, out, ratio = F.col("_had"), F.col("_kept"), F.col("_out"), F.length("_out") / F.greatest(F.lit(1), F.length(F.coalesce("input", F.lit(""))))
     sane = F.when(out == "", "empty").when(~ratio.between(F.when(rambler, 0.15).otherwise(0.4), F.when(rambler, 1.5).otherwise(1.6)), "ratio")
     return base.withColumn("sane", sane.when((had > 0) & (2 * (kept + corrects.cast("int")) < had), "sanitized").otherwise("ok")).drop("_i", "_o", "_had", "_kept", "_out")
@@ -153,8 +157,8 @@ def dictated(rows: DataFrame, rules: DataFrame, how: Noise = Noise(), id: str =
 def corrected_later(rows: DataFrame, rules: DataFrame, per_lang: int, how: Noise = Noise(), id: str = "pair_id", text: str = "output", numbers: dict[str, list[str]] | None = None) -> DataFrame:
     """id, lang, text, input: dictations in which a wrong word is put right later on; at most per_lang of each language.
 
-    The wrong word is drawn from the words of all texts of the language: they are ranked, and a draw picks a rank, so the
-    vocabulary is joined, not collected. Texts of fewer than five words, or without a word of four letters after the
+    The wrong word is drawn from the words of all texts of the language: they are ranked, and a draw picks a rank (the next one, if
+    that is the word itself), so the vocabulary is joined, not collected. Texts of fewer than five words, or without a word of four letters after the
     first, give none. numbers: number words by language; every other text that has one gets a wrong number instead.
     """
     base = T.composed(rows.select(id, "lang", text).filter(F.col(text).isNotNull() & F.col("lang").isNotNull()), text)
@@ -170,20 +174,23 @@ def corrected_later(rows: DataFrame, rules: DataFrame, per_lang: int, how: Noise
     known = known.withColumn("_p", F.when(F.col("_isnumber"), F.col("_at")).otherwise(F.col("_p"))).filter(F.size("_p") > 0)
     rules = rules.select(F.col("code").alias("lang"), F.coalesce("light_fillers", F.slice("fillers", 1, 3)).alias("_f"), F.col("corrections").alias("_c"))
     known = known.join(F.broadcast(rules), "lang").withColumn("_i", _pick(F.col("_p"), u("place")))
+    known = materialize(reservoir(known, per_lang, (id,), how.seed, ("lang",)), "drawn")  # the rows are drawn before the words
     vocab = base.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}{4,}"), 0))).alias("wrong")).distinct()
-    ranked = running(vocab, ["lang"], ["wrong"], "_rank")
-    sizes = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("_size"))
-    known = known.join(F.broadcast(sizes), "lang").withColumn("_rank", F.floor(u("vocab") * F.col("_size")).cast("long"))
+    ranked = materialize(running(vocab, ["lang"], ["wrong"], "_rank"), "vocab")
+    sizes = ranked.groupBy("lang").agg(F.count(F.lit(1)).alias("_size"))
+    known = known.join(F.broadcast(sizes), "lang").withColumn("_rank", F.floor(u("vocab") * F.col("_size")).cast("long")).withColumn("_next", (F.col("_rank") + 1) % F.col("_size"))
+    known = known.join(ranked, ["lang", "_rank"]).join(ranked.select("lang", F.col("_rank").alias("_next"), F.col("wrong").alias("_after")), ["lang", "_next"])
     spoken_word = F.element_at("_w", F.col("_i").cast("int"))
     other = _pick(F.filter("_numbers", lambda n: n != spoken_word), u("other"))
-    known = known.join(ranked, ["lang", "_rank"]).withColumn("wrong", F.when(F.col("_isnumber"), other).otherwise(F.col("wrong"))).filter(F.col("wrong") != spoken_word)
+    drawn = F.when(F.col("wrong") != spoken_word, F.col("wrong")).otherwise(F.col("_after"))
+    known = known.withColumn("wrong", F.when(F.col("_isnumber"), other).otherwise(drawn)).filter(F.col("wrong") != spoken_word)
     i, n = F.col("_i").cast("int"), F.size("_w")
     right = F.when(~F.col("_isnumber") & (u("article") < 0.5), F.slice("_w", i - 1, F.lit(2))).otherwise(F.slice("_w", i, F.lit(1)))
     spoken = F.concat(F.slice("_w", F.lit(1), i - 1), F.array("wrong"), F.slice("_w", i + 1, n - i))
     known = known.withColumn("_s", spoken).withColumn("_r", right).withColumn("_cut", (i + F.floor(u("cut") * (n - i + 1))).cast("int"))
     said = lambda part, salt: F.flatten(F.transform(part, lambda w, k: F.when(u(salt, k) < how.inner, F.array(_pick(F.col("_f"), u(salt + "-which", k)), w)).otherwise(F.array(w))))
     out = F.concat(said(F.slice("_s", F.lit(1), F.col("_cut")), "head"), F.array(_pick(F.col("_c"), u("phrase"))), F.col("_r"), said(F.slice("_s", F.col("_cut") + 1, n - F.col("_cut")), "tail"))
-    return reservoir(known.select(id, "lang", F.col(text).alias("text"), F.array_join(out, " ").alias("input")), per_lang, (id,), how.seed, ("lang",))
+    return known.select(id, "lang", F.col(text).alias("text"), F.array_join(out, " ").alias("input"))
 
 
 def held_out(rows: DataFrame, seed: int = 1, old_share: float = 1.0, old: Column | None = None, least: int = 200, per: int = 50, id: str = "pair_id") -> DataFrame:
@@ -204,7 +211,9 @@ def held_out(rows: DataFrame, seed: int = 1, old_share: float = 1.0, old: Column
     everything = per_lang.agg(F.sum("_keys").alias("_all_keys"), F.sum("_rows").alias("_all_rows"))
     quota = per_lang.join(F.broadcast(everything)).select("lang", F.greatest(F.lit(1), F.bround(F.col("_keys") * F.greatest(F.lit(least), F.floor(F.col("_all_rows") / per)) / F.col("_all_keys"), 0)).alias("_q"), "_keys")
     drawn = keys.withColumn("_d", u("key", F.col("_k"))).join(F.broadcast(quota), "lang")
-    near = drawn.filter(F.col("_d") <= (2 * F.col("_q") + 50) / F.col("_keys"))  # more than the quota, but not all keys
+    drawn = materialize(drawn, "drawn")
+    low = F.col("_d") <= (2 * F.col("_q") + 50) / F.col("_keys")  # more than the quota, but not all keys, unless they are too few
+    near = drawn.join(F.broadcast(drawn.groupBy("lang").agg(F.count_if(low).alias("_low"))), "lang").filter(low | (F.col("_low") < F.col("_q")))
     held = near.withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_d", "_k"))).filter("_r <= _q").select("lang", "_k", F.col("_f")[id].alias("_val"), "_n")
     total = good.count()
     held = materialize(held.select("lang", "_k", "_val", "_n"), "held")

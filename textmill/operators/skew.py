@@ -36,15 +36,27 @@ def running(df: DataFrame, keys: list[str], order: list[str], name: str, weight:
     ranges, the ranges' sums before are broadcast.
     """
     step = F.lit(1) if weight is None else weight
-    cut = df.withColumn("_w", step).repartitionByRange(*keys, *order).withColumn("_p", F.spark_partition_id())
+    cut = df.withColumn("_run_w", step).repartitionByRange(*keys, *order).withColumn("_run_p", F.spark_partition_id())
     cut = materialize(cut, "ranges")
-    sums = cut.groupBy(*keys, "_p").agg(F.sum("_w").alias("_s"))
-    within = Window.partitionBy(*keys, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(*keys, "_run_p").agg(F.sum("_run_w").alias("_run_s"))
+    within = Window.partitionBy(*keys, "_run_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_run_p").rowsBetween(Window.unboundedPreceding, -1)
     # a range that isn't a key's first one: no more such pairs than ranges
-    later = sums.withColumn("_o", F.sum("_s").over(before)).filter("_o is not null").select(*[F.col(k).alias("_k" + k) for k in keys], F.col("_p").alias("_q"), "_o")
-    same = F.col("_p") == F.col("_q")
+    later = sums.withColumn("_run_o", F.sum("_run_s").over(before)).filter("_run_o is not null").select(*[F.col(k).alias("_run_k" + k) for k in keys], F.col("_run_p").alias("_run_q"), "_run_o")
+    same = F.col("_run_p") == F.col("_run_q")
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col("_k" + k))
-    out = cut.withColumn("_r", F.coalesce(F.sum("_w").over(within), F.lit(0))).join(F.broadcast(later), same, "left")
-    return out.withColumn(name, F.col("_r") + F.coalesce("_o", F.lit(0))).drop("_w", "_p", "_q", "_r", "_o", *["_k" + k for k in keys])
+        same = same & F.col(k).eqNullSafe(F.col("_run_k" + k))
+    out = cut.withColumn("_run_r", F.coalesce(F.sum("_run_w").over(within), F.lit(0))).join(F.broadcast(later), same, "left")
+    return out.withColumn(name, F.col("_run_r") + F.coalesce("_run_o", F.lit(0))).drop("_run_w", "_run_p", "_run_q", "_run_r", "_run_o", *["_run_k" + k for k in keys])
+
+
+#: Rows of a group up to which the engine lets only a group's first rows leave a task.
+GROUP_LIMIT = 1000
+
+
+def first_of_each(df: DataFrame, most: int, keys: list[str], order: list[str]) -> DataFrame:
+    """The first most rows of each key in the order of the columns order."""
+    if most <= GROUP_LIMIT:
+        ranked = df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return ranked.filter(F.col("_n") <= most).drop("_n")
+    return running(df, keys, order, "_n").filter(F.col("_n") < most).drop("_n")

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textmill.functions.draw import draw
+from textmill.session import materialize
 
 # Rows of the usual layouts with their offsets, in key widths.
-LAYOUTS = {"en": (("qwertyuiop", 0.0), ("asdfghjkl", 0.5), ("zxcvbnm", 1.5)), "sq": (("qwertzuiopç", 0.0), ("asdfghjklë", 0.5), ("yxcvbnm", 2.0)), "el": ((";ςερτυθιοπ", 0.0), ("ασδφγηξκλ", 0.5), ("ζχψωβνμ", 1.5))}
+LAYOUTS = {"en": (("qwertyuiop", 0.0), ("asdfghjkl", 0.5), ("zxcvbnm", 1.5)), "sq": (("qwertzuiopç", 0.0), ("asdfghjklë", 0.5), ("yxcvbnm", 2.0)), "el": ((";ςερτυθιοπ", 0.0), ("ασδφγηξκλ", 0.5), ("ζχψωβνμ", 1.5)), "es": (("qwertyuiop", 0.0), ("asdfghjklñ", 0.0), ("zxcvbnm", 1.5))}
 #: Width of the weights around a tap, and the smallest weight that counts.
 SPREAD, LEAST = 0.35, 0.05
 
@@ -62,7 +63,8 @@ def neighbours(keys: DataFrame, n: int = 4) -> DataFrame:
 
 def mixed(taps: DataFrame, keys: DataFrame, sigma: float, id: tuple[str, ...], seed: int = 1, n: int = 4) -> DataFrame:
     """taps (lang, key, id) with near, weight: the n letter keys nearest to a tap beside the key's centre, weighted by
-    distance; small weights are dropped and the others add up to 1."""
+    distance; small weights are dropped and the others add up to 1. Keys that a layout lacks are left out; in languages without
+    a layout each key is hit for sure."""
     u = lambda k: draw(seed, "tap" + k, *[F.col(c) for c in id])
     radius = F.sqrt(-2 * F.ln(F.greatest(u("1"), F.lit(1e-10))))
     at = taps.join(F.broadcast(keys), ["lang", "key"])  # a few dozen keys a language
@@ -72,7 +74,14 @@ def mixed(taps: DataFrame, keys: DataFrame, sigma: float, id: tuple[str, ...], s
     weights = F.transform("_n", lambda k: F.struct(k["key"].alias("near"), F.exp(-k["d2"] / (2 * SPREAD**2)).alias("w")))
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, k: a + k["w"])
     ranked = ranked.withColumn("_w", weights).withColumn("_t", total("_w")).withColumn("_w", F.filter("_w", lambda k: k["w"] / F.col("_t") >= LEAST)).withColumn("_t", total("_w"))
-    return ranked.select(*taps.columns, "_t", F.posexplode("_w").alias("rank", "_e")).select(*taps.columns, "rank", F.col("_e.near").alias("near"), (F.col("_e.w") / F.col("_t")).alias("weight"))
+    hit = ranked.select(*taps.columns, "_t", F.posexplode("_w").alias("rank", "_e")).select(*taps.columns, "rank", F.col("_e.near").alias("near"), (F.col("_e.w") / F.col("_t")).alias("weight"))
+    sure = taps.join(F.broadcast(keys.select("lang").distinct()), "lang", "left_anti").select(*taps.columns, F.lit(0).alias("rank"), F.col("key").alias("near"), F.lit(1.0).alias("weight"))
+    return hit.unionByName(sure)
+
+
+def known_keys(keys: DataFrame) -> DataFrame:
+    """lang, _known: the letter keys of each layout, a few dozen."""
+    return keys.filter(F.col("key").rlike(r"^\p{L}$")).groupBy("lang").agg(F.collect_set("key").alias("_known"))
 
 
 def base_letters(word: Column, own: str = "ëç", accents: str = "áéíóúüñàèìòùâêîôûäëïöåçάέήίόύώϊϋΐΰ", plain: str = "aeiouunaeiouaeiouaeioacαεηιουωιυιυ") -> Column:
@@ -141,7 +150,8 @@ def staged(k: Column, stage: list[Rule], draws: tuple[Column, Column, Column]) -
 
 
 def typed(words: DataFrame, keys: DataFrame, stages: dict[str, list[list[Rule]]], how: Taps = Taps(), id: tuple[str, ...] = ("word_id",), word: str = "word") -> DataFrame:
-    """words with keys_typed: the keys of a word after typing and tap errors, unknown keys removed. words: lang, word, id."""
+    """words with keys_typed: the keys of a word after typing and tap errors, unknown keys removed; in languages without a layout
+    all keys are known and have no neighbours. words: lang, word, id."""
     u = lambda salt, *more: draw(how.seed, salt, *[F.col(c) for c in id], *more)
     k = base_letters(F.col(word))
     out = words.withColumn("_k", k)
@@ -151,7 +161,7 @@ def typed(words: DataFrame, keys: DataFrame, stages: dict[str, list[list[Rule]]]
             out = out.withColumn("_k", F.when(F.col("lang") == lang, staged(F.col("_k"), stage, draws)).otherwise(F.col("_k")))
     near = neighbours(keys).groupBy("lang", "key").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "near"))), lambda x: x["near"]).alias("n"))
     maps = near.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("_near"))  # a few dozen keys a language
-    out = out.join(F.broadcast(maps), "lang")
+    out = out.join(F.broadcast(maps), "lang", "left")
     cum = [how.drop, how.drop + how.extra, how.drop + how.extra + how.swap, how.drop + how.extra + how.swap + how.double]
     c, n, r = F.split("_k", ""), F.length("_k"), u("tap")
     i = F.floor(u("where") * n).cast("int")  # from 0
@@ -172,24 +182,36 @@ def typed(words: DataFrame, keys: DataFrame, stages: dict[str, list[list[Rule]]]
     out = out.withColumn("_k", taps)
     part = (F.floor(u("partial-at") * (n - 1)) + 1).cast("int")
     out = out.withColumn("_k", F.when((n > 2) & (u("partial") < how.partial), head(part)).otherwise(F.col("_k")))
-    known = F.filter(F.split("_k", ""), lambda x: F.map_contains_key("_near", x))
+    known = F.filter(F.split("_k", ""), lambda x: F.coalesce(F.map_contains_key("_near", x), F.lit(True)))
     return out.withColumn("keys_typed", F.array_join(known, "")).drop("_k", "_near")
 
 
 def with_errors(words: DataFrame, keys: DataFrame, stages: dict[str, list[list[Rule]]], how: Taps = Taps(), id: tuple[str, ...] = ("word_id",), word: str = "word", attempts: int = 20) -> DataFrame:
     """typed(), but of up to attempts tries the first with an error that leaves at most one key out; the last one if none
     has."""
-    tries = words.withColumn("_try", F.explode(F.sequence(F.lit(0), F.lit(attempts - 1))))
-    out = typed(tries, keys, stages, how, (*id, "_try"), word)
     base = base_letters(F.col(word))
     good = (F.length("keys_typed") >= F.length(base) - 1) & (F.col("keys_typed") != base)
-    first = out.groupBy(*words.columns).agg(F.min(F.struct((~good).alias("bad"), F.when(good, F.col("_try")).otherwise(-F.col("_try")).alias("n"), "keys_typed")).alias("_f"))
-    return first.select(*words.columns, F.col("_f.keys_typed").alias("keys_typed"))
-
-
-def conditions(words: DataFrame, typed_: str = "keys_typed", word: str = "word") -> DataFrame:
-    """words with condition, keys, sigma: clean (base letters), typos (with errors) and partial (the first 0.6)."""
+    rest, done = words, None
+    for low, high in ((0, 2), (2, 7), (7, attempts)):  # most words need few tries
+        if low >= min(high, attempts):
+            continue
+        high = min(high, attempts)
+        tries = rest.withColumn("_try", F.explode(F.sequence(F.lit(low), F.lit(high - 1))))
+        out = typed(tries, keys, stages, how, (*id, "_try"), word)
+        first = out.groupBy(*words.columns).agg(F.min(F.struct((~good).alias("bad"), F.when(good, F.col("_try")).otherwise(-F.col("_try")).alias("n"), "keys_typed")).alias("_f"))
+        first = materialize(first, "tries")
+        got = first.filter(F.lit(high == attempts) | ~F.col("_f.bad")).select(*words.columns, F.col("_f.keys_typed").alias("keys_typed"))
+        done = got if done is None else done.unionByName(got)
+        rest = first.filter("_f.bad").select(*words.columns)
+    return done
+
+
+def conditions(words: DataFrame, keys: DataFrame, typed_: str = "keys_typed", word: str = "word") -> DataFrame:
+    """words with condition, keys, sigma: clean (base letters), typos (with errors) and partial (the first 0.6). Keys that the
+    layout (keys) of a language lacks are left out, and conditions without any key too."""
     base = base_letters(F.col(word))
     short = F.substring(base, F.lit(1), F.greatest(F.lit(1), F.bround(F.length(base) * 0.6, 0)).cast("int"))
     kinds = F.array(F.struct(F.lit("clean").alias("condition"), base.alias("keys"), F.lit(0.15).alias("sigma")), F.struct(F.lit("typos").alias("condition"), F.col(typed_).alias("keys"), F.lit(0.35).alias("sigma")), F.struct(F.lit("partial").alias("condition"), short.alias("keys"), F.lit(0.15).alias("sigma")))
-    return words.select("*", F.inline(kinds))
+    each = words.select("*", F.inline(kinds)).join(F.broadcast(known_keys(keys)), "lang", "left")
+    known = F.array_join(F.filter(F.split("keys", ""), lambda x: F.coalesce(F.array_contains("_known", x), F.lit(True))), "")
+    return each.withColumn("keys", known).drop("_known").filter("keys <> ''")

@@ -31,8 +31,19 @@ def sql_words(x: str) -> str:
     return rf"len(regexp_extract_all({x}, '{_NOT_WS}+'))"
 
 
+# What the SQL takes as a language's letters, and as places where its sentences are cut.
+_LETTERS = {"el": "Ͱ-Ͽἀ-῿", "sq": "A-Za-zËëÇç", "en": "A-Za-z", "es": "A-Za-zÁÉÍÓÚÜÑáéíóúüñ"}
+_ANY = r"\p{L}"
+_CUTS = {"el": ("[.!;…]", "Ά-ΫA-Z"), "sq": ("[.!?…]", "A-ZËÇ"), "en": ("[.!?…]", "A-Za-z"), "es": ("[.!?…]", "A-Za-zÁÉÍÓÚÜÑáéíóúüñ")}
+
+
+def _cut(x: str) -> str:
+    one = lambda ends, starts: rf"""regexp_replace({x}, '({ends}){_WS}+(["«(“{starts}])', '\1' || chr(1) || '\2', 'g')"""
+    return "CASE " + " ".join(f"WHEN lang = '{k}' THEN {one(*v)}" for k, v in _CUTS.items()) + rf" ELSE {one('[.!?…]', _ANY)} END"
+
+
 def _share(x: str) -> str:
-    cases = " ".join(f"WHEN lang = '{k}' THEN len(regexp_extract_all({x}, '[{v}]'))" for k, v in C.LETTERS.items())
+    cases = " ".join(f"WHEN lang = '{k}' THEN len(regexp_extract_all({x}, '[{v}]'))" for k, v in _LETTERS.items())
     return rf"(CASE {cases} ELSE len(regexp_extract_all({x}, '\p{{L}}')) END)::DOUBLE / len(regexp_extract_all({x}, '\p{{L}}'))"
 
 
@@ -58,7 +69,7 @@ bare AS (
 )
 """
 PACKED = rf"""{CLEAN}, cut AS (
-    SELECT *, string_split(regexp_replace(text, '([.!?…;]){_WS}+(["«(“\p{{Lu}}])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts FROM clean
+    SELECT *, string_split({_cut("text")}, chr(1)) AS parts FROM clean
 ), folded AS (
     SELECT *, list_reduce(list_transform(parts, lambda s: {{'out': CAST([] AS VARCHAR[]), 'buf': s}}), lambda a, b:
         CASE WHEN a.buf <> '' AND length(a.buf) + length(b.buf) > 300 THEN {{'out': list_append(a.out, a.buf), 'buf': b.buf}}

@@ -40,7 +40,7 @@ def typing_noise(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def typing_conditions(spark: SparkSession, sf: str) -> DataFrame:
-    return Y.conditions(Y.with_errors(_words(spark, sf), Y.keys(spark), STAGES, id=("lang", "word"))).select("lang", "word", "condition", "keys", "sigma")
+    return Y.conditions(Y.with_errors(_words(spark, sf), Y.keys(spark), STAGES, id=("lang", "word")), Y.keys(spark)).select("lang", "word", "condition", "keys", "sigma")
 
 
 def tap_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,6 +70,12 @@ def catalog_resolve(spark: SparkSession, sf: str) -> DataFrame:
     return out.filter("is_default").select("tag", "id", "variant", LOC.size_text(F.col("size")).alias("size_text"))
 
 
+def sizes_shown(spark: SparkSession, sf: str) -> DataFrame:
+    n = F.col("n_chars")
+    sizes = table(spark, sf, "documents").select(F.explode(F.array(n, n * 1000, n * 1_000_000, *[F.lit(x).cast("long") for x in (10485759, 10485760, 11220000, 52000000, 1048575999, 1048576000)])).alias("size"))
+    return sizes.filter("size is not null").distinct().select("size", LOC.size_text(F.col("size")).alias("size_text"))
+
+
 def catalog_status(spark: SparkSession, sf: str) -> DataFrame:
     have = spark.createDataFrame([("a", "voice-el@1@small"), ("b", "lm-sq@1"), ("c", "adapter-es@0@")], "slot string, value string")
     return K.status(_entries(spark).filter("is_default"), K.installed(have)).select("id", "variant", "version", "state")
@@ -86,19 +92,29 @@ def locales(spark: SparkSession, sf: str) -> DataFrame:
     return tags.select("lang", LOC.language(F.col("lang")).alias("language"), LOC.region(F.col("lang")).alias("region"), LOC.canonical(F.col("lang")).alias("tag"))
 
 
-QUERIES = {f.__name__: f for f in (typing_noise, nearest_keys, layout_offsets, typing_conditions, tap_mix, catalog_resolve, catalog_status, adapter_priority, locales)}
+QUERIES = {f.__name__: f for f in (typing_noise, nearest_keys, layout_offsets, typing_conditions, tap_mix, catalog_resolve, sizes_shown, catalog_status, adapter_priority, locales)}
 
 _KEYS = "keys(lang, key, x, y) AS (VALUES " + ", ".join(f"('{lang}', '{c}', {x0 + i + 0.5}, {r + 0.5})" for lang, lines in Y.LAYOUTS.items() for r, (line, x0) in enumerate(lines) for i, c in enumerate(line)) + ")"
 _TAG = "lower(string_split(replace(lang, '_', '-'), '-')[1])"
 _REGION = "upper(list_filter(string_split(replace(lang, '_', '-'), '-')[2:], lambda p: regexp_full_match(p, '[A-Za-z]{2}|[0-9]{3}'))[1])"
 _LANGS = f"tags AS (SELECT DISTINCT lang, CASE {_TAG} WHEN 'iw' THEN 'he' WHEN 'in' THEN 'id' WHEN 'ji' THEN 'yi' ELSE {_TAG} END AS language, {_REGION} AS region FROM documents WHERE lang IS NOT NULL)"
+_u = lambda salt, *key: draw_sql(1, salt, *key)
+_TAPPED = rf"""{_KEYS}, words AS (SELECT DISTINCT lang, {sql_lower("word")} AS word FROM (SELECT lang, unnest(regexp_extract_all(output, '\p{{L}}{{2,24}}')) AS word FROM pairs WHERE output IS NOT NULL AND lang IS NOT NULL)),
+taps AS (SELECT lang, word, unnest(list_distinct(string_split(word, ''))) AS key FROM words),
+tapped AS (SELECT t.*, x + 0.35 * sqrt(-2 * ln(greatest({_u("tap1", "word", "key")}, 1e-10))) * cos(2 * 3.141592653589793 * {_u("tap2", "word", "key")}) AS px, y + 0.8 * 0.35 * sqrt(-2 * ln(greatest({_u("tap1", "word", "key")}, 1e-10))) * sin(2 * 3.141592653589793 * {_u("tap2", "word", "key")}) AS py FROM taps t JOIN keys USING (lang, key)),
+near AS (SELECT a.lang, word, a.key, k.key AS near, exp(-((k.x - px) ^ 2 + (k.y - py) ^ 2) / (2 * 0.35 ^ 2)) AS w, row_number() OVER (PARTITION BY a.lang, word, a.key ORDER BY (k.x - px) ^ 2 + (k.y - py) ^ 2, k.key) AS r FROM tapped a JOIN keys k ON a.lang = k.lang AND k.key <> ';'),
+kept AS (SELECT * FROM near WHERE r <= 4 QUALIFY w / sum(w) OVER (PARTITION BY lang, word, key) >= 0.05)"""
+_SIZE = "CASE WHEN size >= 1048576000 THEN printf('%.1f GB', size / 1073741824.0) WHEN size >= 10485760 THEN printf('%d MB', size // 1048576) ELSE printf('%.1f MB', size / 1048576.0) END"
 ORACLE = {
+    "sizes_shown": f"SELECT DISTINCT size, {_SIZE} AS size_text FROM (SELECT unnest([n_chars, n_chars * 1000, n_chars * 1000000, 10485759, 10485760, 11220000, 52000000, 1048575999, 1048576000]) AS size FROM documents) WHERE size IS NOT NULL",
+    "tap_mix": f"""WITH {_TAPPED} SELECT lang, word, key, near, round(w / sum(w) OVER (PARTITION BY lang, word, key), 6) AS weight FROM kept
+        UNION ALL SELECT lang, word, key, key, 1.0 FROM taps WHERE lang NOT IN (SELECT lang FROM keys)""",
     "nearest_keys": f"WITH {_KEYS}, l AS (SELECT * FROM keys WHERE key <> ';'), d AS (SELECT a.lang, a.key, b.key AS near, round((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2, 6)::DOUBLE AS d2 FROM l a JOIN l b ON a.lang = b.lang AND a.key <> b.key) SELECT * FROM (SELECT lang, key, near, row_number() OVER (PARTITION BY lang, key ORDER BY d2, near) AS rank, d2 FROM d) WHERE rank <= 4",
     "layout_offsets": "WITH r(lang, row, k) AS (VALUES " + ", ".join(f"('{lang}', {r}, '{line}')" for lang, lines in Y.LAYOUTS.items() for r, (line, _) in enumerate(lines)) + ") SELECT lang, row, ((max(length(k)) OVER (PARTITION BY lang) - length(k)) / 2)::DOUBLE AS \"offset\" FROM r",
     "locales": f"WITH {_LANGS} SELECT lang, language, region, concat_ws('-', language, region) AS tag FROM tags",
     "adapter_priority": f"""WITH {_LANGS}, have(h, l) AS (VALUES ('es-MX', 'es'), ('es', 'es'), ('el', 'el'), ('sq-AL', 'sq')), r AS (SELECT lang AS tag, h, CASE WHEN region IS NOT NULL AND h = language || '-' || region THEN 1 WHEN lang LIKE 'es%' AND h = language || '-MX' THEN 2 WHEN h = language THEN 3 ELSE 4 END AS r FROM tags JOIN have ON l = language)
         SELECT t.lang AS tag, (SELECT first(h ORDER BY r.r, h) FROM r WHERE r.tag = t.lang) AS found FROM tags t""",
-    "catalog_resolve": f"""WITH {_LANGS}, e(id, locale, variant, size_text) AS (VALUES ('voice-el', 'el', 'base', '3.8 MB'), ('lm-sq', 'sq', '', '33 MB'), ('adapter-es-MX', 'es-MX', '', '9.1 MB'), ('adapter-es', 'es', '', '8.6 MB'))
-        SELECT lang AS tag, id, variant, size_text FROM tags JOIN e ON locale = language OR locale = concat_ws('-', language, region)""",
+    "catalog_resolve": f"""WITH {_LANGS}, e(id, locale, variant, size) AS (VALUES ('voice-el', 'el', 'base', 4000000::BIGINT), ('lm-sq', 'sq', '', 35000000::BIGINT), ('adapter-es-MX', 'es-MX', '', 9500000::BIGINT), ('adapter-es', 'es', '', 9000000::BIGINT))
+        SELECT lang AS tag, id, variant, {_SIZE} AS size_text FROM tags JOIN e ON locale = language OR locale = concat_ws('-', language, region)""",
     "catalog_status": "SELECT * FROM (VALUES ('voice-el', 'base', 2, 'other variant'), ('lm-sq', '', 1, 'current'), ('adapter-es-MX', '', 3, 'missing'), ('adapter-es', '', 1, 'update')) v(id, variant, version, state)",
 }

@@ -56,7 +56,7 @@ def lexicon_combined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lexicon_flagged(spark: SparkSession, sf: str) -> DataFrame:
-    return lexicon_build(spark, sf).filter("possibly_offensive").select("lang", "word").distinct().orderBy("lang", "word").limit(200)
+    return lexicon_build(spark, sf).filter("possibly_offensive").select("lang", "word").distinct()
 
 
 def lexicon_top(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,6 +93,6 @@ ORACLE = {
         new AS (SELECT low, first(word ORDER BY f DESC, word) AS word, first(f ORDER BY f DESC, word) AS f FROM usable WHERE low NOT IN (SELECT lower(word) FROM built WHERE lang = 'en') GROUP BY low)
         SELECT lang, word, f FROM built UNION ALL SELECT 'en', word, least(f, 100)::INT FROM new""",
     "lexicon_combined": f"WITH {_BUILT} SELECT lang, ' word=' || word || ',f=' || f || CASE WHEN possibly_offensive THEN ',possibly_offensive=true' ELSE '' END AS line FROM built",
-    "lexicon_flagged": f"WITH {_BUILT} SELECT DISTINCT lang, word FROM built WHERE possibly_offensive ORDER BY lang, word LIMIT 200",
+    "lexicon_flagged": f"WITH {_BUILT} SELECT DISTINCT lang, word FROM built WHERE possibly_offensive",
     "lexicon_top": f"WITH {_BUILT} SELECT word, f FROM built WHERE lang = 'sq' ORDER BY f DESC, word DESC LIMIT 15",
 }

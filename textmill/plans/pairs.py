@@ -113,7 +113,9 @@ _ROWS = f"{LINES}, named AS (SELECT * FROM lines WHERE source IS NOT NULL)"
 _MESSAGES = f"{_ROWS}, messages AS (SELECT * FROM named WHERE {_MESSAGE})"
 _bare = lambda x: f"replace(strip_accents(lower({x})), 'ς', 'σ')"
 _SWEAR = "^(" + "|".join([*(f"{s}[\\p{{L}}\\p{{N}}_'']*" for s in SWEARS.stems), *SWEARS.exact]) + ")$"
+_SWEAR_IN_APP = "^(" + "|".join([*(f"{s}.*" for s in SWEARS.stems), *SWEARS.exact]) + ")$"
 _swears = lambda x: rf"len(list_filter(regexp_extract_all({_bare(x)}, '[\p{{L}}\p{{N}}_'']+'), lambda w: regexp_matches(w, '{_SWEAR}')))"
+_in_app = lambda x: rf"len(list_filter(regexp_extract_all({_bare(x)}, '[\p{{L}}'']+'), lambda w: regexp_matches(ltrim(w, chr(39)), '{_SWEAR_IN_APP}')))"
 _pad = lambda x: rf"(' ' || array_to_string(regexp_extract_all({_bare(x)}, '{T.WORD}'), ' ') || ' ')"
 _ADDED = " OR ".join(f"(contains(o, ' {w} ') AND NOT contains(i, ' {w} '))" for w in NO_ADD)
 _JUDGED = rf"""base AS (SELECT *, trim({sql_strip("regexp_replace(coalesce(output, ''), '(?s)<think>.*?</think>', '', 'g')")}, '"') AS reply, {_pad("coalesce(output, '')")} AS o, {_pad("coalesce(input, '')")} AS i,
@@ -149,7 +151,7 @@ ORACLE = {
     "light_rambler_join": "SELECT lang, input, max_by(output, pair_id) FILTER (WHERE mode = 'light' ) AS light, max_by(output, pair_id) FILTER (WHERE mode = 'rambler') AS rambler FROM pairs WHERE lang IS NOT NULL AND input IS NOT NULL GROUP BY lang, input HAVING count(*) FILTER (WHERE mode = 'light') > 0",
     "rewrite_filter": f"WITH {_JUDGED} SELECT pair_id, verdict FROM verdicts",
     "rewrite_counts": f"WITH {_JUDGED} SELECT lang, mode, verdict, count(*) AS n FROM verdicts GROUP BY lang, mode, verdict",
-    "sanity_filter": rf"""WITH base AS (SELECT *, {sql_strip(rf"regexp_replace({sql_strip(chr(99) + 'oalesce(output, chr(32))')}, '^\"((?s:.*))\"$', '\1')")} AS o, {_swears("coalesce(input, '')")} AS had, {_swears("coalesce(output, '')")} AS kept, ({_CORRECTS})::INT AS fixes FROM pairs),
+    "sanity_filter": rf"""WITH base AS (SELECT *, {sql_strip(rf"regexp_replace({sql_strip(chr(99) + 'oalesce(output, chr(32))')}, '^\"((?s:.*))\"$', '\1')")} AS o, {_in_app("coalesce(input, '')")} AS had, {_in_app("coalesce(output, '')")} AS kept, ({_CORRECTS})::INT AS fixes FROM pairs),
         r AS (SELECT *, length(o) / greatest(1, length(coalesce(input, ''))) AS ratio FROM base)
         SELECT pair_id, CASE WHEN o = '' THEN 'empty' WHEN NOT (ratio BETWEEN CASE WHEN mode = 'rambler' THEN 0.15 ELSE 0.4 END AND CASE WHEN mode = 'rambler' THEN 1.5 ELSE 1.6 END) THEN 'ratio' WHEN had > 0 AND 2 * (kept + fixes) < had THEN 'sanitized' ELSE 'ok' END AS sane FROM r""",
     "swear_retention": f"WITH s AS (SELECT lang, {_swears('input')} AS had, {_swears('output')} AS kept FROM pairs WHERE input IS NOT NULL AND output IS NOT NULL) SELECT lang, sum(had)::BIGINT AS had, round(sum(least(had, kept)) / greatest(1, sum(had)), 6) AS retained FROM s GROUP BY lang",

@@ -134,11 +134,41 @@ def licences(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (manifest_train, clip_durations, manifest_other, leakage_removed, held_texts, group_cap, label_verification, eval_sample, dev_fallback, hours_by_source, epoch_heuristic, required_fields, error_rates_by_source, similarity_by_language, metric_pivot, dev_score, best_checkpoint, results_merged, next_word_accuracy, fastest_backend, licences)}
 
-_norm = lambda x: sql_collapse(rf"regexp_replace({sql_lower(x)}, '[^\p{{L}}\p{{N}}\p{{M}}_\t\n\x0B\f\r\x1c-\x1f\x{{85}}\p{{Z}}]', ' ', 'g')")
+_norm = lambda x: sql_collapse(rf"regexp_replace(nfc_normalize({sql_lower(x)}), '[^\p{{L}}\p{{N}}_\t\n\x0B\f\r\x1c-\x1f\x{{85}}\p{{Z}}]', ' ', 'g')")
 _FREE = f"""texts AS (SELECT DISTINCT lang, {_norm("text")} AS t FROM eval_cv WHERE {sql_strip("text")} <> ''),
 speakers AS (SELECT DISTINCT left(speaker, 16) AS s FROM eval_cv WHERE trim(speaker) <> ''),
 free AS (SELECT * FROM train_cv c WHERE {sql_strip("text")} <> '' AND NOT EXISTS (SELECT 1 FROM speakers WHERE s = left(c.speaker, 16)) AND NOT EXISTS (SELECT 1 FROM texts t WHERE t.lang = c.lang AND t.t = {_norm("c.text")}))"""
+# the SQL's edit distance counts bytes, so the distinct parts of a pair become ASCII characters, one each
+_POOL = "array_to_string(list_transform(range(1, 128), lambda i: chr(i::INT)), '')"
+
+
+def sql_edited(a: str, b: str) -> str:
+    """Characters of a to change into b."""
+    known = f"array_to_string(list_distinct(string_split({a} || {b}, '')), '')"
+    return f"levenshtein(translate({a}, {known}, {_POOL}), translate({b}, {known}, {_POOL}))"
+
+
+def sql_words_edited(a: str, b: str) -> str:
+    """Words of list a to change into list b."""
+    coded = lambda ws: f"array_to_string(list_transform({ws}, lambda w: chr(list_position(list_distinct(list_concat({a}, {b})), w)::INT)), '')"
+    return f"levenshtein({coded(a)}, {coded(b)})"
+
+
+_loose = lambda x: f"strip_accents(replace({_norm(x)}, 'ς', 'σ'))"
+_dash = lambda x: f"coalesce(nullif({x}, ''), '-')"
+_RATES = f"""forms AS (SELECT lang, src, {_dash(_norm("coalesce(text, '')"))} AS r, {_dash(_norm("teacher"))} AS h, {_dash(_loose("coalesce(text, '')"))} AS lr, {_dash(_loose("teacher"))} AS lh FROM train_cv WHERE teacher IS NOT NULL),
+split AS (SELECT *, list_filter(string_split(r, ' '), lambda w: w <> '') AS rw, list_filter(string_split(h, ' '), lambda w: w <> '') AS hw FROM forms),
+rates AS (SELECT lang, src, count(*) AS n, sum({sql_words_edited("rw", "hw")}) / sum(len(rw)) AS wer, sum({sql_edited("r", "h")}) / sum(length(r)) AS cer, sum({sql_edited("lr", "lh")}) / sum(length(lr)) AS loose_cer FROM split GROUP BY lang, src)"""
 ORACLE = {
+    "error_rates_by_source": f"WITH {_RATES} SELECT lang, src, n, round(wer, 6) AS wer, round(cer, 6) AS cer, round(loose_cer, 6) AS loose_cer FROM rates",
+    "metric_pivot": f"WITH {_RATES} SELECT lang, " + ", ".join(f"coalesce(max(printf('%.4f', wer)) FILTER (WHERE src = '{s}'), 'n/a') AS {s}" for s in ("cv", "cv_other", "fleurs", "own_readings")) + " FROM rates GROUP BY lang",
+    "similarity_by_language": f"SELECT lang, mode, count(*) AS n, round(avg(CASE WHEN length(output) > 0 THEN 1 - least(1, {sql_edited('output', 'input')} / length(output)) ELSE 0 END), 6) AS similarity FROM pairs WHERE input IS NOT NULL AND output IS NOT NULL GROUP BY lang, mode",
+    "label_verification": f"""WITH f AS (SELECT clip_id, src, {_loose("coalesce(text, '')")} AS a, {_loose("teacher")} AS z FROM train_cv WHERE {sql_strip("teacher")} <> ''), c AS (SELECT clip_id, src, {sql_edited("a", "z")} / length(a) AS cer FROM f WHERE length(a) > 0)
+        SELECT clip_id, round_even(cer, 3) AS cer FROM c WHERE cer <= CASE WHEN src = 'cv_other' THEN 0.10 ELSE 0.15 END""",
+    "group_cap": f"""WITH RECURSIVE o AS (SELECT clip_id, clip_group AS g, greatest(coalesce(dur, 0), 0) AS l, row_number() OVER (PARTITION BY clip_group ORDER BY {draw_sql(1, "cap", "clip_id")}, clip_id) AS k FROM train_cv WHERE clip_group IS NOT NULL),
+        t AS (SELECT g, 0::BIGINT AS k, 0::DOUBLE AS s, NULL::BIGINT AS clip_id, false AS taken FROM (SELECT DISTINCT g FROM o)
+            UNION ALL SELECT o.g, o.k, CASE WHEN round(t.s + o.l, 6) <= 18 THEN t.s + o.l ELSE t.s END, o.clip_id, round(t.s + o.l, 6) <= 18 FROM t JOIN o ON o.g = t.g AND o.k = t.k + 1)
+        SELECT clip_id FROM t WHERE taken UNION ALL SELECT clip_id FROM train_cv WHERE clip_group IS NULL""",
     "clip_durations": "SELECT clip_id, coalesce((SELECT max(duration_ms) / 1000.0 FROM cv_durations d WHERE d.clip = string_split(coalesce(audio, ''), '/')[-1]), 0.0)::DOUBLE AS seconds FROM train_cv",
     "manifest_train": f"WITH {_FREE} SELECT clip_id FROM free WHERE src <> 'cv_other' AND coalesce(dur, 0) <= 29.5",
     "manifest_other": f"WITH {_FREE} SELECT clip_id FROM free WHERE src = 'cv_other' AND audio NOT IN (SELECT audio FROM free WHERE src <> 'cv_other' AND audio IS NOT NULL)",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from textmill.operators import corpus as C
 from textmill.plans.corpus import LINES, sql_lower
-from textmill.session import materialize, shared_dir, table
+from textmill.session import materialize, shared_dir, table, temporary
 from textmill.streaming import streams as R
 
 
@@ -22,7 +22,7 @@ def _stream(df: DataFrame, label: str) -> DataFrame:
 def _drained(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """All that a stream of what there is gives, as a table."""
     spark = stream.sparkSession
-    at = f"{shared_dir(spark)}/textmill-{uuid.uuid4().hex}"
+    at = temporary(spark, f"{shared_dir(spark)}/textmill-{uuid.uuid4().hex}")
     query = stream.writeStream.outputMode(mode).format("parquet").option("path", f"{at}/{label}").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{at}/{label}")

@@ -63,12 +63,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage, survives the loss of executors, and later
     reads take only the columns they need. The files go when the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textmill-{uuid.uuid4().hex}/{label}"
+    path = temporary(spark, f"{shared_dir(spark)}/textmill-{uuid.uuid4().hex}") + f"/{label}"
     df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def temporary(spark: SparkSession, path: str) -> str:
+    """path, a folder that goes when the driver ends."""
+    _written.append((spark, path))
+    return path
+
+
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
@@ -76,8 +81,8 @@ def _clean() -> None:
             jvm = spark.sparkContext._jvm
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # noqa: BLE001 - the session may be gone already
-            return
+        except Exception:  # noqa: BLE001, S112 - that session may be gone already; others may not
+            continue
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -94,8 +94,12 @@ def attribution(notes: DataFrame, results: DataFrame | None = None, most: int =
     cited = [f"* {text(r[4])}" for r in rows if r[4]]
     out += ["", *cited] if cited else []
     if results is not None:
-        sets = [r[0] for r in results.select("set").distinct().orderBy("set").limit(most).collect()]
-        wide = results.groupBy("model").pivot("set", sets).agg(F.first("wer")).orderBy("model").limit(most).collect()
+        sets = [r[0] for r in results.select("set").distinct().orderBy("set").limit(most + 1).collect()]
+        if len(sets) > most:
+            raise ValueError("too many sets for a page")
+        wide = results.groupBy("model").pivot("set", sets).agg(F.first("wer")).orderBy("model").limit(most + 1).collect()
+        if len(wide) > most:
+            raise ValueError("too many models for a page")
         out += ["", "| Model | " + " | ".join(sets) + " |", "| --- |" + " --- |" * len(sets)]
         out += [f"| {r[0]} | " + " | ".join("n/a" if v is None else f"{v:.1%}" for v in r[1:]) + " |" for r in wide]
         total = results.agg(F.sum("repetitions"), F.sum("n")).first()
