@@ -88,13 +88,33 @@ def test_all_maximal_matches_are_counted():
 
 def test_search_finds_all_windows():
     texts = [np.array([1, 2, 3, 1, 2], dtype=np.uint32), np.array([2, 3, 1, 2, 9], dtype=np.uint32)]
-    index = O.Index(texts, 3)
+    index = O.Index(texts)
     codes = index.codes(np.array([3, 1, 2, 7], dtype=np.uint32))
     lo, hi = index.search(codes, np.array([2]), 3)
-    assert sorted((int(index.text_of[p]), int(p - index.start[index.text_of[p]])) for p in index.places[lo[0] : hi[0]]) == [(0, 2), (1, 1)]
+    places = index.located(np.arange(lo[0], hi[0]))
+    assert sorted((int(t), int(p - index.start[t])) for p, t in zip(places, index.text_of(places))) == [(0, 2), (1, 1)]
     assert index.search(codes, np.array([3]), 2)[0].tolist() == index.search(codes, np.array([3]), 2)[1].tolist()
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_index_equals_brute_force(seed):
+    rng = random.Random(seed)
+    some = rng.choice([2, 5, 50])
+    texts = [np.array([rng.randrange(some) for _ in range(rng.randint(1, 30))], dtype=np.uint64) for _ in range(rng.randint(1, 20))]
+    texts += texts[:1]
+    index = O.Index(texts)
+    assert len(index.begins) <= index.size
+    for k in range(1, 6):
+        flat = np.array([rng.randrange(some + 1) for _ in range(40)], dtype=np.uint64)
+        ends = np.arange(k - 1, 40)
+        lo, hi = index.search(index.codes(flat), ends, k)
+        for e, a, z in zip(ends, lo, hi):
+            places = index.located(np.arange(a, z))
+            got = sorted((int(t), int(p - index.start[t])) for p, t in zip(places, index.text_of(places)))
+            want = flat[e - k + 1 : e + 1].tolist()
+            assert got == [(t, i) for t, x in enumerate(texts) for i in range(len(x) - k + 1) if x[i : i + k].tolist() == want]
+
+
 def frames(spark, train, held, pairs=()):
     clip = lambda xs, split: spark.createDataFrame([(i, t, lang, split, "cv", 1, "x") for i, t, lang in xs], CLIP)
     return clip(train, "train"), clip(held, "dev"), spark.createDataFrame([(*p, 1) for p in pairs], PAIR)
@@ -115,6 +135,21 @@ def test_found(spark, rows, monkeypatch):
     assert ("pairs", "val", "s", 1, 1, 6) in got and ("pairs", "test", "s", 1, 1, 5) in got
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_pairs_are_counted_as_listed(spark, seed):
+    rng = random.Random(seed)
+    make = lambda: rng.choice(["a b c d e f g h i j k", "A b c d e f g h i j K", "l m n o p q", "l m n o p q r", "s t u v w", "a b c d e f g h i j x"])
+    pairs = [(k, make(), make(), "en", rng.choice(["train", "train", "val", "test"]), rng.choice(["s", None])) for k in range(80)]
+    args = frames(spark, [], [], pairs)
+    listed = {}
+    info = {p[0]: p for p in pairs}
+    for r in O.found(*args).collect():
+        held = r.id_a if info[r.id_a][4] != "train" else r.id_b
+        listed.setdefault(info[held][4:6], []).append(held)
+    got = {(r.split, r.source): (r.n_records, r.n_pairs) for r in O.counts(*args).collect()}
+    assert got == {k: (len(set(v)), len(v)) for k, v in listed.items()}
+
+
 def test_long_and_hot(spark):
     rng = random.Random(3)
     long = [f"w{rng.randrange(5000)}" for _ in range(20_000)]

@@ -1,18 +1,21 @@
 """Problem 5: same or near-same records across splits.
 
-The evaluation texts are kept in shards, each with a full-text index: a suffix array over the shard's words, its
-Burrows-Wheeler transform, and for each word the sorted places where it stands in the transform, so that one backward
-step is one binary search. Training texts are streamed through the shards in blocks: all their windows are searched
-backwards at once, and of each text those d + 1 disjoint windows are located that have the fewest places, where d is the
-number of words in which a partner may differ; as one difference touches one window at most, each partner holds one of
-them unchanged, at a place shifted by d at most. So no partner is lost, and windows that stand nowhere cost nothing. The
-located places are merged to pairs of texts, and those are compared exactly by word edit distance in a band of width
+The evaluation texts are kept in shards of like lengths, each with a compressed full-text index: the Burrows-Wheeler
+transform of the shard's words as runs, the runs of each word in order with the number of places before them, and every
+eighth entry of the suffix array. One backward step is one binary search among runs; a place is found by steps back to
+the next entry kept. Training texts are streamed through the shards in blocks: all their windows are
+searched backwards at once, and of each text those d + 1 disjoint windows are located that have the fewest places, where
+d is the number of words in which a partner may differ; as one difference touches one window at most, each partner holds
+one of them unchanged, at a place shifted by d at most. So no partner is lost, and windows that stand nowhere cost nothing.
+The located places are merged to pairs of texts, and those are compared exactly by word edit distance in a band of width
 2 d + 1, all pairs of the same lengths at once. In pairs that match all maximal matches of LEAST_RUN words at least are
-searched, wherever they stand, merged and counted.
+searched, wherever they stand, merged and counted (counts() only).
 
-Texts go to shards by kind, language and length, as partners differ in length by a tenth at most; a kind with many words
-has more shards and blocks, so that no task holds more than SHARD_WORDS and BLOCK_WORDS. Copies within a block or shard
-are searched once. Words are compared by 64-bit hashes.
+A training text goes only to shards where it can have a partner: the hashes of d + 1 disjoint windows of it are joined with
+those of all windows of the evaluation texts. Texts without any such window, usually most, go nowhere. Copies are found once a
+task by a 128-bit hash, and everything up to the matches is about distinct texts; only then are the records of each joined.
+Shards and blocks hold a bounded number of words, and the records of texts with very many copies are salted.
+Words are compared by 64-bit hashes that kind and language are part of.
 
 Defined cases: null texts and texts of fewer than five words, and rows of null lang, are not compared; repeated rows are
 all reported; texts of any length are compared as a whole; extra columns are ignored; empty tables give no rows.
@@ -20,7 +23,9 @@ all reported; texts of any length are compared as a whole; extra columns are ign
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -29,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.letters import words
+from textmill.operators.skew import HOT_SHARE, attach
 from textmill.session import materialize
 
 #: Fewest words of a text that is compared.
@@ -38,7 +44,11 @@ DIFFER = 10
 #: Fewest words of a maximal match that is counted: as many as the shortest window that is searched.
 LEAST_RUN = 4
 #: Words of evaluation texts in one index, and of training texts streamed through it in one task.
-SHARD_WORDS, BLOCK_WORDS = 1_000_000, 2_000_000
+SHARD_WORDS, BLOCK_WORDS = 250_000, 500_000
+#: Of the suffix array each entry is kept whose place is a multiple of this.
+KEPT = 8
+#: Words of texts whose hashes a task remembers, to leave out copies; beyond it forgets them.
+_REMEMBERED = 500_000
 _CHUNK = 2_000_000
 
 _BOUNDS = [5, 10, 20, 30, 40, 50, 60, 70, 80, 90, 100]
@@ -60,48 +70,112 @@ def longest_partner(n: int) -> int:
     return m
 
 
+def window(n: int) -> tuple[int, int]:
+    """(k, d + 1): the words of a window of a text of n words, and how many disjoint ones are searched."""
+    pieces = longest_partner(n) // DIFFER + 1
+    return n // pieces, pieces
+
+
+@cache
+def windows_of_partners(m: int) -> tuple[int, ...]:
+    """The window lengths of all texts that can match one of m words."""
+    return tuple(sorted({window(n)[0] for n in range(max(LEAST_WORDS, m - m // DIFFER), longest_partner(m) + 1)}))
+
+
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def grams(codes: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of each window of k codes."""
+    out = np.full(len(codes) - k + 1, k, dtype=np.uint64)
+    for j in range(k):
+        out = (out ^ (out >> np.uint64(29))) * _MIX + codes[j : len(codes) - k + 1 + j]
+    return out ^ (out >> np.uint64(32))
+
+
+class _Codes(dict):
+    """Codes of the words of one kind and language, made as they are asked for."""
+
+    def __init__(self, part: str) -> None:
+        self.seed = xxhash.xxh64_intdigest(part)
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = xxhash.xxh64_intdigest(word, self.seed)
+        return code
+
+
 def _coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    known: dict[str, int] = {}
+    known: dict[str, _Codes] = {}
+    seen: set[tuple[bool, bytes]] = set()
     for b in batches:
-        if len(known) > 500_000:
-            known = {}
-        ns, codes, bands = [], [], []
-        for text, held in zip(b["t"], b["held"]):
+        if len(seen) + sum(map(len, known.values())) > _REMEMBERED:
+            known, seen = {}, set()
+        rows, texts = [], []
+        for kind, lang, held, id, text in zip(b["kind"], b["lang"], b["held"], b["id"], b["t"]):
             ws = words(text)
-            n = len(ws)
-            ns.append(n)
-            if n < LEAST_WORDS:
-                codes.append(b"")
-                bands.append([])
+            if len(ws) < LEAST_WORDS:
                 continue
-            ids = []
-            for w in ws:
-                k = known.get(w)
-                if k is None:
-                    k = known[w] = xxhash.xxh64_intdigest(w)
-                ids.append(k)
-            codes.append(np.array(ids, dtype=np.uint64).tobytes())
-            bands.append([band(n)] if held else list(range(band(n - n // DIFFER), band(longest_partner(n)) + 1)))
-        out = pd.DataFrame({"kind": b["kind"], "lang": b["lang"], "held": b["held"], "id": b["id"], "n": ns, "w": codes, "bands": bands})
-        yield out[out["n"] >= LEAST_WORDS]
+            part = kind + "\x1f" + lang
+            if part not in known:
+                known[part] = _Codes(part)
+            codes = np.array(list(map(known[part].__getitem__, ws)), dtype=np.uint64)
+            t = hashlib.md5(codes, usedforsecurity=False).digest()
+            first = (held, t) not in seen
+            seen.add((held, t))
+            rows.append((kind, held, id, t, len(ws), *_bands(len(ws)), first))
+            texts.append(codes)
+        if not rows:
+            continue
+        flat, data, found, at = np.concatenate(texts), [], [], 0
+        of: dict[int, np.ndarray] = {}  # by length the hashes of all windows of the batch, those over the ends of texts too
+        for (_, held, _, _, n, _, _, _, first), codes in zip(rows, texts):
+            data.append(codes.tobytes() if first else None)
+            mine = []
+            for k, m, step in (_held_windows(n) if held else _train_windows(n)) if first else ():
+                if k not in of:
+                    of[k] = grams(flat, k).view(np.int64)
+                mine.append(of[k][at : at + m : step])
+            found.append(np.concatenate(mine) if len(mine) > 1 else mine[0] if mine else [])
+            at += n
+        yield pd.DataFrame(rows, columns=["kind", "held", "id", "t", "n", "band", "lo", "hi", "first"]).drop(columns="first").assign(w=data, grams=found)
+
+
+@cache
+def _bands(n: int) -> tuple[int, int, int]:
+    """The band of texts of n words, and the lowest and highest one of partners."""
+    return band(n), band(n - n // DIFFER), band(longest_partner(n))
+
+
+@cache
+def _train_windows(n: int) -> list[tuple[int, int, int]]:
+    """(k, end, step): of a training text the windows whose hashes are looked up."""
+    k, pieces = window(n)
+    return [(k, k * (pieces - 1) + 1, k)]
+
+
+@cache
+def _held_windows(m: int) -> list[tuple[int, int, int]]:
+    """(k, end, step): of an evaluation text all windows that a partner may look up."""
+    return [(k, m - k + 1, 1) for k in windows_of_partners(m) if k <= m]
 
 
 def coded(rows: DataFrame) -> DataFrame:
-    """rows (kind, lang, held, id, t) as kind, lang, held, id, n, w (word codes), bands: stored."""
-    schema = "kind string, lang string, held boolean, id bigint, n int, w binary, bands array<int>"
+    """rows (kind, lang, held, id, t) as kind, held, id, t (hash of the words, kind and lang), n, band,
+    the bands lo to hi of possible partners, and for the first of a
+    task's copies w (word codes) and grams (hashes of windows): stored."""
+    schema = "kind string, held boolean, id bigint, t binary, n int, band int, lo int, hi int, w binary, grams array<bigint>"
     return materialize(rows.filter("t is not null and lang is not null and held is not null").mapInPandas(_coded, schema), "coded")
 
 
 class Index:
-    """A full-text index of texts, each an array of word codes."""
+    """A compressed full-text index of texts, each an array of word codes."""
 
-    def __init__(self, texts: list[np.ndarray], depth: int) -> None:
+    def __init__(self, texts: list[np.ndarray]) -> None:
         m = len(texts)
         sizes = np.array([len(t) for t in texts], dtype=np.int64)
-        flat = np.concatenate(texts)
-        self.words, codes = np.unique(flat, return_inverse=True)
+        self.words, codes = np.unique(np.concatenate(texts), return_inverse=True)
         ends = np.cumsum(sizes + 1) - 1
-        self.start = ends - sizes
+        self.start = (ends - sizes).astype(np.int32)
         total = int(ends[-1]) + 1
         s = np.empty(total, dtype=np.int64)
         is_end = np.zeros(total, dtype=bool)
@@ -119,13 +193,29 @@ class Index:
             new = np.empty(total, dtype=np.int64)
             new[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
             rank, k = new, 2 * k
-            if k >= depth + 1 or k >= total or rank.max() == total - 1:
+            if rank.max() == total - 1:
                 break
-        self.places = order.astype(np.int64)  # the suffix array, sorted by depth words at least
-        bwt = s[self.places - 1]
-        held = np.argsort(bwt, kind="stable")
-        self.occurs = bwt[held] * (total + 1) + held
-        self.text_of = np.repeat(np.arange(m), sizes + 1)
+        # the transform as runs: where each begins, its sign, and by sign and beginning how many of the sign stand before it
+        bwt = s[order - 1]
+        begins = np.concatenate([[0], np.flatnonzero(bwt[1:] != bwt[:-1]) + 1])
+        signs, lengths = bwt[begins], np.diff(np.append(begins, total))
+        by = np.argsort(signs, kind="stable")
+        self.begins, self.signs = begins.astype(np.int32), signs.astype(np.int32)
+        self.heads = signs[by] * (total + 1) + begins[by]
+        self.ends = (begins + lengths)[by].astype(np.int32)
+        self.before = np.concatenate([[0], np.cumsum(lengths[by])]).astype(np.int32)  # signs are sorted, so this is the row of the next suffix too
+        kept = order % KEPT == 0
+        self.marks = np.flatnonzero(kept).astype(np.int32)
+        self.kept = order[kept].astype(np.int32)
+        self.text_starts = self.start.astype(np.int64)
+
+    def _before(self, signs: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rows of suffixes that begin with a lower sign, or with signs and lie before row at after one step back."""
+        j = np.searchsorted(self.heads, signs * (self.size + 1) + at)  # runs of lower signs, or of this one that begin before at
+        whole = self.before[j].astype(np.int64)
+        last = np.maximum(j - 1, 0)
+        over = np.where((j > 0) & (self.heads[last] // (self.size + 1) == signs), np.maximum(self.ends[last] - at, 0), 0)
+        return whole - over
 
     def codes(self, flat: np.ndarray) -> np.ndarray:
         """Codes of words; -1 for words that stand in no text."""
@@ -133,15 +223,15 @@ class Index:
         return np.where(self.words[at] == flat, at + self.first, -1)
 
     def search(self, codes: np.ndarray, ends: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each window of k codes that ends at ends its interval of places, by backward steps; empty if none."""
+        """Of each window of k codes that ends at ends its interval of rows, by backward steps; empty if none."""
         lo, hi = np.zeros(len(ends), dtype=np.int64), np.zeros(len(ends), dtype=np.int64)
         live = np.arange(len(ends))
         a, z = np.zeros(len(ends), dtype=np.int64), np.full(len(ends), self.size, dtype=np.int64)
         for j in range(k):
             c = codes[ends[live] - j]
             ok = c >= 0
-            live, c, a, z = live[ok], c[ok] * (self.size + 1), a[ok], z[ok]
-            a, z = np.searchsorted(self.occurs, c + a), np.searchsorted(self.occurs, c + z)
+            live, c, a, z = live[ok], c[ok], a[ok], z[ok]
+            a, z = self._before(c, a), self._before(c, z)
             ok = a < z
             live, a, z = live[ok], a[ok], z[ok]
             if not len(live):
@@ -149,6 +239,23 @@ class Index:
         lo[live], hi[live] = a, z
         return lo, hi
 
+    def located(self, rows: np.ndarray) -> np.ndarray:
+        """The places of rows: steps back until an entry is kept."""
+        out, steps = np.empty(len(rows), dtype=np.int64), 0
+        live, at = np.arange(len(rows)), rows.astype(np.int64)
+        while len(live):
+            j = np.minimum(np.searchsorted(self.marks, at), len(self.marks) - 1)
+            hit = self.marks[j] == at
+            out[live[hit]] = self.kept[j[hit]] + steps
+            live, at, steps = live[~hit], at[~hit], steps + 1
+            if len(live):
+                sign = self.signs[np.searchsorted(self.begins, at, side="right") - 1].astype(np.int64)
+                at = self._before(sign, at)
+        return out
+
+    def text_of(self, places: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.text_starts, places, side="right") - 1
+
 
 def within(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Of rows of word codes a[i], b[i] whether their edit distance is at most most; in a band, rows leave once beyond it."""
@@ -226,13 +333,6 @@ def within_long(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     return False
 
 
-def _distinct(frame: pd.DataFrame) -> tuple[list[np.ndarray], list[list[int]]]:
-    ids: dict[bytes, list[int]] = {}
-    for w, i in zip(frame["w"], frame["id"]):
-        ids.setdefault(bytes(w), []).append(i)
-    return [np.frombuffer(w, dtype=np.uint64) for w in ids], list(ids.values())
-
-
 def _covered(a: np.ndarray, b: np.ndarray, k: int) -> int:
     """Words of b that lie in maximal matches with a of k words at least: the words of b's windows of k words that stand in
     a, each word once."""
@@ -255,29 +355,28 @@ def _covered(a: np.ndarray, b: np.ndarray, k: int) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
-def matches(train: list[np.ndarray], held: list[np.ndarray]) -> np.ndarray:
+def matches(train: list[np.ndarray], held: list[np.ndarray], covering: bool = True) -> np.ndarray:
     """(k, l, words): pairs of distinct texts train[k] and held[l] that match, with the words of held[l] that lie in
-    maximal matches of LEAST_RUN words at least."""
+    maximal matches of LEAST_RUN words at least (0 without covering)."""
     sizes = np.array([len(t) for t in train])
-    most = np.array([longest_partner(int(n)) // DIFFER for n in np.unique(sizes)])
-    most = dict(zip(np.unique(sizes).tolist(), most.tolist()))
-    index = Index(held, max(n // (d + 1) for n, d in most.items()))
+    how = {int(n): window(int(n)) for n in np.unique(sizes)}
+    index = Index(held)
     held_sizes = np.array([len(t) for t in held])
     codes = index.codes(np.concatenate(train))
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     pairs = []
-    for n, d in most.items():
-        k, rows = n // (d + 1), np.flatnonzero(sizes == n)
+    for n, (k, pieces) in how.items():
+        d, rows = pieces - 1, np.flatnonzero(sizes == n)
         for part in np.array_split(rows, max(1, len(rows) * n // _CHUNK + 1)):
             if not len(part):
                 continue
             ends = starts[part][:, None] + np.arange(k - 1, n)[None, :]
             lo, hi = index.search(codes, ends.ravel(), k)
             count = (hi - lo).reshape(ends.shape)
-            shifts = n - (d + 1) * k + 1
+            shifts = n - pieces * k + 1
             costs = np.stack([count[:, s : s + d * k + 1 : k].sum(axis=1) for s in range(shifts)], axis=1)
             shift = costs.argmin(axis=1)
-            cols = shift[:, None] + np.arange(d + 1)[None, :] * k
+            cols = shift[:, None] + np.arange(pieces)[None, :] * k
             flat = (np.arange(len(part))[:, None] * ends.shape[1] + cols).ravel()
             flat = flat[count.ravel()[flat] > 0]
             if not len(flat):
@@ -286,14 +385,13 @@ def matches(train: list[np.ndarray], held: list[np.ndarray]) -> np.ndarray:
                 many = (hi - lo)[some]
                 if not many.sum():
                     continue
-                where = np.repeat(lo[some] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-                place = index.places[where]
-                text = index.text_of[place]
+                place = index.located(np.repeat(lo[some] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum()))
+                text = index.text_of(place)
                 own, at = np.repeat(some // ends.shape[1], many), np.repeat(some % ends.shape[1], many)
                 size = held_sizes[text]
                 allowed = np.maximum(size, n) // DIFFER
                 ok = (np.abs(size - n) <= allowed) & (np.abs(place - index.start[text] - at) <= allowed)
-                pairs.append(np.stack([part[own[ok]], text[ok]], axis=1))
+                pairs.append(np.unique(np.stack([part[own[ok]], text[ok]], axis=1), axis=0))
     if not pairs:
         return np.zeros((0, 3), dtype=np.int64)
     merged = np.unique(np.concatenate(pairs), axis=0)
@@ -308,35 +406,57 @@ def matches(train: list[np.ndarray], held: list[np.ndarray]) -> np.ndarray:
             if len(part):
                 good[part] = within(np.stack([train[k] for k in merged[part, 0]]), np.stack([held[k] for k in merged[part, 1]]), int(max(x, y)) // DIFFER)
     merged = merged[good]
-    covered = [_covered(train[k], held[m], LEAST_RUN) for k, m in merged]
-    return np.column_stack([merged, np.array(covered, dtype=np.int64)])
-
-
-def _searched(key: tuple, train: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-    a, a_ids = _distinct(train)
-    b, b_ids = _distinct(held)
-    found = matches(a, b) if a and b else np.zeros((0, 3), dtype=np.int64)
-    ids = lambda of, k: pd.Series([of[i] for i in found[:, k]], dtype=object)
-    return pd.DataFrame({"kind": pd.Series([key[0]] * len(found), dtype=object), "train_ids": ids(a_ids, 0), "held_ids": ids(b_ids, 1), "n_words": found[:, 2]})
-
-
-def overlaps(rows: DataFrame) -> DataFrame:
-    """kind, train_id, held_id, n_words (in maximal matches of LEAST_RUN words at least): the matches of coded() rows, each pair once a kind."""
-    spread = rows.withColumn("band", F.explode("bands"))
-    keys = ["kind", "lang", "band"]
-    load = spread.groupBy(*keys).agg(F.sum(F.when(F.col("held"), F.col("n"))).alias("held_words"), F.sum(F.when(~F.col("held"), F.col("n"))).alias("train_words"))
-    load = load.filter("held_words > 0 and train_words > 0").select(
-        *keys, F.ceil(F.col("held_words") / SHARD_WORDS).cast("int").alias("shards"), F.ceil(F.col("train_words") / BLOCK_WORDS).cast("int").alias("blocks")
-    )
-    spread = spread.join(load, keys)
-    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    train = spread.filter(~F.col("held")).withColumn("block", part("blocks")).withColumn("shard", every("shards")).select(*keys, "shard", "block", "id", "w")
-    held = spread.filter("held").withColumn("shard", part("shards")).withColumn("block", every("blocks")).select(*keys, "shard", "block", "id", "w")
-    by = [*keys, "shard", "block"]
-    train, held = train.toDF(*train.columns), held.toDF(*held.columns)  # columns of their own for the two sides
-    found = train.groupBy(*by).cogroup(held.groupBy(*by)).applyInPandas(_searched, "kind string, train_ids array<bigint>, held_ids array<bigint>, n_words bigint")
-    return found.withColumn("train_id", F.explode("train_ids")).withColumn("held_id", F.explode("held_ids")).select("kind", "train_id", "held_id", "n_words")
+    inside = [_covered(train[k], held[m], LEAST_RUN) for k, m in merged] if covering else np.zeros(len(merged))
+    return np.column_stack([merged, np.array(inside, dtype=np.int64)])
+
+
+def _searched(covering: bool):  # noqa: ANN202
+    def search(train: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        a, b = train.drop_duplicates("t").reset_index(drop=True), held.drop_duplicates("t").reset_index(drop=True)
+        if not len(a) or not len(b):
+            found = np.zeros((0, 3), dtype=np.int64)
+        else:
+            codes = lambda f: [np.frombuffer(w, dtype=np.uint64) for w in f["w"]]
+            found = matches(codes(a), codes(b), covering)
+        return pd.DataFrame({"kind": a["kind"].to_numpy()[found[:, 0]], "train": a["t"].to_numpy()[found[:, 0]], "held": b["t"].to_numpy()[found[:, 1]], "n_words": found[:, 2]})
+
+    return search
+
+
+def _sharded(held: DataFrame) -> DataFrame:
+    """The first copies of the evaluation texts with their shard: texts of like lengths, at most about SHARD_WORDS words each. The
+    words by band, a few hundred rows at most, come to the driver."""
+    sizes, first, shards = {r[0]: int(r[1]) for r in held.groupBy("band").agg(F.sum("n")).collect()}, 0, []
+    for number in sorted(sizes):
+        many = -(-sizes[number] // SHARD_WORDS)
+        shards.append((number, first, many))
+        first += many
+    table = held.sparkSession.createDataFrame(shards, "band int, _first int, _many int")
+    placed = held.join(F.broadcast(table), "band")
+    return placed.withColumn("shard", F.col("_first") + F.pmod(F.xxhash64("t"), F.col("_many")).cast("int")).drop("_first", "_many")
+
+
+def overlaps(rows: DataFrame, covering: bool = False) -> DataFrame:
+    """kind, train, held (texts of coded() rows), n_words (0 without covering: of the held text the words in maximal matches of LEAST_RUN
+    words at least): the pairs of distinct texts that match, stored."""
+    firsts = rows.filter("w is not null")
+    held = _sharded(firsts.filter("held"))
+    stand = held.select(F.explode("grams").alias("g"), "shard", "band").distinct()
+    train = firsts.filter("not held")
+    seeds = train.select("kind", "id", "t", "n", "lo", "hi", F.explode("grams").alias("g"))
+    visits = seeds.join(stand, "g").filter("band between lo and hi").groupBy("kind", "id", "shard").agg(F.max("n").alias("n"))
+    visits = materialize(visits, "visits")
+    loads = visits.groupBy("shard").agg(F.ceil(F.sum("n") / BLOCK_WORDS).cast("int").alias("blocks"))  # a row a shard
+    groups = int(loads.agg(F.sum("blocks")).first()[0] or 0)
+    parts = min(max(groups, 1), 100_000)
+    loads = F.broadcast(loads)
+    block = F.pmod(F.xxhash64("t"), F.col("blocks")).cast("int")
+    a = train.select("kind", "id", "t", "w").join(visits.select("kind", "id", "shard"), ["kind", "id"]).join(loads, "shard").select("shard", block.alias("block"), "kind", "t", "w")
+    b = held.join(loads, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "t", "w")
+    by = ["shard", "block"]
+    a, b = (x.toDF(*x.columns).repartition(parts, *by) for x in (a, b))
+    found = a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(lambda x, y: _searched(covering)(x, y), "kind string, train binary, held binary, n_words bigint")
+    return materialize(found.groupBy("kind", "train", "held").agg(F.max("n_words").alias("n_words")), "matches")
 
 
 def records(clips_train: DataFrame, clips_eval: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -347,18 +467,56 @@ def records(clips_train: DataFrame, clips_eval: DataFrame, pairs: DataFrame) ->
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
+def _salts(members: DataFrame, total: int) -> DataFrame:
+    """t, salts of texts with more than HOT_SHARE of all records, of which there are 1 / HOT_SHARE at most."""
+    limit = max(1.0, total * HOT_SHARE)
+    return members.groupBy("t").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit).select("t", F.ceil(F.col("_n") / limit).cast("int").alias("salts"))
+
+
+def _with_ids(pairs: DataFrame, text: str, members: DataFrame, total: int, into: str) -> DataFrame:
+    """pairs with the column into: the ids of the records (members: t, id) of each pair's text; those of hot texts are
+    spread by a salt."""
+    hot = materialize(_salts(members, total), "hot")
+    salted = members.join(F.broadcast(hot), "t", "left").select(F.col("t").alias(text), F.col("id").alias(into), F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id"), F.col("salts"))).cast("int").alias("_s"))
+    each = pairs.join(F.broadcast(hot.withColumnRenamed("t", text)), text, "left").withColumn("_s", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1))).drop("salts")
+    return each.join(salted, [text, "_s"]).drop("_s")
+
+
 def found(clips_train: DataFrame, clips_eval: DataFrame, pairs: DataFrame) -> DataFrame:
     """tbl, id_a, id_b (id_a < id_b): one row for each pair of a training and an evaluation record that match."""
-    both = overlaps(coded(records(clips_train, clips_eval, pairs)))
-    once = both.select(F.split("kind", r"\.")[0].alias("tbl"), F.least("train_id", "held_id").alias("id_a"), F.greatest("train_id", "held_id").alias("id_b"))
+    rows = coded(records(clips_train, clips_eval, pairs))
+    both, total = overlaps(rows), rows.count()
+    train, held = (rows.filter(side).select("t", "id").join(both.select(F.col(c).alias("t")).distinct(), "t", "left_semi") for side, c in (("not held", "train"), ("held", "held")))
+    each = _with_ids(_with_ids(both.select("kind", "train", "held"), "held", held, total, "held_id"), "train", train, total, "train_id")
+    once = each.select(F.split("kind", r"\.")[0].alias("tbl"), F.least("train_id", "held_id").alias("id_a"), F.greatest("train_id", "held_id").alias("id_b"))
     return once.filter("id_a < id_b").distinct()
 
 
 def counts(clips_train: DataFrame, clips_eval: DataFrame, pairs: DataFrame) -> DataFrame:
     """tbl, split, source, n_records (evaluation records that overlap with training), n_pairs, n_words (the most words of
-    each record that lie in maximal matches, of LEAST_RUN words at least, with one training record, added up)."""
-    both = overlaps(coded(records(clips_train, clips_eval, pairs)))
-    once = both.select(F.split("kind", r"\.")[0].alias("tbl"), "train_id", "held_id", "n_words").groupBy("tbl", F.col("held_id").alias("id")).agg(F.count_distinct("train_id").alias("k"), F.max("n_words").alias("w"))
+    each record that lie in maximal matches, of LEAST_RUN words at least, with one training record, added up).
+
+    Pairs are counted from the numbers of copies, not listed: of a pair record the partners by input and those by output, less those
+    by both, which are counted by the combinations of texts that training records have.
+    """
+    rows = coded(records(clips_train, clips_eval, pairs))
+    both, total = overlaps(rows, covering=True), rows.count()
+    members = rows.select("kind", "held", "t", "id").distinct()
+    copies = members.filter("not held").groupBy(F.col("t").alias("train")).agg(F.count(F.lit(1)).alias("c"))
+    per_text = both.join(copies, "train").groupBy(F.col("held").alias("t")).agg(F.sum("c").alias("k"), F.max("n_words").alias("w"))
+    sizes = members.filter("held").groupBy("t").agg(F.count(F.lit(1)).alias("m"))
+    per_text = per_text.join(sizes, "t")
+    each = materialize(attach(members.filter("held").select("kind", "t", "id"), per_text, ["t"], "m", total), "held")
+    once = each.groupBy(F.split("kind", r"\.")[0].alias("tbl"), "id").agg(F.sum("k").alias("k"), F.max("w").alias("w"))
+    side = lambda df, kind, t: df.filter(F.col("kind") == kind).select("id", F.col("t").alias(t))
+    double = side(each, "pairs.input", "a").join(side(each, "pairs.output", "b"), "id")  # pair records with partners by both
+    texts = double.select("a", "b").distinct()
+    of = lambda kind, held, train: both.filter(F.col("kind") == kind).select(F.col("held").alias(held), F.col("train").alias(train))
+    trained = members.filter("not held").join(both.select(F.col("train").alias("t")).distinct(), "t", "left_semi")
+    combined = side(trained, "pairs.input", "x").join(side(trained, "pairs.output", "y"), "id").groupBy("x", "y").agg(F.count(F.lit(1)).alias("c"))
+    shared = texts.join(of("pairs.input", "a", "x"), "a").join(of("pairs.output", "b", "y"), "b").join(combined, ["x", "y"]).groupBy("a", "b").agg(F.sum("c").alias("c"))
+    less = double.join(shared, ["a", "b"]).groupBy("id").agg(F.sum("c").alias("c")).withColumn("tbl", F.lit("pairs"))
+    once = once.join(less, ["tbl", "id"], "left").withColumn("k", F.col("k") - F.coalesce("c", F.lit(0))).drop("c")
     info = clips_eval.select(F.lit("clips").alias("tbl"), F.col("clip_id").alias("id"), "split", F.col("src").alias("source"))
     info = info.unionByName(pairs.select(F.lit("pairs").alias("tbl"), F.col("pair_id").alias("id"), "split", "source"))
     return once.join(info, ["tbl", "id"]).groupBy("tbl", "split", "source").agg(F.count(F.lit(1)).alias("n_records"), F.sum("k").alias("n_pairs"), F.sum("w").alias("n_words"))
