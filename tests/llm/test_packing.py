@@ -24,7 +24,9 @@ def test_patterns_pack_everything(seed):
     assert blocks <= max(big, -(-tokens // 60)) + max(3, blocks // 20)
 
 
-def test_closest_is_best():
+@pytest.mark.parametrize("most", [0, 64_000_000])
+def test_closest_is_best(monkeypatch, most):
+    monkeypatch.setattr(P, "MOST_BYTES", most)
     rng = random.Random(1)
     for _ in range(100):
         left = {rng.randint(1, 15): rng.randint(1, 3) for _ in range(5)}
@@ -37,6 +39,15 @@ def test_closest_is_best():
         assert sum(s * k for s, k in used.items()) == max(t for t in sums if t <= room)
 
 
+@pytest.mark.parametrize("seed", range(10))
+def test_no_packing_is_below_the_bound(seed):
+    rng = random.Random(seed)
+    histogram = {rng.randint(1, 60): rng.randint(1, 30) for _ in range(20)}
+    blocks, bound = sum(t for _, t in P.patterns(dict(histogram), 60)), P.least_blocks(histogram, 60)
+    assert -(-sum(s * n for s, n in histogram.items()) // 60) <= bound <= blocks
+    assert P.least_blocks({31: 7}, 60) == 7 and P.least_blocks({20: 4, 41: 3}, 60) == 5 and P.least_blocks({}, 60) == 0
+
+
 def test_packed(spark, rows):
     docs = [(k, "word " * (k % 50 + 1), 1, "x", 1) for k in range(200)] + [(500, "one two three " * 3000, 1, "x", 1), (501, None, 1, "x", 1), (502, "", 1, "x", 1), (3, "word word", 1, "x", 1)]
     packs = spark.createDataFrame([("small", 32), ("large", 200), ("none", None), ("zero", 0), (None, 5)], PACK)
@@ -56,7 +67,7 @@ def test_packed(spark, rows):
             assert len(texts[doc]) == sum(max(1, -(-x // capacity)) for x in n)
         assert 501 not in texts and 502 not in texts
     got = {r.pack_name: r for r in P.fill(out).collect()}
-    assert set(got) == {"small", "large"} and got["large"].filled > 0.95 and got["small"].n_blocks >= got["small"].least_blocks
+    assert set(got) == {"small", "large"} and got["large"].filled > 0.95 and got["small"].n_blocks >= got["small"].least_blocks > 0
 
 
 def test_empty(spark, rows):
