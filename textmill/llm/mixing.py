@@ -3,8 +3,9 @@
 Capped water-filling: with a total size given, each source's part is its weight's share; sources that would need more than
 their highest number of repetitions are clamped there, and what they lack is spread over the others in proportion to
 their weights, until nothing exceeds its cap. A part of x times a source's size is its every text floor(x) times, and
-once more those texts that come first in a seeded order, up to the fraction's size; the running sizes are taken in
-buckets of that order, so that no task gets a whole source.
+once more those texts that come first in a seeded order, as far as they fit into the fraction's size, and of the others the
+one that brings the size nearest to it, if any does; the running sizes are taken in ranges of that order, so that no task gets
+a whole source.
 
 Defined cases: texts of null or unlisted sources are left out, and so are sources of null or zero weight; a null cap means
 once; null and empty texts have no size and are left out; listed sources without texts get nothing, and their weight is
@@ -20,10 +21,9 @@ from pyspark.sql.window import Window
 
 from textmill.functions.draw import draw
 from textmill.llm.tokens import TOKENIZER, counted
+from textmill.operators.skew import running
 from textmill.session import materialize
 
-#: Buckets of the seeded order.
-BUCKETS = 1024
 #: Most sources in a configuration; their weights are filled on the driver.
 MOST_SOURCES = 100_000
 
@@ -57,22 +57,24 @@ def mixed(docs: DataFrame, config: DataFrame, total: float | None = None, seed:
         raise ValueError("too many sources in the configuration")
     weights = {r[0]: max(0.0, r[1] or 0.0) for r in listed}
     caps = {r[0]: 1 if r[2] is None else r[2] for r in listed}
-    sized = materialize(counted(docs.filter("source is not null"), "doc_id", "text", ["source"], path).filter("n_tokens > 0"), "sizes")
-    here = F.col("source").isin(*[s for s, w in weights.items() if w > 0]) if any(weights.values()) else F.lit(False)
-    sized = sized.filter(here)
+    names = [(name,) for name, w in weights.items() if w > 0]
+    wanted = F.broadcast(spark.createDataFrame(names, "source string"))  # MOST_SOURCES rows at most
+    sized = materialize(counted(docs.join(wanted, "source"), "doc_id", "text", ["source"], path).filter("n_tokens > 0"), "sizes")
     sizes = {r[0]: int(r[1]) for r in sized.groupBy("source").agg(F.sum("n_tokens")).collect()}  # at most MOST_SOURCES rows
     given = water_fill(sizes, weights, caps, total)
     whole = sum(weights.values()) or 1.0
     rows = [(s, int(given[s] // n), given[s] - int(given[s] // n) * n, n, weights[s] / whole) for s, n in sizes.items()]
     schema = "source string, times int, rest double, available bigint, target double"
-    parts = spark.createDataFrame(pd.DataFrame(rows, columns=["source", "times", "rest", "available", "target"]), schema) if rows else spark.createDataFrame([], schema)
-    drawn = sized.withColumn("_u", draw(seed, "mix", F.col("source"), F.col("doc_id"))).withColumn("_b", F.floor(F.col("_u") * BUCKETS).cast("int"))
-    before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = drawn.groupBy("source", "_b").agg(F.sum("n_tokens").alias("_s")).withColumn("_o", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
-    run = Window.partitionBy("source", "_b").orderBy("_u", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    run_sum = drawn.withColumn("_r", F.coalesce(F.sum("n_tokens").over(run), F.lit(0)))
-    placed = run_sum.join(offsets, ["source", "_b"]).join(F.broadcast(parts), "source")
-    once = (F.col("_o") + F.col("_r") + F.col("n_tokens") / 2 <= F.col("rest")).cast("int")
+    parts = F.broadcast(spark.createDataFrame(rows, schema))
+    drawn = sized.withColumn("_u", draw(seed, "mix", F.col("source"), F.col("doc_id")))
+    placed = running(drawn, ["source"], ["_u", "doc_id"], "_before", F.col("n_tokens")).join(parts, "source")
+    placed = placed.withColumn("_in", F.col("_before") + F.col("n_tokens") <= F.col("rest")).withColumn("_row", F.monotonically_increasing_id())
+    placed = materialize(placed.drop("_before"), "placed")
+    gaps = F.broadcast(placed.groupBy("source").agg((F.max("rest") - F.sum(F.when(F.col("_in"), F.col("n_tokens")).otherwise(0))).alias("_gap")))
+    off = F.abs(F.col("n_tokens") - F.col("_gap"))
+    best = placed.filter("not _in").join(gaps, "source").filter(off < F.col("_gap")).groupBy("source").agg(F.min(F.struct(off.alias("off"), "_u", "_row")).alias("_b"))
+    placed = placed.join(F.broadcast(best.select("source", F.col("_b._row").alias("_last"))), "source", "left")
+    once = (F.col("_in") | F.coalesce(F.col("_row") == F.col("_last"), F.lit(False))).cast("int")
     return placed.withColumn("copies", F.col("times") + once).filter("copies > 0").select("doc_id", "source", "n_tokens", "copies", "target", "available")
 
 
