@@ -79,3 +79,19 @@ def test_all_clean_variants_are_twins(spark):
 def test_empty(spark, rows):
     assert E.learn(spark.createDataFrame([], DOC)) == list(E.ALWAYS)
     assert rows(E.restored(spark.createDataFrame([], DOC))) == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "Die schöne Größe der Bäume überrascht Jürgen; Äpfel, Öl und Übung sind süß. Fußgänger grüßen höflich.",
+        "À l’école, les élèves étudient où l’été naît; ça coûte très cher, Noël, cœur, forêt, île, garçon, maïs.",
+        "Dzień dobry, żółć i łódź są w Gdańsku; proszę, źle, święto, śnieg, często, ćma, koń, mąż, rękę.",
+        "Žluťoučký kůň úpěl ďábelské ódy; říkám, že příliš žízní, děkuji, čeština, škola, ještě, něco, účet.",
+        "Őrült, árvíztűrő tükörfúrógép, köszönöm szépen, hűség.",
+        "Ideeën, coördinatie, financiële, één.",
+        "schöne", "Bäume", "Größe", "São", "não", "coûte", "Gdańsku;", "kůň", "köszönöm",
+    ],
+)
+def test_other_languages_stand_even_with_all_ways_learned(text):
+    assert E.Undo(list(E.FAMILY)).text(text) == (False, text, True)

@@ -213,6 +213,25 @@ def _clean(token: str, plain: str | None) -> bool:
     return len(plain) != len(token) or not any(x.isalpha() and not y.isalpha() and before.isalpha() for before, x, y in zip(token, token[1:], plain[1:]))
 
 
+def _loses_letters(token: str, plain: str) -> bool:
+    """Whether a letter inside a word is undone to a sign that isn't an apostrophe. At the ends of words signs may stand."""
+    if len(plain) != len(token):
+        return False
+    inside = zip(token, token[1:], plain[1:], token[2:])
+    return any(x.isalpha() and not y.isalpha() and y != "’" and a.isalpha() and z.isalpha() for a, x, y, z in inside)
+
+
+def _foreign(token: str) -> bool:
+    """Whether a token may be a word of a language with other letters: all its strange characters are letters, of one script, and
+    its capitals stand where they may."""
+    strange = _STRANGE.findall(token)
+    if not strange or not all(c.isalpha() for c in strange):
+        return False
+    bare = "".join(c for c in token if c.isalpha())
+    latin = [c < "ɐ" or "Ḁ" <= c < "ἀ" for c in bare]
+    return (all(latin) or not any(latin)) and (bare[1:].islower() or bare.isupper() or not bare[1:])
+
+
 class Undo:
     """Finds and undoes garbled parts of texts, by learned ways."""
 
@@ -245,7 +264,7 @@ class Undo:
             mixed = _BOTH.search(token)
             for way in self.pages if pages is None else pages:
                 plain = undo(token, way)
-                if plain is None or plain == token:
+                if plain is None or plain == token or _loses_letters(token, plain):
                     continue
                 if not ORDINARY.fullmatch(plain) or SUSPECT.search(plain):
                     if not (mixed and _LATIN_WORD.fullmatch(plain)):
@@ -282,6 +301,10 @@ class Undo:
         found = any(kind in ("certain", "lost") for kind, _, _ in seen.values())
         if not found:
             return False, text, True
+        if not self._page_is_likely(spans, seen):
+            seen = {token: ("clean", token, None) if way and way[0] != "utf_8" else (kind, plain, way) for token, (kind, plain, way) in seen.items()}
+            if not any(kind in ("certain", "lost") for kind, _, _ in seen.values()):
+                return False, text, True
         by_page = {token for token, (_, _, way) in seen.items() if way and way[0] != "utf_8"}
         pages = self._by_use([m[0] for m in spans if m[0] in by_page])
         utf8 = sum(seen[m[0]][2] in self.utf8 for m in spans if m[0] in seen) > sum(m[0] in by_page for m in spans)
@@ -310,6 +333,19 @@ class Undo:
             at = m.end()
         return True, "".join([*out, text[at:]]), whole and not doubt
 
+    def _page_is_likely(self, spans: list[re.Match], seen: dict[str, tuple[str, str, Way | None]]) -> bool:
+        """Whether the tokens that a code page undoes are damage and not words of a language with other letters: more of the
+        tokens with strange letters must be undone than stay, and a single strange letter within a word of the whole text doesn't tell."""
+        undone = [m[0] for m in spans if m[0] in seen and seen[m[0]][0] == "certain" and seen[m[0]][2] and seen[m[0]][2][0] != "utf_8"]
+        if not undone:
+            return True
+        stay = sum(m[0] in seen and seen[m[0]][0] in ("clean", "weak") and _foreign(m[0]) for m in spans)
+        if sum(map(_foreign, undone)) < len(undone):  # signs within words, mixed scripts: no language has these
+            return True
+        hurt = any(kind == "lost" or kind == "certain" and way and way[0] == "utf_8" for kind, _, way in seen.values())
+        alone = len(undone) == 1 and len(_STRANGE.findall(undone[0])) == 1 and re.search(r"[^\W\d_]" + _STRANGE.pattern + r"[^\W\d_]", undone[0])
+        return len(undone) >= stay and (hurt or not alone)
+
     def _by_use(self, tokens: list[str]) -> list[Way]:
         """The code page ways, those first that give clean words for most of tokens."""
         counts: Counter = Counter()
