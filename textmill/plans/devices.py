@@ -104,8 +104,49 @@ taps AS (SELECT lang, word, unnest(list_distinct(string_split(word, ''))) AS key
 tapped AS (SELECT t.*, x + 0.35 * sqrt(-2 * ln(greatest({_u("tap1", "word", "key")}, 1e-10))) * cos(2 * 3.141592653589793 * {_u("tap2", "word", "key")}) AS px, y + 0.8 * 0.35 * sqrt(-2 * ln(greatest({_u("tap1", "word", "key")}, 1e-10))) * sin(2 * 3.141592653589793 * {_u("tap2", "word", "key")}) AS py FROM taps t JOIN keys USING (lang, key)),
 near AS (SELECT a.lang, word, a.key, k.key AS near, exp(-((k.x - px) ^ 2 + (k.y - py) ^ 2) / (2 * 0.35 ^ 2)) AS w, row_number() OVER (PARTITION BY a.lang, word, a.key ORDER BY (k.x - px) ^ 2 + (k.y - py) ^ 2, k.key) AS r FROM tapped a JOIN keys k ON a.lang = k.lang AND k.key <> ';'),
 kept AS (SELECT * FROM near WHERE r <= 4 QUALIFY w / sum(w) OVER (PARTITION BY lang, word, key) >= 0.05)"""
+_choose = lambda options, u: f"({options})[floor({u} * len({options}))::INT + 1]"
+_base = lambda x: f"translate({sql_lower(x)}, 'áéíóúüñàèìòùâêîôûäïöåάέήίόύώϊϋΐΰ', 'aeiouunaeiouaeiouaioaαεηιουωιυιυ')"
+
+
+def _sub(pairs: list[tuple[str, str]], n: int, first: bool) -> str:
+    """A substitution of one of the pairs that stand in k; null if none does."""
+    options = "list_filter([" + ", ".join(f"{{'a': '{a}', 'b': '{b}'}}" for a, b in pairs) + "], lambda o: contains(k, o.a))"
+    places = "list_filter(range(1, length(k) + 1), lambda i: substr(k, i, length(o1.a)) = o1.a)"
+    where = f"({places})[1]" if first else _choose(places, f"v{n}")
+    return f"(SELECT CASE WHEN o1 IS NULL THEN NULL ELSE left(k, w1 - 1) || o1.b || substr(k, w1 + length(o1.a)) END FROM (SELECT o1, {where} AS w1 FROM (SELECT {_choose(options, f'u{n}')} AS o1)))"
+
+
+def _typed(words: str, *key: str) -> str:
+    """The stages, taps and partial words of the rows of words, as tables up to typed (keys_typed)."""
+    d = lambda salt: draw_sql(1, salt, *key)
+    draws = ", ".join(f"{d(f'stage{n}')} AS r{n}, {d(f'stage{n}-u')} AS u{n}, {d(f'stage{n}-v')} AS v{n}" for n in (0, 1))
+    one_q = f"(SELECT CASE WHEN w1 IS NOT NULL THEN left(k, w1 - 1) || {_choose("['ç', 'c']", 'v0')} || substr(k, w1 + 1) END FROM (SELECT {_choose("list_filter(range(1, length(k) + 1), lambda i: substr(k, i, 1) = 'q')", 'u0')} AS w1))"
+    ends = " ".join(f"WHEN ends_with(k, '{e}') THEN left(k, length(k) - {len(e)}) || {_choose(str(o), 'u1')}" for e, o in (("ου", ["ος", "ο"]), ("ος", ["ου", "ο"]), ("ο", ["ος", "ου"]), ("ης", ["η"]), ("η", ["ης"])))
+    return f"""near AS (SELECT lang, key, list(near ORDER BY rank) AS n FROM (SELECT a.lang, a.key, b.key AS near, row_number() OVER (PARTITION BY a.lang, a.key ORDER BY round((a.x - b.x) ^ 2 + (a.y - b.y) ^ 2, 6), b.key) AS rank FROM keys a JOIN keys b ON a.lang = b.lang AND a.key <> b.key WHERE a.key <> ';' AND b.key <> ';') WHERE rank <= 4 GROUP BY lang, key),
+drawn AS (SELECT *, {_base("word")} AS k, {draws}, {d("tap")} AS r, {d("where")} AS wh, {d("which")} AS wi, {d("partial")} AS pa, {d("partial-at")} AS pt FROM {words}),
+first AS (SELECT * REPLACE (CASE WHEN lang = 'sq' AND r0 < 0.3 THEN CASE WHEN regexp_matches(k, '[ëç]') THEN translate(k, 'ëç', 'ec') ELSE coalesce({one_q}, k) END WHEN lang = 'sq' AND r0 < 0.4 THEN coalesce({one_q}, k)
+    WHEN lang = 'sq' AND r0 < 0.5 AND length(k) >= 3 AND regexp_matches(k, '[ëe]$') THEN left(k, length(k) - 1) WHEN lang = 'el' AND r0 < 0.3 AND ends_with(k, 'ς') THEN left(k, length(k) - 1) || 'σ' ELSE k END AS k) FROM drawn),
+second AS (SELECT * REPLACE (CASE WHEN lang = 'sq' AND r1 < 0.2 THEN coalesce({_sub([("sh", "s"), ("rr", "r"), ("dh", "d")], 1, False)}, k) WHEN lang = 'el' AND r1 < 0.25 THEN coalesce({_sub([("ει", "ι"), ("αι", "ε"), ("οι", "ι")], 1, True)}, k)
+    WHEN lang = 'el' AND r1 < 0.35 THEN CASE {ends} ELSE k END ELSE k END AS k) FROM first),
+spots AS (SELECT s.*, length(k) AS n, floor(wh * length(k))::INT AS i, floor(wh * (length(k) - 1))::INT AS s, substr(k, floor(wh * length(k))::INT + 1, 1) AS here FROM second s),
+added AS (SELECT s.*, coalesce(near.n, [here]) AS options FROM spots s LEFT JOIN near ON near.lang = s.lang AND near.key = s.here),
+hit AS (SELECT * REPLACE (CASE WHEN n > 3 AND r < 0.08 THEN left(k, s + 1) || substr(k, s + 3) WHEN n > 2 AND r < 0.14 THEN left(k, i + 1) || {_choose("options", "wi")} || substr(k, i + 2)
+    WHEN n > 3 AND r < 0.19 THEN left(k, s) || substr(k, s + 2, 1) || substr(k, s + 1, 1) || substr(k, s + 3) WHEN n > 2 AND r < 0.22 THEN left(k, i + 1) || here || substr(k, i + 2) ELSE k END AS k) FROM added),
+cut AS (SELECT * REPLACE (CASE WHEN length(k) > 2 AND pa < 0.35 THEN left(k, floor(pt * (length(k) - 1))::INT + 1) ELSE k END AS k) FROM hit),
+known AS (SELECT lang, list(key) AS known FROM keys WHERE key <> ';' GROUP BY lang),
+typed AS (SELECT c.*, CASE WHEN known IS NULL THEN k ELSE array_to_string(list_filter(string_split(k, ''), lambda x: list_contains(known, x)), '') END AS keys_typed FROM cut c LEFT JOIN known USING (lang))"""
+
+
+_DISTINCT = rf"words AS (SELECT DISTINCT lang, {sql_lower('word')} AS word FROM (SELECT lang, unnest(regexp_extract_all(output, '\p{{L}}{{2,24}}')) AS word FROM pairs WHERE output IS NOT NULL AND lang IS NOT NULL))"
 _SIZE = "CASE WHEN size >= 1048576000 THEN printf('%.1f GB', size / 1073741824.0) WHEN size >= 10485760 THEN printf('%d MB', size // 1048576) ELSE printf('%.1f MB', size / 1048576.0) END"
 ORACLE = {
+    "typing_noise": f"WITH {_KEYS}, {_DISTINCT}, {_typed('words', 'lang', 'word')} SELECT lang, word, keys_typed FROM typed",
+    "typing_conditions": f"""WITH {_KEYS}, {_DISTINCT}, tries AS (SELECT *, unnest(range(20)) AS try FROM words), {_typed("tries", "lang", "word", "try")},
+        judged AS (SELECT lang, word, try, keys_typed, length(keys_typed) >= length({_base("word")}) - 1 AND keys_typed <> {_base("word")} AS good FROM typed),
+        best AS (SELECT lang, word, coalesce(first(keys_typed ORDER BY try) FILTER (WHERE good), last(keys_typed ORDER BY try)) AS keys_typed FROM judged GROUP BY lang, word),
+        each AS (SELECT lang, word, unnest([{{'c': 'clean', 'k': {_base("word")}, 's': 0.15}}, {{'c': 'typos', 'k': keys_typed, 's': 0.35}}, {{'c': 'partial', 'k': left({_base("word")}, greatest(1, round_even(length({_base("word")}) * 0.6, 0))::INT), 's': 0.15}}], recursive := true) FROM best),
+        kept AS (SELECT e.lang, word, c, s, CASE WHEN known IS NULL THEN k ELSE array_to_string(list_filter(string_split(k, ''), lambda x: list_contains(known, x)), '') END AS k FROM each e LEFT JOIN known ON known.lang = e.lang)
+        SELECT lang, word, c AS condition, k AS keys, s::DOUBLE AS sigma FROM kept WHERE k <> ''""",
     "sizes_shown": f"SELECT DISTINCT size, {_SIZE} AS size_text FROM (SELECT unnest([n_chars, n_chars * 1000, n_chars * 1000000, 10485759, 10485760, 11220000, 52000000, 1048575999, 1048576000]) AS size FROM documents) WHERE size IS NOT NULL",
     "tap_mix": f"""WITH {_TAPPED} SELECT lang, word, key, near, round(w / sum(w) OVER (PARTITION BY lang, word, key), 6) AS weight FROM kept
         UNION ALL SELECT lang, word, key, key, 1.0 FROM taps WHERE lang NOT IN (SELECT lang FROM keys)""",

@@ -125,7 +125,31 @@ verdicts AS (SELECT *, CASE WHEN reply = '' THEN 'empty' WHEN NOT (ratio BETWEEN
 _CORRECTS = " OR ".join(f"contains({_bare('coalesce(input, chr(32))')}, '{_p.replace('ς', 'σ')}')" for _p in P.SELF_CORRECTIONS)
 _VALID = f"{sql_strip('input')} <> '' AND {sql_strip('output')} <> ''"
 _detect = r"replace(replace(detect, '\b(', '(?:^|[^\p{L}\p{N}_])('), ')\b', ')(?:$|[^\p{L}\p{N}_])')"
+_pick = lambda options, u: f"({options})[floor({u} * len({options}))::INT + 1]"
+_tokens = lambda x: rf"regexp_extract_all({sql_lower(f'nfc_normalize({x})')}, '[\p{{L}}\p{{N}}\p{{M}}_''’-]+')"
+_u = lambda salt, *more: draw_sql(1, salt, "pair_id", *more)
+_DICTATED = f"""base AS (SELECT pair_id, p.lang, nfc_normalize(output) AS text, {_tokens("output")} AS w, fillers, corrections FROM pairs p LEFT JOIN lang_rules ON p.lang = code WHERE mode = 'light' AND output IS NOT NULL),
+each AS (SELECT *, list_transform(w, lambda x, i: {{'x': x, 'k': i, 'r': {_u("word", "(i - 1)")}, 'f': {_pick("fillers", _u("which", "(i - 1)"))}}}) AS e FROM base),
+noisy AS (SELECT *, flatten(list_transform(e, lambda s: CASE WHEN s.r < 0.10 THEN [s.f, s.x] WHEN s.r < 0.14 THEN [s.x, s.x] WHEN s.r < 0.16 AND s.k + 1 < len(w) THEN [s.x, w[s.k + 1], s.f, s.x] ELSE [s.x] END)) AS o FROM each),
+placed AS (SELECT *, floor({_u("where")} * greatest(1, len(o) - 2))::INT + 1 AS j, list_filter(o, lambda x: length(x) > 3) AS long FROM noisy),
+wrong AS (SELECT *, CASE WHEN len(long) > 0 THEN {_pick("long", _u("wrong"))} ELSE o[j + 1] END AS x FROM placed),
+fixed AS (SELECT *, CASE WHEN len(o) > 5 AND {_u("fix")} < 0.35 AND x <> o[j + 1] THEN list_concat(o[1:j], [x, {_pick("corrections", _u("phrase"))}], o[j + 1:]) ELSE o END AS z FROM wrong)"""
+_v = lambda salt, *more: _u("later-" + salt, *more)
+_NUMBERED = "CASE lang " + " ".join(f"WHEN '{k}' THEN [" + ", ".join(f"'{x}'" for x in v) + "]" for k, v in NUMBERS.items()) + " ELSE CAST([] AS VARCHAR[]) END"
+_said = lambda part, salt: f"flatten(list_transform({part}, lambda x, i: CASE WHEN {_v(salt, '(i - 1)')} < 0.08 THEN [{_pick('f', _v(salt + '-which', '(i - 1)'))}, x] ELSE [x] END))"
+_CORRECTED = rf"""base AS (SELECT pair_id, lang, nfc_normalize(output) AS text, {_tokens("output")} AS w FROM pairs WHERE mode = 'light' AND output IS NOT NULL AND lang IS NOT NULL),
+numbered AS (SELECT *, {_NUMBERED} AS numbers FROM base WHERE len(w) >= 5),
+marked AS (SELECT *, CASE WHEN {_v("number")} < 0.5 THEN list_filter(range(1, len(w) + 1), lambda i: list_contains(numbers, w[i])) ELSE CAST([] AS BIGINT[]) END AS nums, list_filter(range(2, len(w) + 1), lambda i: length(w[i]) >= 4) AS places FROM numbered),
+able AS (SELECT a.*, len(nums) > 0 AS isnumber, CASE WHEN len(nums) > 0 THEN nums ELSE places END AS p, coalesce(light_fillers, fillers[1:3]) AS f, corrections AS c FROM marked a JOIN lang_rules ON code = a.lang WHERE len(nums) > 0 OR len(places) > 0),
+drawn AS (SELECT *, {_pick("p", _v("place"))} AS i FROM able QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {_u("reservoir")}, pair_id) <= 200),
+vocab AS (SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY word) - 1 AS r, count(*) OVER (PARTITION BY lang) AS size FROM (SELECT DISTINCT lang, unnest(regexp_extract_all({sql_lower("text")}, '\p{{L}}{{4,}}')) AS word FROM base)),
+ranked AS (SELECT d.*, floor({_v("vocab")} * s.size)::BIGINT AS r, s.size FROM drawn d JOIN (SELECT DISTINCT lang, size FROM vocab) s USING (lang)),
+words AS (SELECT d.*, CASE WHEN isnumber THEN {_pick("list_filter(numbers, lambda n: n <> w[i])", _v("other"))} WHEN a.word <> w[i] THEN a.word ELSE b.word END AS wrong FROM ranked d JOIN vocab a ON a.lang = d.lang AND a.r = d.r JOIN vocab b ON b.lang = d.lang AND b.r = (d.r + 1) % d.size),
+spoken AS (SELECT *, list_concat(w[1:i - 1], [wrong], w[i + 1:]) AS s, CASE WHEN NOT isnumber AND {_v("article")} < 0.5 THEN w[i - 1:i] ELSE w[i:i] END AS fix, (i + floor({_v("cut")} * (len(w) - i + 1)))::INT AS cut FROM words WHERE wrong <> w[i])"""
 ORACLE = {
+    "messy_dictation": f"""WITH {_DICTATED} SELECT pair_id, lang, text, CASE WHEN {_u("clean")} < 0.15 OR fillers IS NULL OR len(w) = 0 THEN text
+        ELSE array_to_string(CASE WHEN {_u("lead")} < 0.30 THEN list_prepend({_pick("fillers", _u("first"))}, z) ELSE z END, ' ') END AS input FROM fixed""",
+    "trailing_corrections": f"WITH {_CORRECTED} SELECT pair_id, lang, text, array_to_string(list_concat({_said('s[1:cut]', 'head')}, [{_pick('c', _v('phrase'))}], fix, {_said('s[cut + 1:]', 'tail')}), ' ') AS input FROM spoken",
     "message_filter": f"WITH {_MESSAGES} SELECT source, doc_id, line_no FROM messages",
     "message_tidy": rf"""WITH {_MESSAGES}, head AS (SELECT * REPLACE (nfc_normalize(text) AS text), regexp_extract(nfc_normalize(text), '^[^\p{{L}}]*') AS h FROM messages),
         up AS (SELECT * REPLACE (h || upper(text[length(h) + 1:length(h) + 1]) || text[length(h) + 2:] AS text) FROM head),
