@@ -63,9 +63,20 @@ def test_letter_case_and_signs(spark, rows):
     assert rows(L.records(found)) == [("train_cv", 2)]
     assert [r["text"] for r in L.consistent(found).collect()] == ["το παιδί και ΚΑΤΟ"]
     signs = texts("(саfe!) and so on", "cafe")
-    values = L.canonical_values(signs, signs.mapInPandas(L._odd, "tbl string, rec_id bigint, value string, form string, certain boolean"))
+    values = L.canonical_values(signs, signs.mapInPandas(L._odd(L.confusables(spark)), "tbl string, rec_id bigint, value string, form string, certain boolean"))
     assert rows(values, "value", "canonical") == [("(саfe!)", "(cafe!)")]
 
 
 def test_empty(spark, rows):
     assert rows(L.records(L.texts(spark.createDataFrame([], CLIP), spark.createDataFrame([], PAIR)))) == []
+
+
+def test_look_alikes_of_all_scripts(spark):
+    more = L.confusables(spark)
+    found = {t: [(v, f) for v, f, certain in L.odd_values(t, more) if certain] for t in ("Привeт, как дела", "Ꭺpple pie", "ⲟne more", "коd", "שלום hello 日本語", "abcдef", "ქართული and ʻOkina", "ﷺ ok")}
+    assert found.pop("Привeт, как дела") == [("Привeт,", "Привет,")] and found.pop("Ꭺpple pie") == [("Ꭺpple", "Apple")] and found.pop("ⲟne more") == [("ⲟne", "one")] and found.pop("коd") == [("коd", "коԁ")]
+    assert not any(found.values())
+    assert len(more.tables["C"]) > 200
+    clips = spark.createDataFrame([(1, "Ꭺpple pie"), (2, "Привeт всем")], "clip_id int, text string")
+    pairs = spark.createDataFrame([(1, "שלום hello"), (2, None)], "pair_id int, input string")
+    assert sorted(map(tuple, L.consistent(L.texts(clips, pairs)).collect())) == [("train_cv", 1, "Apple pie"), ("train_cv", 2, "Привет всем")]

@@ -16,13 +16,13 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textmill.llm.scripts import INVISIBLE, MIXED, ODD, SPACES, _TOKEN, composed, of_script, script, scripts_of, unmixed
+from textmill.llm.scripts import INVISIBLE, MIXED, ODD, SPACES, _TOKEN, Confusables, composed, of_script, script, scripts_of, unmixed
 from textmill.operators.skew import attach
 from textmill.session import materialize
 
@@ -32,19 +32,30 @@ _FOREIGN = {"G": re.compile("[A-Za-zЀ-ԯ]"), "L": re.compile("[Ͱ-Ͽ]"), "C": r
 LEAST_SEEN = 2
 
 
-def odd_values(text: str) -> Iterator[tuple[str, str, bool]]:
+def confusables(spark: SparkSession) -> Confusables:
+    """The look-alike letters of all scripts, from the skeletons of the Unicode library that the engine brings along for
+    collations; without ideographs and syllables, which look like no letter."""
+    letters = [c for c in map(chr, (*range(0x80, 0x3400), *range(0xA000, 0xAC00), *range(0xFB00, 0xFE00), *range(0x10000, 0x1F000))) if unicodedata.category(c)[0] == "L"]
+    letters += [c for c in map(chr, range(0x80)) if c.isalpha()]
+    checker = spark.sparkContext._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
+    skeletons = checker.getSkeleton("\n".join(letters)).split("\n")
+    return Confusables(dict(zip(letters, skeletons)) if len(skeletons) == len(letters) else {})
+
+
+def odd_values(text: str, more: Confusables | None = None) -> Iterator[tuple[str, str, bool]]:
     """(value, form that it looks like, whether it is odd in itself) of each odd value; the values are whole tokens,
     single spaces, or words within a token."""
     main = None
-    if not text.isascii() and (ODD.search(text) or MIXED.search(text)):
+    strange = more.strange if more else lambda t: False
+    if not text.isascii() and (ODD.search(text) or MIXED.search(text) or strange(text)):
         for c in SPACES.findall(text):
             yield c, " ", True
         main = script(unicodedata.normalize("NFKC", text))
         for token in _TOKEN.findall(text):
-            if token.isascii() or not (ODD.search(token) or MIXED.search(token)):
+            if token.isascii() or not (ODD.search(token) or MIXED.search(token) or strange(token)):
                 continue
             plain = composed(token)
-            fixed = _RUN.sub(lambda m: unmixed(m[0], main), plain)
+            fixed = _RUN.sub(lambda m: unmixed(m[0], main, more), plain)
             if fixed != token or any(unicodedata.category(c) == "Mn" for c in INVISIBLE.sub("", token)):
                 yield token, fixed, True
     if not text.isascii():
@@ -60,10 +71,13 @@ def odd_values(text: str) -> Iterator[tuple[str, str, bool]]:
                     yield run, form, False
 
 
-def _odd(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        rows = [(tbl, i, *v) for tbl, i, t in zip(b["tbl"], b["rec_id"], b["t"]) for v in set(odd_values(t))]
-        yield pd.DataFrame(rows, columns=["tbl", "rec_id", "value", "form", "certain"])
+def _odd(more: Confusables) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def odd(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(tbl, i, *v) for tbl, i, t in zip(b["tbl"], b["rec_id"], b["t"]) for v in set(odd_values(t, more))]
+            yield pd.DataFrame(rows, columns=["tbl", "rec_id", "value", "form", "certain"])
+
+    return odd
 
 
 def texts(clips: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -105,7 +119,7 @@ def canonical_values(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def affected(rows: DataFrame) -> DataFrame:
     """tbl, rec_id, value, canonical of each odd value of each record of texts()."""
-    found = materialize(rows.mapInPandas(_odd, "tbl string, rec_id bigint, value string, form string, certain boolean"), "odd")
+    found = materialize(rows.mapInPandas(_odd(confusables(rows.sparkSession)), "tbl string, rec_id bigint, value string, form string, certain boolean"), "odd")
     return attach(found.select("tbl", "rec_id", "value", "form", "certain"), canonical_values(rows, found), ["value", "form", "certain"], "n", found.count()).select("tbl", "rec_id", "value", "canonical")
 
 

@@ -94,10 +94,46 @@ def scripts_of(word: str) -> str:
     return ("L" if _LATIN.search(word) else "") + ("G" if _GREEK.search(word) else "") + ("C" if _CYRILLIC.search(word) else "")
 
 
-def unmixed(word: str, main: str) -> str:
+class Confusables:
+    """The letters of any script that look like one of another, by the skeletons that a Unicode library gives.
+
+    tables: by script (L, G, C) the letters that aren't of it and look like one of its letters, with that letter (of the same case, the
+    first by code point).
+    """
+
+    def __init__(self, skeletons: dict[str, str]) -> None:
+        scripts = {"L": _LATIN, "G": _GREEK, "C": _CYRILLIC}
+        of = {c: next((k for k, s in scripts.items() if s.match(c)), "") for c in skeletons}
+        self.tables: dict[str, dict[int, str]] = {k: {} for k in scripts}
+        for k, table in self.tables.items():
+            own: dict[tuple[str, bool], str] = {}
+            for c in sorted(skeletons):
+                if of[c] == k and unicodedata.normalize("NFKC", c) == c:
+                    own.setdefault((skeletons[c], c.isupper()), c)
+            for c, s in skeletons.items():
+                if of[c] != k and (x := own.get((s, c.isupper())) or own.get((s, False))):
+                    table[ord(c)] = x
+            table.update({ord(c): x for c, x in _INTO.get(k, {}).items()})
+        self.letters = frozenset(c for c in skeletons if not of[c] and any(ord(c) in t for t in self.tables.values()))
+
+    def strange(self, text: str) -> bool:
+        """Whether text has look-alikes that are of none of the three scripts."""
+        return not self.letters.isdisjoint(text)
+
+    def brought(self, word: str, into: str) -> str | None:
+        """word with the look-alikes of all other scripts brought into script into; None if a letter has none there."""
+        mapped, own = word.translate(self.tables[into]), {"L": _LATIN, "G": _GREEK, "C": _CYRILLIC}[into]
+        return mapped if mapped != word and all(own.match(c) for c in mapped if c.isalpha()) else None
+
+
+def unmixed(word: str, main: str, more: Confusables | None = None) -> str:
     """A composed word of mixed scripts in the one script that all its letters can be of (main, if both are possible), or of
-    one script with stand-ins of none, if all its letters can be of that one."""
+    one script with stand-ins of none, if all its letters can be of that one. more: look-alikes beyond the common ones."""
     there = scripts_of(word)
+    if more and there and (len(there) > 1 and main == "C" or more.strange(word)):
+        for into in dict.fromkeys([main] * (main in there) + list(there)):
+            if (mapped := more.brought(word, into)) is not None:
+                return mapped
     if len(there) < 2:
         if there not in _STAND_INS or not _STAND_INS[there].search(word):
             return word
@@ -107,6 +143,9 @@ def unmixed(word: str, main: str) -> str:
     for into in (first, "G" if first == "L" else "L"):
         if (mapped := of_script(word, into)) is not None:
             return mapped
+    for into in (first, "G" if first == "L" else "L") if more else ():
+        if into in there and (mapped := more.brought(word, into)) is not None:
+            return mapped
     return word
 
 
