@@ -70,8 +70,8 @@ def components(rows: DataFrame) -> DataFrame:
 
 
 def linked(rows: DataFrame, id: str, keys: list[str]) -> DataFrame:
-    """rows with key: the same for all records that are linked, directly or over others, by equal values of one of the
-    columns keys; null for records that have none of them. id is unique; a column key of rows is replaced.
+    """rows with key and first_id (the smallest id): the same for all records that are linked, directly or over others, by equal
+    values of one of the columns keys; null for records that have none of them. id is unique; columns of these names are replaced.
 
     Each round takes the smallest label over each value and each record, and then the label of the label, so that the rounds
     grow with the logarithm of the longest chain. Each round is stored; hot values are attached by broadcast.
@@ -93,7 +93,7 @@ def linked(rows: DataFrame, id: str, keys: list[str]) -> DataFrame:
         labels = new
         if done:
             break
-    return rows.drop("key").join(labels.select(F.col("rec").alias(id), F.sha2(F.col("label").cast("string"), 256).alias("key")), id, "left")
+    return rows.drop("key", "first_id").join(labels.select(F.col("rec").alias(id), F.sha2(F.col("label").cast("string"), 256).alias("key"), F.col("label").alias("first_id")), id, "left")
 
 
 def _kk(weights: list[tuple[int, int]], bins: int) -> tuple[list[np.ndarray], np.ndarray]:
