@@ -117,3 +117,18 @@ def test_cap_takes_all_clips_of_no_length_at_once(spark):
     rows = [(k, "g", 10.0 if k < 5 else None) for k in range(3000)]
     out = M.capped(spark.createDataFrame(rows, "clip_id int, clip_group string, dur double"), 25 / 3600)
     assert out.count() == 2995 + 2
+
+
+@pytest.mark.parametrize("folded", [2, 500])
+def test_cap_equals_brute_force(spark, monkeypatch, folded):
+    monkeypatch.setattr(M, "FOLDED", folded)
+    rng = random.Random(folded)
+    rows = [(k, rng.choice("ab"), rng.choice([0.1, 0.4, 1.0, 3.0, 7.5, 20.0])) for k in range(300)]
+    df = spark.createDataFrame(rows, "clip_id int, clip_group string, dur double")
+    order = {r.clip_id: r.d for r in df.select("clip_id", draw(1, "cap", F.col("clip_id")).alias("d")).collect()}
+    want, room = set(), {"a": 60.0, "b": 60.0}
+    for k, g, s in sorted(rows, key=lambda r: (order[r[0]], r[0])):
+        if round(s, 6) <= round(room[g], 6):
+            want.add(k)
+            room[g] -= s
+    assert {r.clip_id for r in M.capped(df, 60 / 3600).collect()} == want

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from textmill.functions import score as S
 from textmill.functions import text as T
 from textmill.functions.draw import draw
-from textmill.operators.skew import running
+from textmill.operators.skew import first_of_each, running
 from textmill.session import materialize
 
 #: Longest clips, in seconds.
 MOST_TRAIN, MOST_EVAL = 29.5, 30.0
+#: Clips of a group that are gone through at once.
+FOLDED = 500
 
 
 def with_durations(clips: DataFrame, durations: DataFrame) -> DataFrame:
@@ -55,10 +57,9 @@ def capped(clips: DataFrame, hours: float, by: str = "clip_group", id: str = "cl
     """clips in a seeded order, each taken if its group then has at most hours; a shorter one later on may still fit.
     Clips without a group are all taken.
 
-    The order's longest prefix that fits is taken by running sums over buckets. What is left of the cap is then filled
-    clip by clip: each round takes of every group the first later clip that fits, found by an aggregate, so that no
-    task holds a group. The rounds are as many as clips of some length still fit into less than one clip's length; those of
-    no length fit always.
+    The order's longest prefix that fits is taken by running sums over ranges. What is left of the cap, less than a clip's length,
+    is then filled by the next FOLDED clips of every group that fit by themselves, gone through in order; usually there are fewer, and
+    one round does. Clips of no length fit always. No task holds a group.
     """
     length = F.coalesce(F.col(seconds), F.lit(0.0))
     free = clips.filter(F.col(by).isNull())
@@ -69,22 +70,29 @@ def capped(clips: DataFrame, hours: float, by: str = "clip_group", id: str = "cl
     taken = placed.filter(F.col("_to") <= cap)
     rest = placed.filter((F.col("_to") > cap) & (F.col("_l") > 0))
     none = placed.filter((F.col("_to") > cap) & (F.col("_l") <= 0))
-    first = rest.groupBy(by).agg(F.min(F.struct("_d", id)).alias("_from"))
-    state = taken.groupBy(by).agg(F.sum("_l").alias("_sum")).join(first, by, "right").withColumn("_room", F.lit(cap) - F.coalesce("_sum", F.lit(0.0))).select(by, "_from", "_room")
-    state = materialize(state, "room")
+    state = taken.groupBy(by).agg(F.sum("_l").alias("_sum")).join(rest.select(by).distinct(), by, "right")
+    state = materialize(state.select(by, (F.lit(cap) - F.coalesce("_sum", F.lit(0.0))).alias("_room"), F.struct(F.lit(-1.0).alias("_d"), F.lit(None).cast(rest.schema[id].dataType).alias(id)).alias("_from")), "room")
     more = None
     while True:
-        # what is left of a cap is shorter than one clip: few clips fit, and groups drop out as soon as none does
-        fits = rest.join(state, by).filter((F.round("_l", 6) <= F.round("_room", 6)) & (F.struct("_d", id) >= F.col("_from")))
-        hit = materialize(fits.groupBy(by).agg(F.min(F.struct("_d", id, "_l")).alias("_h"), F.first("_room").alias("_room")), "fit")
-        if hit.isEmpty():
+        # of every group the next clips that fit by themselves, a bounded number, are gone through in order; those between them fit no more
+        fits = rest.join(state, by).filter((F.round("_l", 6) <= F.round("_room", 6)) & (F.struct("_d", id) > F.col("_from")))
+        block = first_of_each(fits.select(by, "_d", id, "_l", "_room"), FOLDED, [by], ["_d", id])
+        block = block.groupBy(by).agg(F.first("_room").alias("_room"), F.sort_array(F.collect_list(F.struct("_d", id, "_l"))).alias("_c"))
+        start = F.struct(F.col("_room").alias("room"), F.array().cast(f"array<{rest.schema[id].dataType.simpleString()}>").alias("ids"))
+
+        def take(acc: Column, c: Column) -> Column:
+            ok = F.round(c["_l"], 6) <= F.round(acc["room"], 6)
+            return F.struct(F.when(ok, acc["room"] - c["_l"]).otherwise(acc["room"]).alias("room"), F.when(ok, F.array_append(acc["ids"], c[id])).otherwise(acc["ids"]).alias("ids"))
+
+        block = materialize(block.select(by, "_c", F.aggregate("_c", start, take).alias("_a")), "fit")
+        new = block.select(by, F.explode("_a.ids").alias(id))
+        more = new if more is None else more.unionByName(new)
+        last = F.element_at("_c", -1)
+        state = block.filter(F.size("_c") == FOLDED).select(by, F.col("_a.room").alias("_room"), F.struct(last["_d"].alias("_d"), last[id].alias(id)).alias("_from"))
+        if state.isEmpty():
             break
-        more = hit.select(by, F.col("_h")[id].alias(id)) if more is None else more.unionByName(hit.select(by, F.col("_h")[id].alias(id)))
-        after = F.struct(F.col("_h._d").alias("_d"), (F.col("_h")[id] + 1).alias(id))
-        state = hit.select(by, after.alias("_from"), (F.col("_room") - F.col("_h._l")).alias("_room"))
     out = taken.unionByName(none).select(*clips.columns)
-    if more is not None:
-        out = out.unionByName(rest.join(more, [by, id], "left_semi").select(*clips.columns))
+    out = out.unionByName(rest.join(more, [by, id], "left_semi").select(*clips.columns))
     return free.unionByName(out)
 
 

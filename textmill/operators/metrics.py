@@ -35,11 +35,11 @@ def top_k(counts: DataFrame, key: tuple[str, ...], k: int = 3) -> DataFrame:
     return top.groupBy(*key).agg(F.transform(F.sort_array(F.collect_list(F.struct("_r", "word"))), lambda x: x["word"]).alias("best"))
 
 
-def accuracies(rows: DataFrame, gold: Column, guesses: Column, kind: str) -> DataFrame:
-    """kind (ALL: all rows), n, top1, top3: shares of rows whose gold is the first, or one of the guesses. Rows of a blank
-    kind count in ALL only."""
-    hit = rows.select(F.col(kind).alias("kind"), F.coalesce(F.try_element_at(guesses, F.lit(1)) == gold, F.lit(False)).cast("int").alias("_1"), F.coalesce(F.array_contains(guesses, gold), F.lit(False)).cast("int").alias("_3"))
-    out = hit.groupingSets([["kind"], []], "kind").agg(F.grouping("kind").alias("_g"), F.count(F.lit(1)).alias("n"), F.avg("_1").alias("top1"), F.avg("_3").alias("top3"))
+def accuracies(rows: DataFrame, gold: Column, guesses: Column, kind: str, times: Column | None = None) -> DataFrame:
+    """kind (ALL: all rows), n, top1, top3: shares of rows whose gold is the first, or one of the guesses, each row counted
+    times. Rows of a blank kind count in ALL only."""
+    hit = rows.select(F.col(kind).alias("kind"), (F.lit(1) if times is None else times).alias("_n"), F.coalesce(F.try_element_at(guesses, F.lit(1)) == gold, F.lit(False)).cast("int").alias("_1"), F.coalesce(F.array_contains(guesses, gold), F.lit(False)).cast("int").alias("_3"))
+    out = hit.groupingSets([["kind"], []], "kind").agg(F.grouping("kind").alias("_g"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), (F.sum(F.col("_1") * F.col("_n")) / F.sum("_n")).alias("top1"), (F.sum(F.col("_3") * F.col("_n")) / F.sum("_n")).alias("top3"))
     return out.filter("_g = 1 or trim(kind) <> ''").select(F.when(F.col("_g") == 1, "ALL").otherwise(F.col("kind")).alias("kind"), "n", "top1", "top3")
 
 

@@ -115,11 +115,11 @@ def sentence_pack(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_first_per_source(spark: SparkSession, sf: str) -> DataFrame:
-    return _prepared(spark, sf).select(*_OUT.split(", "))
+    return C.prepared(*_tables(spark, sf)).select(*_OUT.split(", "))
 
 
 def source_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return C.stats(_prepared(spark, sf))
+    return C.stats(C.prepared(*_tables(spark, sf)))
 
 
 def train_val_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,22 +152,22 @@ def expected_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def token_offsets(spark: SparkSession, sf: str) -> DataFrame:
-    return C.offsets(_prepared(spark, sf), T.n_words(F.col("text"))).select("source", "doc_id", "line_no", "chunk_no", "n_tokens", "start")
+    return C.offsets(C.prepared(*_tables(spark, sf)), T.n_words(F.col("text"))).select("source", "doc_id", "line_no", "chunk_no", "n_tokens", "start")
 
 
 def sequence_packing(spark: SparkSession, sf: str) -> DataFrame:
-    return C.sequences(C.offsets(_prepared(spark, sf), T.n_words(F.col("text"))), 256)
+    return C.sequences(C.offsets(C.prepared(*_tables(spark, sf)), T.n_words(F.col("text"))), 256)
 
 
 def next_word_contexts(spark: SparkSession, sf: str) -> DataFrame:
-    return C.contexts(_prepared(spark, sf).filter(F.length("text").between(19, 199)))
+    return C.contexts(C.prepared(*_tables(spark, sf)).filter(F.length("text").between(19, 199)))
 
 
 _ALPHABETS = {"el": "αβγδεζηθικλμνξοπρστυφχψωςάέήίόύώϊϋΐΰ", "sq": "abcdefghijklmnopqrstuvxyzëçw", "en": "abcdefghijklmnopqrstuvwxyz", "es": "abcdefghijklmnopqrstuvwxyzáéíóúüñ"}
 
 
 def missing_letters(spark: SparkSession, sf: str) -> DataFrame:
-    return C.missing_letters(_prepared(spark, sf), _ALPHABETS)
+    return C.missing_letters(C.prepared(*_tables(spark, sf)), _ALPHABETS)
 
 
 def columns_joined(spark: SparkSession, sf: str) -> DataFrame:

@@ -157,5 +157,7 @@ ORACLE = {
         SELECT t.lang AS tag, (SELECT first(h ORDER BY r.r, h) FROM r WHERE r.tag = t.lang) AS found FROM tags t""",
     "catalog_resolve": f"""WITH {_LANGS}, e(id, locale, variant, size) AS (VALUES ('voice-el', 'el', 'base', 4000000::BIGINT), ('lm-sq', 'sq', '', 35000000::BIGINT), ('adapter-es-MX', 'es-MX', '', 9500000::BIGINT), ('adapter-es', 'es', '', 9000000::BIGINT))
         SELECT lang AS tag, id, variant, {_SIZE} AS size_text FROM tags JOIN e ON locale = language OR locale = concat_ws('-', language, region)""",
-    "catalog_status": "SELECT * FROM (VALUES ('voice-el', 'base', 2, 'other variant'), ('lm-sq', '', 1, 'current'), ('adapter-es-MX', '', 3, 'missing'), ('adapter-es', '', 1, 'update')) v(id, variant, version, state)",
+    "catalog_status": """WITH e(id, variant, version) AS (VALUES ('voice-el', 'base', 2), ('lm-sq', '', 1), ('adapter-es-MX', '', 3), ('adapter-es', '', 1)),
+        h AS (SELECT p[1] AS id, p[2]::INT AS version, coalesce(p[3], '') AS variant FROM (SELECT string_split(value, '@') AS p FROM (VALUES ('voice-el@1@small'), ('lm-sq@1'), ('adapter-es@0@')) v(value)))
+        SELECT id, e.variant, e.version, CASE WHEN h.version IS NULL THEN 'missing' WHEN h.variant <> e.variant THEN 'other variant' WHEN h.version < e.version THEN 'update' ELSE 'current' END AS state FROM e LEFT JOIN h USING (id)""",
 }

@@ -140,6 +140,11 @@ def results_replaced(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(at)
 
 
+def attribution_page(spark: SparkSession, sf: str) -> DataFrame:
+    page = W.attribution(table(spark, sf, "source_notes"))
+    return spark.createDataFrame(list(enumerate(page.split("\n"))), "line int, text string")
+
+
 def bytes_decoded(spark: SparkSession, sf: str) -> DataFrame:
     clips = table(spark, sf, "train_cv").filter("text is not null and text not like '%�%'")
     return clips.select("clip_id", O.decoded(F.concat(F.lit(b"\xff"), F.encode("text", "utf-8"), F.lit(b"\xc3"))).alias("text"))
@@ -180,13 +185,14 @@ def words_flagged_by_list(spark: SparkSession, sf: str) -> DataFrame:
     return _words(spark, sf).filter(offensive(F.col("word"), lists)).select("word")
 
 
-QUERIES = {f.__name__: f for f in (text_lines_read, lines_unordered_read, parquet_columns_read, paragraphs_read, dataset_splits_read, newest_version_read, jsonl_field_read, jsonl_round_trip, manifest_round_trip, tsv_round_trip, csv_round_trip, configuration_read, written_by_source, written_once, file_checksums, results_replaced, bytes_decoded, case_shapes, exact_keys, chat_addresses, update_sizes, served_by, words_flagged_by_list)}
+QUERIES = {f.__name__: f for f in (text_lines_read, lines_unordered_read, parquet_columns_read, paragraphs_read, dataset_splits_read, newest_version_read, jsonl_field_read, jsonl_round_trip, manifest_round_trip, tsv_round_trip, csv_round_trip, configuration_read, written_by_source, written_once, file_checksums, results_replaced, attribution_page, bytes_decoded, case_shapes, exact_keys, chat_addresses, update_sizes, served_by, words_flagged_by_list)}
 
 _ONE = r"text IS NOT NULL AND trim(text) <> '' AND NOT regexp_matches(text, '[\r\n\x{85}\x{2028}\x{2029}]')"
 _WORDS = r"words AS (SELECT DISTINCT unnest(regexp_extract_all(output, '\p{L}[\p{L}''’-]*')) AS word FROM pairs WHERE output IS NOT NULL)"
 from textmill.plans.corpus import sql_lower, sql_strip  # noqa: E402
 
 _low = lambda w: rf"CASE WHEN regexp_matches({w}, '\p{{L}}Σ$') THEN regexp_replace(lower({w}), 'σ$', 'ς') ELSE {sql_lower(w)} END"
+_cell = lambda x: f"replace(coalesce({x}, ''), '|', '\\|')"
 ORACLE = {
     "text_lines_read": f"SELECT 'clips' AS source, text, count(*) AS n, 0 AS n_before FROM train_cv WHERE {_ONE} GROUP BY text",
     "lines_unordered_read": f"SELECT 'clips' AS source, text, count(*) AS n FROM eval_cv WHERE {_ONE} GROUP BY text",
@@ -204,6 +210,10 @@ ORACLE = {
     "written_once": "SELECT split_name, share, true AS first, false AS again FROM split_plan",
     "file_checksums": "SELECT pack_name, strlen(pack_name) + 1 AS size, sha256(pack_name || chr(10)) AS sha256 FROM pack_sizes",
     "results_replaced": "SELECT src, CASE WHEN src = 'cv' THEN -count(*) ELSE count(*) END AS n FROM train_cv WHERE src IS NOT NULL GROUP BY src",
+    "attribution_page": f"""WITH n AS (SELECT source_name AS s, {_cell("source_name")} AS name, {_cell("url")} AS url, {_cell("license")} AS l, {_cell("use_note")} AS use, {_cell("citation")} AS c, coalesce(contains(upper(license), 'UNKNOWN'), true) AS unknown FROM source_notes),
+        parts AS (SELECT 0 AS a, '' AS s, '| Source | Licence | Use |' || chr(10) || '| --- | --- | --- |' AS t UNION ALL SELECT 1, s, '| [' || name || '](' || url || ') | ' || CASE WHEN l = '' THEN 'unknown' ELSE l END || ' | ' || use || ' |' FROM n
+            UNION ALL SELECT 2, '', chr(10) || 'Licence unknown, check before publishing: ' || string_agg(s, ', ' ORDER BY s) FROM n WHERE unknown HAVING count(*) > 0 UNION ALL SELECT 3, '', '' FROM (SELECT 1 FROM n WHERE c <> '' LIMIT 1) UNION ALL SELECT 4, s, '* ' || c FROM n WHERE c <> '' UNION ALL SELECT 5, '', ''),
+        page AS (SELECT string_split(string_agg(t, chr(10) ORDER BY a, s), chr(10)) AS p FROM parts) SELECT i::INT AS line, p[i + 1] AS text FROM page, LATERAL (SELECT unnest(range(0, len(p))) AS i)""",
     "bytes_decoded": "SELECT clip_id, text FROM train_cv WHERE text IS NOT NULL AND NOT contains(text, chr(65533))",
     "case_shapes": rf"""WITH {_WORDS}, l AS (SELECT word, regexp_replace(word, '[^\p{{L}}]', '', 'g') AS x FROM words)
         SELECT word, CASE WHEN length(x) > 1 AND upper(word) = word AND regexp_matches(word, '\p{{Lu}}') THEN 'all' WHEN regexp_matches(word, '^\p{{Lu}}') THEN 'first' ELSE 'none' END AS shape FROM l""",

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from textmill.functions import text as T
 from textmill.functions.draw import draw_sql
+from textmill.operators import corpus as C
 from textmill.operators import manifest as M
 from textmill.operators import metrics as E
-from textmill.plans.corpus import FIRST, _prepared, sql_collapse, sql_lower, sql_strip
-from textmill.session import table
+from textmill.plans.corpus import FIRST, _tables, sql_collapse, sql_lower, sql_strip
+from textmill.session import materialize, table
 
 
 def _clips(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -111,13 +112,14 @@ def results_merged(spark: SparkSession, sf: str) -> DataFrame:
 def _guesses(spark: SparkSession, sf: str) -> DataFrame:
     ws = F.filter(F.split(F.lower("text"), " "), lambda w: w != "")
     pairs = F.explode(F.expr("transform(sequence(1, greatest(size(ws) - 1, 1)), i -> struct(ws[i - 1] AS before, ws[i] AS word))"))
-    rows = _prepared(spark, sf).select("lang", F.pmod("doc_id", F.lit(10)).alias("fold"), ws.alias("ws")).filter("size(ws) > 1").select("lang", "fold", pairs.alias("p")).select("lang", "fold", "p.*")
-    counts = rows.filter("fold <> 0").groupBy("lang", "before", "word").agg(F.count(F.lit(1)).alias("n"))
-    return rows.filter("fold = 0").join(E.top_k(counts, ("lang", "before")), ["lang", "before"], "left")
+    rows = C.prepared(*_tables(spark, sf)).select("lang", (F.pmod("doc_id", F.lit(10)) == 0).alias("held"), ws.alias("ws")).filter("size(ws) > 1").select("lang", "held", pairs.alias("p")).select("lang", "held", "p.*")
+    # pairs of words are counted before anything is joined, so that a frequent word has no more rows than words that follow it
+    counts = materialize(rows.groupBy("lang", "held", "before", "word").agg(F.count(F.lit(1)).alias("n")), "counts")
+    return counts.filter("held").join(E.top_k(counts.filter("not held"), ("lang", "before")), ["lang", "before"], "left")
 
 
 def next_word_accuracy(spark: SparkSession, sf: str) -> DataFrame:
-    out = E.accuracies(_guesses(spark, sf), F.col("word"), F.col("best"), "lang")
+    out = E.accuracies(_guesses(spark, sf), F.col("word"), F.col("best"), "lang", F.col("n"))
     return out.select("kind", "n", F.round("top1", 6).alias("top1"), F.round("top3", 6).alias("top3"))
 
 

@@ -36,8 +36,9 @@ def events_window_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def events_sessions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sessions that the watermark has closed."""
     events = table(spark, sf, "events").select(F.col("ts").cast("timestamp").alias("ts"), "user_id")
-    out = R.session_counts(events)
+    out = _drained(R.session_counts(_stream(events, "events")), "sessions")
     return out.select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "user_id", "n")
 
 
@@ -56,7 +57,7 @@ QUERIES = {f.__name__: f for f in (events_window_counts, events_sessions, stream
 
 ORACLE = {
     "events_window_counts": "WITH w AS (SELECT date_trunc('hour', ts) AS s, event_type, value, max(ts) OVER () AS m FROM events) SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM w GROUP BY s, event_type HAVING s + INTERVAL 1 HOUR <= date_trunc('millisecond', max(m)) - INTERVAL 1 HOUR",
-    "events_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT strftime(date_trunc('second', min(ts)), '%Y-%m-%d %H:%M:%S') AS start, user_id, count(*) AS n FROM s GROUP BY user_id, k",
+    "events_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events), m AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS m FROM events), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT strftime(date_trunc('second', min(ts)), '%Y-%m-%d %H:%M:%S') AS start, user_id, count(*) AS n FROM s GROUP BY user_id, k HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT m FROM m)",
     "stream_dedup": f"WITH {LINES} SELECT DISTINCT source, md5({sql_lower('text')}) AS text_md5 FROM lines WHERE source IS NOT NULL",
 }
 from textmill.plans.pairs import ORACLE as _PAIRS  # noqa: E402
