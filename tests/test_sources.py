@@ -104,3 +104,16 @@ def test_attribution(spark):
     page = W.attribution(notes, res)
     assert "u\\|v" in page and "check before publishing: b" in page and "* Cite" in page and "| m | 50.0% | n/a |" in page and "1 of 20" in page
     assert json.dumps(page)
+
+
+def test_lines_keep_their_numbers_over_blocks(spark, tmp_path):
+    for name, n in (("a.txt", 5000), ("b.txt", 30)):
+        (tmp_path / name).write_text("".join(f"{name} {k}\n" for k in range(n)), encoding="utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        out = R.text_lines(spark, str(tmp_path), "s").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(out) == 5030 and all(r.text == f"{r.path.rpartition('/')[2]} {r.line_no}" for r in out)

@@ -12,20 +12,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textmill.functions import text as TX
+from textmill.operators.skew import running
 
 CLIP = T.StructType([T.StructField("audio", T.StringType()), T.StructField("text", T.StringType()), T.StructField("dur", T.DoubleType()), T.StructField("src", T.StringType()), T.StructField("speaker", T.StringType()), T.StructField("group", T.StringType()), T.StructField("teacher", T.StringType()), T.StructField("teacher_cer", T.DoubleType())])
 PAIR = T.StructType([T.StructField(c, T.StringType()) for c in ("lang", "mode", "input", "output")])
 
 
 def text_lines(spark: SparkSession, paths: str | list[str], source: str, repartition: int = 0) -> DataFrame:
-    """source, path, line_no (from 0 within the file), text: lines of UTF-8 files, gzip files too; bytes that aren't UTF-8
-    become U+FFFD. Lines keep their order: each file is read as one value and cut, so a file must fit into a task;
-    use lines_unordered() for larger ones."""
-    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    if repartition:
-        files = files.repartition(repartition)
-    cut = files.select("path", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_no", "text"))
-    return cut.select(F.lit(source).alias("source"), "path", F.col("line_no").cast("long").alias("line_no"), "text")
+    """source, path, line_no (from 0 within the file), text: lines of UTF-8 files of any size, gzip files too; bytes that aren't
+    UTF-8 become U+FFFD. Files are read in blocks; a line's number is how many lines its file's earlier blocks, and its own block before
+    it, have."""
+    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"), F.make_valid_utf8("value").alias("text"))
+    numbered = running(rows, ["path"], ["_block", "_line"], "line_no")
+    out = numbered.select(F.lit(source).alias("source"), "path", F.col("line_no").cast("long").alias("line_no"), "text")
+    return out.repartition(repartition) if repartition else out
 
 
 def lines_unordered(spark: SparkSession, paths: str | list[str], source: str, repartition: int = 0) -> DataFrame:
