@@ -73,26 +73,39 @@ def linked(rows: DataFrame, id: str, keys: list[str]) -> DataFrame:
     """rows with key and first_id (the smallest id): the same for all records that are linked, directly or over others, by equal
     values of one of the columns keys; null for records that have none of them. id is unique; columns of these names are replaced.
 
-    Each round takes the smallest label over each value and each record, and then the label of the label, so that the rounds
-    grow with the logarithm of the longest chain. Each round is stored; hot values are attached by broadcast.
+    Each round takes for every record the smallest one that shares a value with it, follows these to their ends by doubling, and goes
+    on with one record for each end, so that the rounds shrink. Each is stored; hot values are attached by broadcast.
     """
     part = lambda k: F.sha2(F.concat(F.lit(k + "\x1f"), F.col(k).cast("string")), 256)
     links = rows.select(F.col(id).alias("rec"), F.explode(F.array(*[part(k) for k in keys])).alias("val")).filter("val is not null")
-    links = materialize(links.distinct(), "links")
-    total = links.count()
-    labels = materialize(links.select("rec").distinct().withColumn("label", F.col("rec")), "labels")
+    links, labels = materialize(links.distinct(), "links"), None
     while True:
-        each = materialize(links.join(labels, "rec"), "each")
-        least = each.groupBy("val").agg(F.min("label").alias("low"), F.count(F.lit(1)).alias("n"))
-        near = attach(each.select("rec", "val"), least, ["val"], "n", total).groupBy("rec").agg(F.min("low").alias("label"))
-        near = materialize(near, "near")
-        beyond = near.groupBy("label").agg(F.count(F.lit(1)).alias("n")).join(near.select(F.col("rec").alias("label"), F.col("label").alias("far")), "label")
-        new = materialize(attach(near, beyond, ["label"], "n", total).select("rec", F.least("label", "far").alias("label")), "labels")
-        moved = new.join(labels.withColumnRenamed("label", "old"), "rec").filter("label <> old")
-        done = moved.isEmpty()
-        labels = new
-        if done:
+        total = links.count()
+        least = links.groupBy("val").agg(F.min("rec").alias("low"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        near = attach(links, least, ["val"], "n", total).groupBy("rec").agg(F.min("low").alias("label"))
+        near, moved = materialize(near, "near"), True
+        while moved:
+            moved = not near.filter("label <> rec").isEmpty()
+            if moved:  # a label that is no end is replaced by its own label
+                ahead = near.filter("label <> rec").select(F.col("rec").alias("label"), F.col("label").alias("far"))
+                sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+                beyond = ahead.join(sizes, "label")
+                jumped = attach(near, beyond, ["label"], "n", total, "left").select("rec", F.coalesce("far", "label").alias("label"), F.col("far").isNotNull().alias("moved"))
+                jumped = materialize(jumped, "near")
+                moved = not jumped.filter("moved").isEmpty()
+                near = jumped.drop("moved")
+        merged = near.filter("label <> rec")
+        if labels is None:
+            labels = near
+        elif not merged.isEmpty():
+            ends = merged.select(F.col("rec").alias("label"), F.col("label").alias("end")).join(labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "label")
+            labels = materialize(attach(labels, ends, ["label"], "n", labels.count(), "left").select("rec", F.coalesce("end", "label").alias("label")), "labels")
+        if merged.isEmpty():
             break
+        links = materialize(links.join(near, "rec", "left").select(F.coalesce("label", "rec").alias("rec"), "val").distinct(), "links")
+    labels = links.select("rec").distinct().withColumn("label", F.col("rec")) if labels is None else labels
+    alone = rows.select(F.col(id).alias("rec"), F.array_contains(F.array(*[F.col(k).isNotNull() for k in keys]), True).alias("any"))
+    labels = alone.filter("any").join(labels, "rec", "left").select("rec", F.coalesce("label", "rec").alias("label"))
     return rows.drop("key", "first_id").join(labels.select(F.col("rec").alias(id), F.sha2(F.col("label").cast("string"), 256).alias("key"), F.col("label").alias("first_id")), id, "left")
 
 
