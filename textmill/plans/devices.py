@@ -12,7 +12,7 @@ from textmill.functions.draw import draw_sql
 from textmill.operators import catalog as K
 from textmill.operators import typing as Y
 from textmill.plans.corpus import sql_lower
-from textmill.session import table
+from textmill.session import spread, table
 
 #: Typing errors of the test languages.
 STAGES = {
@@ -22,7 +22,7 @@ STAGES = {
 
 
 def _words(spark: SparkSession, sf: str) -> DataFrame:
-    words = table(spark, sf, "pairs").filter("output is not null and lang is not null").select("lang", F.explode(F.regexp_extract_all("output", F.lit(r"\p{L}{2,24}"), 0)).alias("word"))
+    words = spread(table(spark, sf, "pairs")).filter("output is not null and lang is not null").select("lang", F.explode(F.regexp_extract_all("output", F.lit(r"\p{L}{2,24}"), 0)).alias("word"))
     return words.select("lang", F.lower("word").alias("word")).distinct()
 
 

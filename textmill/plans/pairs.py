@@ -11,7 +11,7 @@ from textmill.operators import corpus as C
 from textmill.operators import messages as M
 from textmill.operators import pairs as P
 from textmill.plans.corpus import LINES, sql_lower, sql_strip, sql_words
-from textmill.session import table
+from textmill.session import spread, table
 
 SWEARS = P.Swears()
 NO_ADD = ("please", "basically", "κοιτα", "pra", "bueno")
@@ -19,6 +19,10 @@ NUMBERS = {"el": ["δύο", "τρία", "τέσσερα"], "sq": ["dy", "tri", "
 _KEY = ("source", "doc_id", "line_no")
 
 
+def _pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "pairs"))
+
+
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return C.lines(table(spark, sf, "documents")).filter("source is not null")
 
@@ -59,51 +63,51 @@ def pair_lines_parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def light_rambler_join(spark: SparkSession, sf: str) -> DataFrame:
-    return P.light_with_rambler(table(spark, sf, "pairs"))
+    return P.light_with_rambler(_pairs(spark, sf))
 
 
 def rewrite_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return P.rewrites_judged(table(spark, sf, "pairs"), SWEARS, NO_ADD).select("pair_id", "verdict")
+    return P.rewrites_judged(_pairs(spark, sf), SWEARS, NO_ADD).select("pair_id", "verdict")
 
 
 def sanity_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return P.outputs_judged(table(spark, sf, "pairs"), SWEARS).select("pair_id", "sane")
+    return P.outputs_judged(_pairs(spark, sf), SWEARS).select("pair_id", "sane")
 
 
 def rewrite_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return P.rewrites_judged(table(spark, sf, "pairs"), SWEARS, NO_ADD).groupBy("lang", "mode", "verdict").agg(F.count(F.lit(1)).alias("n"))
+    return P.rewrites_judged(_pairs(spark, sf), SWEARS, NO_ADD).groupBy("lang", "mode", "verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
 def swear_retention(spark: SparkSession, sf: str) -> DataFrame:
-    rows = T.unaccented(T.unaccented(table(spark, sf, "pairs").filter("input is not null and output is not null"), "input", "i"), "output", "o")
+    rows = T.unaccented(T.unaccented(_pairs(spark, sf).filter("input is not null and output is not null"), "input", "i"), "output", "o")
     had, kept = SWEARS.count(F.col("i")), SWEARS.count(F.col("o"))
     out = rows.groupBy("lang").agg(F.sum(F.least(kept, had)).alias("kept"), F.sum(had).alias("had"))
     return out.select("lang", "had", F.round(F.col("kept") / F.greatest(F.lit(1), F.col("had")), 6).alias("retained"))
 
 
 def language_kept(spark: SparkSession, sf: str) -> DataFrame:
-    rows = P.language_kept(table(spark, sf, "pairs").filter("input is not null and output is not null"), table(spark, sf, "lang_rules"))
+    rows = P.language_kept(_pairs(spark, sf).filter("input is not null and output is not null"), table(spark, sf, "lang_rules"))
     return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("n_kept"))
 
 
 def messy_dictation(spark: SparkSession, sf: str) -> DataFrame:
-    return P.dictated(table(spark, sf, "pairs").filter("mode = 'light'"), table(spark, sf, "lang_rules"))
+    return P.dictated(_pairs(spark, sf).filter("mode = 'light'"), table(spark, sf, "lang_rules"))
 
 
 def trailing_corrections(spark: SparkSession, sf: str) -> DataFrame:
-    return P.corrected_later(table(spark, sf, "pairs").filter("mode = 'light'"), table(spark, sf, "lang_rules"), 200, numbers=NUMBERS)
+    return P.corrected_later(_pairs(spark, sf).filter("mode = 'light'"), table(spark, sf, "lang_rules"), 200, numbers=NUMBERS)
 
 
 def holdout_by_message(spark: SparkSession, sf: str) -> DataFrame:
-    return P.held_out(table(spark, sf, "pairs"), old_share=0.9, old=F.coalesce(F.col("source") != "corrections", F.lit(True))).select("pair_id", "part")
+    return P.held_out(_pairs(spark, sf), old_share=0.9, old=F.coalesce(F.col("source") != "corrections", F.lit(True))).select("pair_id", "part")
 
 
 def pair_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return P.valid(table(spark, sf, "pairs")).groupBy("lang", "mode").agg(F.count(F.lit(1)).alias("n"))
+    return P.valid(_pairs(spark, sf)).groupBy("lang", "mode").agg(F.count(F.lit(1)).alias("n"))
 
 
 def prompts(spark: SparkSession, sf: str) -> DataFrame:
-    return P.prompts(table(spark, sf, "pairs"), {"el": "Greek", "sq": "Albanian", "en": "English", "es": "Spanish"}).select("pair_id", F.md5("prompt").alias("prompt_md5"))
+    return P.prompts(_pairs(spark, sf), {"el": "Greek", "sq": "Albanian", "en": "English", "es": "Spanish"}).select("pair_id", F.md5("prompt").alias("prompt_md5"))
 
 
 QUERIES = {f.__name__: f for f in (holdout_by_message, message_filter, message_tidy, subtitle_filter, dialogue_join, reservoir_sample, stratified_sample, source_share_sample, pair_lines_parsed, light_rambler_join, rewrite_filter, rewrite_counts, sanity_filter, swear_retention, language_kept, messy_dictation, trailing_corrections, pair_counts, prompts)}

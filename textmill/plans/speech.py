@@ -11,11 +11,11 @@ from textmill.operators import corpus as C
 from textmill.operators import manifest as M
 from textmill.operators import metrics as E
 from textmill.plans.corpus import FIRST, _tables, sql_collapse, sql_lower, sql_strip
-from textmill.session import materialize, table
+from textmill.session import materialize, spread, table
 
 
 def _clips(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return table(spark, sf, "train_cv"), table(spark, sf, "eval_cv")
+    return spread(table(spark, sf, "train_cv")), table(spark, sf, "eval_cv")
 
 
 def _leakfree(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,7 +52,7 @@ def group_cap(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def label_verification(spark: SparkSession, sf: str) -> DataFrame:
-    return M.verified(table(spark, sf, "train_cv"), F.when(F.col("src") == "cv_other", 0.10).otherwise(0.15)).select("clip_id", "cer")
+    return M.verified(spread(table(spark, sf, "train_cv")), F.when(F.col("src") == "cv_other", 0.10).otherwise(0.15)).select("clip_id", "cer")
 
 
 def eval_sample(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,18 +76,18 @@ def required_fields(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def error_rates_by_source(spark: SparkSession, sf: str) -> DataFrame:
-    clips = table(spark, sf, "train_cv").filter("teacher is not null")
+    clips = spread(table(spark, sf, "train_cv")).filter("teacher is not null")
     out = E.error_rates(clips, "text", "teacher", ("lang", "src"))
     return out.select("lang", "src", "n", *[F.round(c, 6).alias(c) for c in ("wer", "cer", "loose_cer")])
 
 
 def similarity_by_language(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = table(spark, sf, "pairs").filter("input is not null and output is not null")
+    pairs = spread(table(spark, sf, "pairs")).filter("input is not null and output is not null")
     return E.similarities(pairs, "output", "input", ("lang", "mode")).select("lang", "mode", "n", F.round("similarity", 6).alias("similarity"))
 
 
 def metric_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    clips = table(spark, sf, "train_cv").filter("teacher is not null")
+    clips = spread(table(spark, sf, "train_cv")).filter("teacher is not null")
     return E.pivoted(E.error_rates(clips, "text", "teacher", ("lang", "src")), "lang", "src", "wer", ["cv", "cv_other", "fleurs", "own_readings"])
 
 
