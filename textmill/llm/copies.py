@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.letters import letters
 from textmill.operators.skew import attach
-from textmill.session import materialize
+from textmill.session import materialize, spread
 
 KEY = "h binary, chk bigint"
 #: Parts of a canonical form are joined by this, which no part holds.
@@ -89,8 +89,8 @@ def collisions(keyed: DataFrame) -> DataFrame:
 
 def both(clips: DataFrame, lines: DataFrame) -> DataFrame:
     """The keyed records of both tables, stored, with tbl."""
-    a = keyed_clips(clips).withColumn("tbl", F.lit("train_cv"))
-    return materialize(a.unionByName(keyed_lines(lines).withColumn("tbl", F.lit("pair_lines"))), "keyed")
+    a = keyed_clips(spread(clips)).withColumn("tbl", F.lit("train_cv"))
+    return materialize(a.unionByName(keyed_lines(spread(lines)).withColumn("tbl", F.lit("pair_lines"))), "keyed")
 
 
 def copies(keyed: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textmill.llm.scripts import EMOJI_PARTS
-from textmill.session import materialize
+from textmill.session import materialize, spread
 
 #: Keys that must vote for a way of misreading before it is learned.
 LEAST_VOTES = 2
@@ -194,7 +194,7 @@ def _votes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def learn(docs: DataFrame, text: str = "text", least: int = LEAST_VOTES) -> list[Way]:
     """The ways of misreading that the twins among all texts vote for, most votes first. At most len(FAMILY) rows come to
     the driver."""
-    raw = docs.select(F.col(text).alias("t")).filter("t is not null").mapInPandas(_variants, "key string, variant string, bad boolean")
+    raw = spread(docs.select(F.col(text).alias("t")).filter("t is not null")).mapInPandas(_variants, "key string, variant string, bad boolean")
     variants = materialize(raw.distinct(), "variants")
     clean = variants.filter("not bad").select("key", "variant")
     may = materialize(variants.filter("bad").mapInPandas(_twins, "way int, key string, variant string, garbled string, shape string"), "twins")
@@ -386,4 +386,4 @@ def restored(docs: DataFrame, id: str = "doc_id", text: str = "text", ways: list
             rows = [(i, t, whole) for i, x in zip(b["doc_id"], b["t"]) for bad, t, whole in [undone.text(x)] if bad]
             yield pd.DataFrame(rows, columns=["doc_id", "text", "complete"])
 
-    return docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("t")).filter("t is not null").mapInPandas(found, "doc_id bigint, text string, complete boolean")
+    return spread(docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("t")).filter("t is not null")).mapInPandas(found, "doc_id bigint, text string, complete boolean")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.scripts import INVISIBLE, MIXED, ODD, SPACES, _TOKEN, Confusables, composed, of_script, script, scripts_of, unmixed
 from textmill.operators.skew import attach
-from textmill.session import materialize
+from textmill.session import materialize, spread
 
 _RUN = re.compile(r"[^\W\d_]+")
 _FOREIGN = {"G": re.compile("[A-Za-zЀ-ԯ]"), "L": re.compile("[Ͱ-Ͽ]"), "C": re.compile("$^")}
@@ -119,7 +119,7 @@ def canonical_values(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 def affected(rows: DataFrame) -> DataFrame:
     """tbl, rec_id, value, canonical of each odd value of each record of texts()."""
-    found = materialize(rows.mapInPandas(_odd(confusables(rows.sparkSession)), "tbl string, rec_id bigint, value string, form string, certain boolean"), "odd")
+    found = materialize(spread(rows).mapInPandas(_odd(confusables(rows.sparkSession)), "tbl string, rec_id bigint, value string, form string, certain boolean"), "odd")
     return attach(found.select("tbl", "rec_id", "value", "form", "certain"), canonical_values(rows, found), ["value", "form", "certain"], "n", found.count()).select("tbl", "rec_id", "value", "canonical")
 
 

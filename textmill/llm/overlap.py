@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.letters import words
 from textmill.operators.skew import HOT_SHARE, attach
-from textmill.session import materialize
+from textmill.session import materialize, spread
 
 #: Fewest words of a text that is compared.
 LEAST_WORDS = 5
@@ -164,7 +164,7 @@ def coded(rows: DataFrame) -> DataFrame:
     the bands lo to hi of possible partners, and for the first of a
     task's copies w (word codes) and grams (hashes of windows): stored."""
     schema = "kind string, held boolean, id bigint, t binary, n int, band int, lo int, hi int, w binary, grams array<bigint>"
-    return materialize(rows.filter("t is not null and lang is not null and held is not null").mapInPandas(_coded, schema), "coded")
+    return materialize(spread(rows.filter("t is not null and lang is not null and held is not null")).mapInPandas(_coded, schema), "coded")
 
 
 class Index:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from textmill.llm.letters import letters
 from textmill.operators.skew import attach, running
-from textmill.session import materialize
+from textmill.session import materialize, spread
 
 #: Bins that the components are balanced into before the splits take whole bins.
 BINS = 400
@@ -57,7 +57,7 @@ def records(clips_train: DataFrame, clips_eval: DataFrame, pairs: DataFrame) ->
     """tbl, rec_id, present (its split now), key (null: related to nothing) of clips and pairs."""
     clip = lambda df, tbl: df.select(F.lit(tbl).alias("tbl"), F.col("clip_id").alias("rec_id"), F.col("split").alias("present"), F.sha2(speaker_key("speaker"), 256).alias("key"))
     raw = pairs.select(F.lit("pairs").alias("tbl"), F.col("pair_id").alias("rec_id"), F.col("split").alias("present"), F.col("lang").cast("string").alias("lang"), F.col("input").cast("string").alias("key"))
-    kept = raw.mapInPandas(_letters_of, "tbl string, rec_id bigint, present string, lang string, key string")
+    kept = spread(raw).mapInPandas(_letters_of, "tbl string, rec_id bigint, present string, lang string, key string")
     pair = kept.select("tbl", "rec_id", "present", F.when(F.col("key").isNotNull(), F.sha2(F.concat_ws("\x1f", F.coalesce("lang", F.lit("")), "key"), 256)).alias("key"))
     return clip(clips_train, "train_cv").unionByName(clip(clips_eval, "eval_cv")).unionByName(pair)
 
@@ -132,10 +132,10 @@ def _kk(weights: list[tuple[int, int]], bins: int) -> tuple[list[np.ndarray], np
         heapq.heappush(heap, (-int(s[0]), len(left) - 1))
 
     while len(heap) > 1 or heap[0][1] < 0:
-        spread, a = heapq.heappop(heap)
+        top, a = heapq.heappop(heap)
         if a < 0:
             s = np.zeros(bins, dtype=np.int64)
-            s[: counts[-1 - a]] = -spread
+            s[: counts[-1 - a]] = -top
             node(a, counts[-1 - a], -1, s)
             continue
         _, b = heapq.heappop(heap)

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.session import spread
+
 #: Ranks of a byte-level BPE: a line each with the token in base64 and its rank.
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: how these tokenizers split texts before merging.
@@ -37,4 +39,4 @@ def counted(docs: DataFrame, id: str, text: str, keep: list[str], path: str = TO
             sizes = [len(known.encode_ordinary(t)) if t else 0 for t in b["_t"]]
             yield b.drop(columns="_t").assign(n_tokens=pd.Series(sizes, index=b.index, dtype="int64"))
 
-    return df.mapInPandas(count, schema)
+    return spread(df).mapInPandas(count, schema)
