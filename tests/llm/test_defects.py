@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from textmill.llm import defects as D
 
@@ -101,3 +102,34 @@ def test_long_markup_is_nothing_and_a_long_end_may_be_missing():
     said = "we met at the market and bought fresh bread before walking home along that narrow river path near grandma"
     assert D.defect(model, D._Zip(), "light", said, "We met at the market and bought fresh bread.") == "truncated"
     assert D.defect(model, D._Zip(), "light", said, said.capitalize() + ".") is None
+
+
+def test_words_and_ends_are_counted_over_all_rows(spark, rows):
+    """30,000 pairs in one language; what the six of another hold, whose ids a sample by hash leaves out, must count."""
+    late = [r[0] for r in spark.range(30_000).filter("pmod(xxhash64(id), 1000000) > 990000").orderBy("id").limit(6).collect()]
+    said = "um the river and the hill are near the town"
+    many = spark.range(30_000).filter(~F.col("id").isin(late)).selectExpr("id AS pair_id", "'en' AS lang", "'light' AS mode", f"'{said}' AS input", "'The river and the hill are near the town.' AS output")
+    few = [(k, "sq", "light", "um lumi dhe kodra afer qytetit sot harbour", "Lumi dhe kodra afer qytetit sot harbour.") for k in late]
+    odd = [(-1, "en", "rambler", said, "The river and the lumi dhe kodra afer qytetit sot."), (-2, "en", "rambler", said, "The river and the hill harbour"), (-3, "en", "rambler", said, "The river and the hill are")]
+    pairs = many.unionByName(spark.createDataFrame(few + odd, "pair_id bigint, lang string, mode string, input string, output string"))
+    assert rows(D.defects(pairs, spark.createDataFrame(RULES, RULE))) == [(-1, "other_language"), (-3, "truncated")]
+
+
+def test_tables_tell_what_the_model_in_memory_tells(spark, rows):
+    outputs = [clean(1), clean(1)[:-1], limpio(2), limpio(2)[:-1], raw(clean(1)), clean(1)[:50], "My friend Katenas1 bought the", "My friend Katenas1 met Domareck1", "", None, "«»", "Ο γείτονας έχασε το κλειδί."]
+    odd = [(1000 + k // 2, "en", "rambler" if k % 2 else "light", raw(clean(1)), x, "x") for k, x in enumerate([x for x in outputs for _ in range(2)])]
+    some = [(k, "en", "light", raw(clean(k)), clean(k), "x") for k in range(60)] + [(100 + k, "es", "light", "eh " + limpio(k).replace(".", "").lower(), limpio(k), "x") for k in range(60)]
+    pairs, rules = spark.createDataFrame(some + odd + odd, PAIR), spark.createDataFrame(RULES, RULE)
+    model = D.learn(pairs, rules)
+    assert model.language and model.ends
+    assert rows(D.defects(pairs, rules)) == sorted([(k, d) for k, _, m, a, b, _ in some + odd + odd if (d := D.defect(model, D._Zip(), m, a, b))], key=str)
+
+
+def test_counts_are_the_same_however_often_a_task_hands_them_on(spark, rows):
+    pairs = spark.createDataFrame([(k, "en" if k % 3 else None, "light", raw(clean(k)), clean(k), "x") for k in range(40)], PAIR)
+    counts = rows(D._counted(pairs, [("um",), ("no", "wait")]))
+    assert counts == rows(D._counted(pairs.repartition(7), [("um",), ("no", "wait")], most=3))
+    assert ("clean", "", "", 40, 0) in counts
+    assert ("word", "friend", "en", 26, 0) in counts
+    assert ("end", "friend", "my", 0, 40) in counts
+    assert sum(c[3] for c in counts if c[0] == "end") == 40

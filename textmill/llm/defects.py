@@ -4,9 +4,13 @@ Each pair gets at most one defect: empty, refusal, other_language, copy or trunc
 
 copy: the response, with its prompt as a zstandard dictionary, compresses to next to nothing, and the prompt was not
 clean already. refusal and other_language use dictionaries: phrases that decline, and the words that are usual in one
-language only, which are learned from a bounded sample of the inputs. truncated looks at the end of the response: an
-end inside a word or after a sign that opens something, in light mode an end of the input that is missing, and where
-only the final stop is missing, a model of the words that end a message, learned from the same sample.
+language only, which are learned from all inputs. truncated looks at the end of the response: an end inside a word or
+after a sign that opens something, in light mode an end of the input that is missing, and where only the final stop is
+missing, a model of the words that end a message, learned from all outputs.
+
+All rows are counted, and the counts of words and ends stay tables: each pair is judged once without them, and the few
+whose defect depends on words or ends are judged again with what the tables know of theirs. Executors and driver hold
+what the rules and alphabets bound only.
 
 Defined cases: a null output is empty; a null or blank input leaves only empty and refusal possible; null modes are
 taken as rambler; very long texts are handled whole; unknown languages have no hesitations but those of all
@@ -20,19 +24,22 @@ import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import lru_cache
 
 import pandas as pd
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textmill.llm.letters import unaccented, words
 from textmill.llm.scripts import ordinary
-from textmill.session import spread
+from textmill.session import materialize, spread
 
-#: Rows that the word and end models are learned from, at most.
-SAMPLE_ROWS = 20_000
+#: Counts that a task holds before it hands them on.
+MOST_COUNTS = 200_000
 #: Most languages in the rules.
 MOST_RULES = 1000
 #: A word belongs to a language if it has at least this share of the word's texts there.
@@ -43,7 +50,7 @@ REFUSAL_PER = 16
 LEAST_LOOKS, STRANGE = 2000, 5.0
 #: Words of an output that count as its end.
 END_WORDS = 4
-#: Texts of the sample that a word must stand in.
+#: Texts that a word must stand in, and times that an end must be seen.
 LEAST_TEXTS = 5
 
 # Outputs that stand for nothing, without signs.
@@ -78,7 +85,7 @@ _EMOJI = re.compile("[\U0001f000-\U0001faff☀-➿]")
 
 @dataclass
 class Model:
-    """What the executors need: bounded by the languages' rules and the sample."""
+    """What a pair is judged by. Words' languages and ends grow with the texts; the rest is bounded by rules and alphabets."""
 
     fillers: list[tuple[str, ...]] = field(default_factory=list)
     filler_words: frozenset[str] = frozenset()
@@ -101,8 +108,10 @@ def _has(ws: list[str], phrase: tuple[str, ...]) -> int:
     return sum(ws[i : i + k] == list(phrase) for i in range(len(ws) - k + 1) if ws[i] == phrase[0])
 
 
-def _shape(raw: str, word: str) -> str:
+@lru_cache(1 << 16)
+def _shape(raw: str) -> str:
     """A word for the end model: names and numbers stand for their kind."""
+    word = unaccented(raw)
     return "#" if word.isdigit() else "@" if raw[:1].isupper() and len(raw) > 4 else word
 
 
@@ -111,12 +120,12 @@ _RAW = re.compile(r"[^\W_]+(?:['’][^\W_]+)*")
 
 def _contexts(output: str) -> tuple[list[tuple[str, ...]], list[str]]:
     raws = _RAW.findall(output)
-    shapes = [_shape(r, unaccented(r)) for r in raws]
+    shapes = [_shape(r) for r in raws]
     return [tuple(shapes[max(0, i - 1) : i + 1]) for i in range(len(shapes))], raws
 
 
-def learn(pairs: DataFrame, rules: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """The model from the rules (four languages, one row each) and the rows of least hash, rows at most."""
+def _ruled(rules: DataFrame) -> Model:
+    """The model that the rules alone give (four languages, one row each)."""
     model, some = Model(), rules.select("fillers", "light_fillers", "corrections").limit(MOST_RULES + 1).collect()
     if len(some) > MOST_RULES:
         raise ValueError(f"more than {MOST_RULES} rules")
@@ -124,44 +133,89 @@ def learn(pairs: DataFrame, rules: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     model.fillers = sorted((f for f in fillers if f), key=lambda f: (-len(f), f))
     model.filler_words = frozenset(w for f in fillers for w in f)
     model.corrections = sorted({p for r in some for x in r[2] or [] if x and (p := _phrase(x))}, key=lambda f: (-len(f), f))
-    usable = pairs.filter("input is not null and output is not null").select("pair_id", "lang", "input", "output")
-    share = min(1.0, 1.1 * rows / max(1, usable.count()))  # so that no more rows than about the sample reach the driver, from however many tasks
-    low = usable.filter(F.pmod(F.xxhash64("pair_id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1))
-    sample = low.orderBy(F.xxhash64("pair_id"), "pair_id").limit(rows).select("lang", "input", "output").collect()
-    seen: dict[str, Counter] = defaultdict(Counter)
-    held, ends, inside, n = Counter(), Counter(), Counter(), 0
-    for lang, a, b in sample:
-        code = (lang or "").strip().lower()[:2]
-        wa, wb = words(a), words(b)
-        for w in set(wa):
-            if not w.isdigit():
-                seen[w][code] += 1
-        if wb == wa or not _STOP.search(b) or _DOTS.search(b):
-            continue
-        n += 1
-        there = set(wb)
-        held.update(f for f in (*model.fillers, *model.corrections) if f[0] in there and _has(wb, f))
-        contexts, _ = _contexts(b)
-        ends.update({c for x in contexts[-1:] for c in (x, x[-1:])})
-        inside.update([c for x in contexts[:-1] for c in ((x, x[-1:]) if len(x) > 1 else (x,))])
-    model.language = {w: lang for w, c in seen.items() for lang, k in c.most_common(1) if sum(c.values()) >= LEAST_TEXTS and k >= PURITY * sum(c.values())}
-    looks: dict[str, Counter] = defaultdict(Counter)
-    for w, c in seen.items():
-        for x in _threes(w):
-            for code, k in c.items():
-                looks[code][x] += k
-    for code, c in looks.items():
-        whole = sum(c.values())
-        if whole < LEAST_LOOKS:
-            continue
-        model.looks[code] = {x: math.log((k + 0.1) / whole) for x, k in c.items()} | {"": math.log(0.1 / whole)}
-        mean = sum(k * model.looks[code][x] for x, k in c.items()) / whole
-        model.usual[code] = mean, math.sqrt(sum(k * (model.looks[code][x] - mean) ** 2 for x, k in c.items()) / whole)
-    model.loose = frozenset(f for f, k in held.items() if k > max(2, n / 500))
-    model.ends = {c: math.log((ends[c] + 0.1) / (inside[c] + 1)) for c in ends.keys() | inside.keys() if ends[c] + inside[c] >= LEAST_TEXTS}
     return model
 
 
+def _counted(pairs: DataFrame, phrases: list[tuple[str, ...]], most: int = MOST_COUNTS) -> DataFrame:
+    """kind, a, b, n, m over all pairs. word: n texts of language b hold the word a. end: after the word b (empty: none), a ended n
+    clean outputs and stood inside them m times. held: n clean outputs hold the phrase a. clean: n outputs are clean."""
+    by_first: dict[str, list[tuple[str, ...]]] = defaultdict(list)
+    for f in phrases:
+        by_first[f[0]].append(f)
+    firsts = frozenset(by_first)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, Counter] = defaultdict(Counter)
+        held, ends, inside, clean = Counter(), Counter(), Counter(), 0
+
+        def handed() -> pd.DataFrame:
+            rows = [("word", w, code, k, 0) for code, c in seen.items() for w, k in c.items() if not w.isdigit()]
+            rows += [("end", x[1], x[0], ends[x], inside[x]) for x in ends.keys() | inside.keys()]
+            rows += [("held", " ".join(f), "", k, 0) for f, k in held.items()] + [("clean", "", "", clean, 0)]
+            return pd.DataFrame(rows, columns=["kind", "a", "b", "n", "m"])
+
+        for batch in batches:
+            for lang, a, b in batch[["lang", "input", "output"]].itertuples(index=False, name=None):
+                wa, wb = words(a), words(b)
+                seen[lang.strip().lower()[:2]].update(set(wa))
+                if wb != wa and _STOP.search(b) and not _DOTS.search(b):
+                    clean += 1
+                    held.update([f for w in firsts & set(wb) for f in by_first[w] if _has(wb, f)])
+                    shapes = [_shape(r) for r in _RAW.findall(b)]
+                    inside.update(zip(["", *shapes[:-2]], shapes[:-1]))
+                    ends.update(zip(["", *shapes][-2:-1], shapes[-1:]))
+                if len(ends) + len(inside) + sum(map(len, seen.values())) > most:
+                    yield handed()
+                    held, ends, inside, clean = Counter(), Counter(), Counter(), 0
+                    seen.clear()
+        yield handed()
+
+    usable = pairs.filter("input is not null and output is not null").select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "input", "output")
+    counts = spread(usable).mapInPandas(count, "kind string, a string, b string, n bigint, m bigint")
+    return counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+
+
+def _learned(pairs: DataFrame, rules: DataFrame) -> tuple[Model, DataFrame]:
+    """The bounded part of the model, and key, lang, odds: the language of each word that has one, and the log odds of each end."""
+    model = _ruled(rules)
+    counts = materialize(_counted(pairs, [*model.fillers, *model.corrections]), "counts")
+    some = counts.filter("kind in ('held', 'clean')").select("kind", "a", "n").collect()
+    clean = sum(k for kind, _, k in some if kind == "clean")
+    model.loose = frozenset(tuple(f.split(" ")) for kind, f, k in some if kind == "held" and k > max(2, clean / 500))
+    seen = counts.filter("kind = 'word'").select(F.col("a").alias("word"), F.col("b").alias("code"), "n")
+    threes = seen.select("code", "n", F.explode(F.expr("transform(sequence(1, length(word)), i -> substring(concat(' ', word, ' '), i, 3))")).alias("three")).groupBy("code", "three").agg(F.sum("n").alias("n"))
+    whole = F.sum("n").over(Window.partitionBy("code"))
+    looks: dict[str, dict[str, int]] = defaultdict(dict)
+    for code, x, k in threes.withColumn("whole", whole).filter(F.col("whole") >= LEAST_LOOKS).select("code", "three", "n").collect():
+        looks[code][x] = k
+    for code, c in looks.items():
+        total = sum(c.values())
+        model.looks[code] = {x: math.log((k + 0.1) / total) for x, k in c.items()} | {"": math.log(0.1 / total)}
+        mean = math.fsum(k * model.looks[code][x] for x, k in c.items()) / total
+        model.usual[code] = mean, math.sqrt(math.fsum(k * (model.looks[code][x] - mean) ** 2 for x, k in c.items()) / total)
+    of = seen.groupBy("word").agg(F.sum("n").alias("n"), F.max(F.struct("n", "code")).alias("top")).filter((F.col("n") >= LEAST_TEXTS) & (F.col("top.n") >= PURITY * F.col("n")))
+    ends = counts.filter("kind = 'end'").select("a", "b", "n", "m")
+    ends = ends.filter("b <> ''").select(F.concat_ws(" ", "b", "a").alias("end"), "n", "m").unionByName(ends.groupBy(F.col("a").alias("end")).agg(F.sum("n").alias("n"), F.sum("m").alias("m")))
+    ends = ends.filter(F.col("n") + F.col("m") >= LEAST_TEXTS).select(F.concat(F.lit(_END), "end").alias("key"), F.lit(None).cast("string").alias("lang"), F.log((F.col("n") + 0.1) / (F.col("m") + 1)).alias("odds"))
+    return model, of.select(F.concat(F.lit(_WORD), "word").alias("key"), F.col("top.code").alias("lang"), F.lit(None).cast("double").alias("odds")).unionByName(ends)
+
+
+#: Beginnings of the keys of words and ends.
+_WORD, _END = "word ", "end "
+
+
+def _knowing(model: Model, known: dict[str, str], odds: dict[str, float]) -> Model:
+    """The model with languages and odds by key."""
+    return replace(model, language={k.removeprefix(_WORD): lang for k, lang in known.items()}, ends={tuple(k.removeprefix(_END).split(" ")): x for k, x in odds.items()})
+
+
+def learn(pairs: DataFrame, rules: DataFrame) -> Model:
+    """The whole model in memory, for tables whose words the driver can hold; defects() doesn't need that."""
+    model, known = _learned(pairs, rules)
+    rows = known.collect()
+    return _knowing(model, {k: lang for k, lang, _ in rows if lang is not None}, {k: x for k, _, x in rows if x is not None})
+
+
 def _empty(output: str | None) -> bool:
     if output is None:
         return True
@@ -184,11 +238,11 @@ def _other_language(model: Model, wa: list[str], wb: list[str], inset: set[str])
     new = [w for w in wb if w not in inset]
     if 2 * len(new) < len(wb):
         return False
-    votes = Counter(lang for w in new if (lang := model.language.get(w)))
-    own = Counter(lang for w in wa if (lang := model.language.get(w)))
     greek = lambda ws: sum("α" <= w[0] <= "ω" for w in ws) / max(1, len(ws))
     if abs(greek(new) - greek(wa)) > 0.6:
         return True
+    votes = Counter(lang for w in new if (lang := model.language.get(w)))
+    own = Counter(lang for w in wa if (lang := model.language.get(w)))
     if not own:
         return False
     mine = own.most_common(1)[0][0]
@@ -314,14 +368,54 @@ def defect(model: Model, sizes: _Zip, mode: str | None, input: str | None, outpu
     return "truncated" if _truncated(model, (mode or "").strip().lower(), output, wa, wb) else None
 
 
-def defects(pairs: DataFrame, rules: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+class _Asked(dict):
+    """Knows nothing, and keeps what it was asked for."""
+
+    def get(self, key, default=None):  # noqa: ANN001, ANN201
+        self[key] = True
+        return default
+
+
+def defects(pairs: DataFrame, rules: DataFrame) -> DataFrame:
     """pair_id, defect: one row for each defective pair."""
-    model = learn(pairs, rules, rows)
+    model, known = _learned(pairs, rules)
 
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Defective pairs, and those that asked for words or ends, whose texts are kept. Whatever a pair would ask for if it got
+        answers it asks for without: without answers no language is another, and the end is looked at."""
+        sizes, asking, n = _Zip(), replace(model, language=_Asked(), ends=_Asked()), TaskContext.get().partitionId() << 33
+        for b in batches:
+            kept, out = [], []
+            for i, x in enumerate(b[["mode", "input", "output"]].itertuples(index=False, name=None)):
+                found = defect(asking, sizes, *x)
+                if asking.language or asking.ends:
+                    kept.append(i)
+                    out.append((n + i, None, *x, [*(_WORD + w for w in asking.language), *(_END + " ".join(c) for c in asking.ends)]))
+                    asking.language.clear()
+                    asking.ends.clear()
+                elif found:
+                    kept.append(i)
+                    out.append((n + i, found, None, None, None, None))
+            n += len(b)
+            if out:
+                some = pd.DataFrame(out, columns=["row", "defect", "mode", "input", "output", "asked"])
+                some.insert(0, "pair_id", b["pair_id"].iloc[kept].reset_index(drop=True))
+                yield some
+
+    def answered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sizes = _Zip()
         for b in batches:
-            out = pd.DataFrame({"pair_id": b["pair_id"], "defect": [defect(model, sizes, *x) for x in b[["mode", "input", "output"]].itertuples(index=False, name=None)]})
+            found = [defect(_knowing(model, dict(langs), dict(odds)), sizes, *x) for *x, langs, odds in b[["mode", "input", "output", "langs", "odds"]].itertuples(index=False, name=None)]
+            out = pd.DataFrame({"pair_id": b["pair_id"], "defect": found})
             yield out[out["defect"].notna()]
 
-    return spread(pairs.select(F.col("pair_id").cast("long").alias("pair_id"), "mode", "input", "output")).mapInPandas(found, "pair_id bigint, defect string")
+    texts = spread(pairs.select(F.col("pair_id").cast("long").alias("pair_id"), "mode", "input", "output"))
+    first = materialize(texts.mapInPandas(judged, "pair_id bigint, row bigint, defect string, mode string, input string, output string, asked array<string>"), "judged")
+    asked = first.filter("asked is not null")
+    # both joins by a shuffle: stored texts are far larger than their files, from which the engine would guess that they can be broadcast
+    answers = asked.select("row", F.explode("asked").alias("key")).hint("merge").join(known, "key").groupBy("row").agg(
+        *[F.map_from_entries(F.collect_list(F.when(F.col(x).isNotNull(), F.struct("key", x)))).alias(y) for x, y in (("lang", "langs"), ("odds", "odds"))]
+    )
+    again = asked.select("row", "pair_id", "mode", "input", "output").hint("merge").join(answers, "row", "left")
+    again = again.withColumns({x: F.coalesce(x, F.expr(f"cast(map() as map<string, {kind}>)")) for x, kind in (("langs", "string"), ("odds", "double"))})
+    return first.filter("asked is null").select("pair_id", "defect").unionByName(again.mapInPandas(answered, "pair_id bigint, defect string"))
